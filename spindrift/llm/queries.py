@@ -26,9 +26,23 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"))
 
 
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spindrift.llm.langid import identify
+
+    return identify(read(spark, sf_dir, "documents"))
+
+
+def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spindrift.llm.neardup import near_duplicates
+
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_sharding": op4_sharding,
+    "op7_langid": op7_langid,
+    "op8_neardup": op8_neardup,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -67,9 +67,9 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray = IN_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and row of every word."""
-    inside = IN_WORD[data]
+    inside = in_word[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     last = inside.copy()
@@ -82,9 +82,9 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray = IN_WORD) -> tuple[np.ndarray, np.ndarray]:
     """uint64 hash and row of every word, in order of text."""
-    starts, ends, rows = word_spans(data, offsets)
+    starts, ends, rows = word_spans(data, offsets, in_word)
     up, down = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((LOWER[data].astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
@@ -113,10 +113,10 @@ def shingles(words: np.ndarray, rows: np.ndarray, n_rows: int, size: int = 5) ->
         owner.append(rows[:n][whole])
     first = np.concatenate([[0], np.cumsum(counts)])[:-1]
     for r in np.flatnonzero((counts > 0) & (counts < size)):
-        h = np.uint64(0xA0761D6478BD642F) * np.uint64(counts[r])
+        h = np.asarray([counts[r]], np.uint64) * np.uint64(0xA0761D6478BD642F)
         for k in range(counts[r]):
-            h = mix(np.asarray([h + words[first[r] + k] * keys[k]]))[0]
-        found.append(np.asarray([h]))
+            h = mix(h + words[first[r] + k : first[r] + k + 1] * keys[k])
+        found.append(h)
         owner.append(np.asarray([r]))
     h, r = np.concatenate(found), np.concatenate(owner)
     order = np.lexsort((h, r))
