@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
 SENTENCE_PENALTY, FORCED_PENALTY, FORCED_STEP = 4, 24, 32
 #: Windows in a stretch, and words whose ids a Python worker keeps (bounded memory; more are encoded again).
-STRETCH, WORDS_KEPT = 256, 600_000
+STRETCH, WORDS_KEPT = 256, 1_200_000
 
 _cache: dict[str, tuple[object, dict[str, bytes], np.ndarray]] = {}
 

@@ -14,6 +14,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spindrift.llm.decontamination import find_leaks
+
+    return find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spindrift.llm.packing import pack
 
@@ -39,6 +45,7 @@ def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
     "op4_sharding": op4_sharding,
     "op7_langid": op7_langid,
