@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spindrift.llm import neighbours
 from spindrift.sources.session import ship_package
 
 
@@ -44,12 +45,26 @@ def op8_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spindrift.llm.pii import find_personal_data
+
+    return find_personal_data(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
     "op4_sharding": op4_sharding,
     "op7_langid": op7_langid,
     "op8_neardup": op8_neardup,
+    "op9_neighbours": op9_neighbours,
+    "op10_pii": op10_pii,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_neighbours": neighbours.ORACLE,
+}
