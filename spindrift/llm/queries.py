@@ -27,6 +27,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read(spark, sf_dir, "documents"))
 
 
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spindrift.llm.licences import scan_documents
+
+    return scan_documents(read(spark, sf_dir, "documents"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spindrift.llm.sharding import shard_documents
 
@@ -58,6 +64,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
+    "op3_licences": op3_licences,
     "op4_sharding": op4_sharding,
     "op7_langid": op7_langid,
     "op8_neardup": op8_neardup,
