@@ -39,6 +39,12 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"))
 
 
+def op6_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spindrift.llm.extraction import extract
+
+    return extract(read(spark, sf_dir, "pages"))
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spindrift.llm.langid import identify
 
@@ -66,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_licences": op3_licences,
     "op4_sharding": op4_sharding,
+    "op6_extraction": op6_extraction,
     "op7_langid": op7_langid,
     "op8_neardup": op8_neardup,
     "op9_neighbours": op9_neighbours,
