@@ -39,6 +39,12 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(read(spark, sf_dir, "documents"))
 
 
+def op5_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spindrift.llm.language_model import score
+
+    return score(read(spark, sf_dir, "documents"))
+
+
 def op6_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from spindrift.llm.extraction import extract
 
@@ -72,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_licences": op3_licences,
     "op4_sharding": op4_sharding,
+    "op5_scoring": op5_scoring,
     "op6_extraction": op6_extraction,
     "op7_langid": op7_langid,
     "op8_neardup": op8_neardup,
