@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spindrift.llm.words import LOWER, chunks, utf8
 
@@ -186,7 +187,7 @@ def keep_identified(docs: DataFrame, **fit_options: int) -> DataFrame:
     carried along the row itself."""
     net = fit(docs, **fit_options)
     names = docs.columns
-    schema = docs.schema.add("__pred", "string")
+    schema = T.StructType([*docs.schema.fields, T.StructField("__pred", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
