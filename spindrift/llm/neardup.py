@@ -2,12 +2,13 @@
 
 1. One pass over the texts gives each document its number of distinct five-word shingles, a 128-bit digest of that
    set, and hashes of the bands of its SuperMinHash signature (Ertl 2017). Equal sets become one class.
-2. Classes that share a band meet in a bucket. A bucket's members are not paired with each other: in each round a few
-   hubs of the bucket (first those that share most bands with others: the texts that copies were made from) are
-   compared with its members of other components. Then the hubs leave the bucket, components are joined, and buckets
-   of one component close. Rounds take four times as many hubs each, until no bucket is open; so every pair that
-   shares a band is either compared or already connected.
-3. A compared pair is linked if 100 * intersection >= percent * union of the full shingle sets.
+2. Classes that share a band meet in a bucket. A bucket's members are not paired with each other: each is compared
+   with the bucket's hub, the member that shares most bands with others (as a rule the text that the copies were made
+   from). This joins almost all groups.
+3. Where the members met through one hub are still of several components, they are compared in blocks of bounded size:
+   a task gets two blocks, counts the intersections of their sets by joining the sorted shingles in numpy, and passes
+   on only the links that join components. So no pair that shares a band is left out, and no pair becomes a row.
+4. A compared pair is linked if 100 * intersection >= percent * union of the full shingle sets.
 
 With 16 bands of 4 rows, a pair of similarity 0.85 shares no band with probability 7e-6.
 
@@ -29,10 +30,11 @@ from spindrift.llm.shared import components, cut
 from spindrift.llm.words import chunks, mix, shingles, utf8, word_hashes
 
 BANDS, ROWS = 16, 4
+#: Members in a block, and shingles that two blocks' intersections are counted over at a time.
+BLOCK, CROSSED = 256, 4_000_000
 SIZE = BANDS * ROWS
 SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
 GOLDEN = 0x9E3779B97F4A7C15
-MAX_ROUNDS = 12
 
 
 def super_minhash(hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> np.ndarray:
@@ -137,44 +139,101 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def intersections(h: np.ndarray, owner: np.ndarray, left: int, right: int) -> np.ndarray:
+    """(left, right) sizes of the intersections of the first ``left`` sets with the ``right`` others; (h, owner) are
+    the sets' elements, distinct within a set. Elements shared by both sides are expanded a stretch at a time."""
+    counts = np.zeros(left * right, np.int64)
+    order = np.lexsort((owner, h))
+    h, owner = h[order], owner[order]
+    begin = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+    end = np.append(begin[1:], len(h))
+    lefts = np.concatenate([[0], np.cumsum(owner < left)])
+    nl = lefts[end] - lefts[begin]
+    nr = end - begin - nl
+    both = (nl > 0) & (nr > 0)
+    begin, nl, nr = begin[both], nl[both], nr[both]
+    size = nl * nr
+    cuts = np.concatenate([[0], np.cumsum(size)])
+    i = 0
+    while i < len(size):
+        j = max(i + 1, int(np.searchsorted(cuts, cuts[i] + CROSSED, side="right")) - 1)
+        token = np.repeat(np.arange(i, j), size[i:j])
+        k = np.arange(cuts[j] - cuts[i]) - (cuts[token] - cuts[i])
+        a = owner[begin[token] + k // nr[token]]
+        b = owner[begin[token] + nl[token] + k % nr[token]] - left
+        counts += np.bincount(a * right + b, minlength=left * right)
+        i = j
+    return counts.reshape(left, right)
+
+
+def linked_blocks(table: pa.Table, percent: int) -> pa.Table:
+    """Links between components among the texts of one or two blocks, at most one less than there are components."""
+    side = table["side"].to_numpy()
+    table = table.take(pa.array(np.argsort(side, kind="stable")))
+    side, rep, comp = (table[c].to_numpy() for c in ("side", "rep", "comp"))
+    left = int((side == 0).sum())
+    one = left == len(side)
+    data, offsets = utf8(table["text"])
+    found = [(x, r + i) for i, j in chunks(offsets) for x, r in [shingles(*word_hashes(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]), j - i)]]
+    h, owner = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+    if one:  # a block with itself
+        h, owner = np.concatenate([h, h]), np.concatenate([owner, owner + left])
+        rep, comp = np.concatenate([rep, rep]), np.concatenate([comp, comp])
+    n = np.bincount(owner, minlength=len(rep))
+    both = intersections(h, owner, left, len(rep) - left)
+    good = (100 * both >= percent * (n[:left, None] + n[None, left:] - both)) & (both > 0) & (comp[:left, None] != comp[None, left:])
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for i, j in np.argwhere(good).tolist():
+        a, b = root(int(comp[i])), root(int(comp[left + j]))
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            out.append((int(rep[i]), int(rep[left + j])))
+    return pa.table([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
 def link_classes(texts: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) between representatives that join what is linked (enough of them for the components)."""
-    spark = texts.sparkSession
-    edges = spark.createDataFrame([], "a long, b long")
-    keyed = classes.select("rep", F.explode("bands").alias("key"))
-    sizes = cut(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most").select("key", "n"))
-    members = keyed.join(sizes, "key")
-    degree = members.groupBy("rep").agg(F.sum("n").alias("degree"))
-    members = cut(members.select("key", "rep").distinct().join(degree, "rep"))
-    if members.isEmpty():
-        return edges
-    near = cut(texts.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
-    labels = members.select("rep", F.col("rep").alias("comp")).distinct()
-    for turn in range(MAX_ROUNDS):
-        hubs_per_bucket = 4**turn
-        lot = F.pmod(F.xxhash64("rep", F.lit(turn)), F.lit(hubs_per_bucket))
-        hubs = cut(
-            members.withColumn("lot", lot).groupBy("key", "lot").agg(F.min(F.struct((-F.col("degree")).alias("d"), "rep", "comp")).alias("h")).select("key", F.col("h.rep").alias("hub"), F.col("h.comp").alias("hub_comp"))
-            if turn
-            else members.groupBy("key").agg(F.min(F.struct((-F.col("degree")).alias("d"), "rep")).alias("h")).select("key", F.col("h.rep").alias("hub"), F.col("h.rep").alias("hub_comp"))
-        )
-        other = members if turn else members.withColumn("comp", F.col("rep"))
-        pairs = other.join(hubs, "key").where("comp <> hub_comp").select("rep", "hub").distinct()
-        with_texts = (
-            pairs.join(near.select(F.col("doc_id").alias("rep"), F.col("text").alias("text_a")), "rep")
-            .join(near.select(F.col("doc_id").alias("hub"), F.col("text").alias("text_b")), "hub")
-            .select("rep", "hub", "text_a", "text_b")
-        )
-        edges = edges.unionByName(cut(with_texts.mapInArrow(lambda b: verified(b, percent), "a long, b long").distinct()))
-        found = components(edges)
-        labels = members.select("rep").distinct().join(found, F.col("rep") == F.col("node"), "left").select("rep", F.coalesce("component", "rep").alias("comp"))
-        rest = members.select("key", "rep", "degree").join(hubs.select("key", F.col("hub").alias("rep")), ["key", "rep"], "left_anti").join(labels, "rep")
-        rest = cut(rest)
-        still = rest.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
-        members = cut(rest.join(still, "key", "left_semi"))
-        if members.isEmpty():
-            return edges
-    raise RuntimeError("buckets stayed open")
+    keyed = cut(classes.select("rep", F.explode("bands").alias("key")))
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most").select("key", "n")
+    members = keyed.join(cut(sizes), "key")
+    members = cut(members)
+    few = few_tasks(members.count())
+    degree = members.groupBy("rep").agg(F.sum("n").alias("degree")).coalesce(few)
+    ranked = cut(members.select("key", "rep").join(degree, "rep").coalesce(few))
+    hubs = ranked.groupBy("key").agg(F.min(F.struct((-F.col("degree")).alias("d"), "rep")).alias("h")).select("key", F.col("h.rep").alias("hub")).coalesce(few)
+    met = cut(ranked.select("key", "rep").join(cut(hubs), "key").select("rep", "hub").distinct().coalesce(few))
+    near = cut(texts.join(met.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"))
+    with_texts = (
+        met.where("rep <> hub").join(near.select(F.col("doc_id").alias("rep"), F.col("text").alias("text_a")), "rep")
+        .join(near.select(F.col("doc_id").alias("hub"), F.col("text").alias("text_b")), "hub")
+        .select("rep", "hub", "text_a", "text_b")
+    )
+    edges = cut(with_texts.mapInArrow(lambda b: verified(b, percent), "a long, b long").distinct().coalesce(few))
+    found = components(edges)
+    labelled = cut(met.join(found, F.col("rep") == F.col("node"), "left").select("rep", "hub", F.coalesce("component", "rep").alias("comp")).coalesce(few))
+    split = labelled.groupBy("hub").agg(F.count("*").alias("n"), F.min("comp").alias("x"), F.max("comp").alias("y")).where("n > 2 and x < y")
+    blocks = split.select("hub", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("nb")).coalesce(few)
+    rest = labelled.join(blocks, "hub").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other")
+    placed = rest.select("hub", "rep", "comp", "block", other).select(
+        "hub", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"), "rep", "comp"
+    )
+    in_blocks = cut(placed.coalesce(few)).join(near.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    more = in_blocks.groupBy("hub", "i", "j").applyInArrow(lambda t: linked_blocks(t, percent), "a long, b long")
+    return edges.unionByName(cut(more))
+
+
+def few_tasks(rows: int) -> int:
+    """Tasks for slim rows: none under 100,000 rows, so that small inputs don't run hundreds of empty ones."""
+    return max(8, rows // 100_000)
 
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:

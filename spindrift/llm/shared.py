@@ -44,16 +44,18 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
             return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
                 e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             )
-        mark = tuple(now)
+        mark, few = tuple(now), max(8, now[0] // 100_000)  # few tasks for few edges
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        small = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("m")).coalesce(few)
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(few).distinct().coalesce(few)
+        small = large.groupBy("u").agg(F.min("v").alias("m")).coalesce(few)
         e = cut(
             large.join(small, "u")
             .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
             .select("e.u", "e.v")
             .where("u != v")
+            .coalesce(few)
             .distinct()
+            .coalesce(few)
         )
     raise RuntimeError("connected components did not settle")
