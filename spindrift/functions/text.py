@@ -35,10 +35,13 @@ def fold(column: Column | str) -> Column:
 
 
 def ngrams(array: Column, n: int = 2) -> Column:
-    """Adjacent runs joined by a space; an empty array where there are too few tokens."""
-    count = F.size(array) - (n - 1)
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.array_join(F.slice(array, i, F.lit(n)), " "))
-    return F.when(array.isNull(), F.lit(None)).when(count < 1, F.array().cast("array<string>")).otherwise(runs)
+    """Adjacent runs joined by a space; an empty array where there are too few tokens. Shifted copies of the array are
+    zipped, so that it is not worked out anew for each element."""
+    count = F.greatest(F.size(array) - (n - 1), F.lit(0))
+    out = F.slice(array, F.lit(1), count)
+    for i in range(1, n):
+        out = F.zip_with(out, F.slice(array, F.lit(i + 1), count), lambda a, b: F.concat_ws(" ", a, b))
+    return F.when(array.isNotNull(), out)
 
 
 def pooled(arrays: list[Column], distinct: bool = True) -> Column:

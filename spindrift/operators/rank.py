@@ -6,26 +6,15 @@ partitioned, numbered within their partition, and shifted by the totals of the p
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _fixed(df: DataFrame) -> DataFrame:
-    """One reading of ``df`` for all that follows, in the cluster's shared checkpoint folder where there is one."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        return df.persist()
-    path = f"{folder.rstrip('/')}/spindrift/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from spindrift.sources.session import fixed
 
 
 def running_counts(counts: DataFrame, order: list, weight: str) -> DataFrame:
     """``counts`` (distinct sort keys) with ``before``: the sum of ``weight`` of all rows earlier in ``order``."""
-    placed = _fixed(counts.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    placed = fixed(counts.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
     shift = placed.groupBy("_part").agg(F.sum(weight).alias("_sum"))
     shift = shift.select("_part", (F.sum("_sum").over(Window.orderBy("_part")) - F.col("_sum")).alias("_shift"))
     here = Window.partitionBy("_part").orderBy(*order)

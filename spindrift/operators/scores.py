@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from spindrift.functions import scalars
 from spindrift.operators import rank, stats
+from spindrift.sources.session import fixed
 
 INCOME, EDUCATION = ["low", "mid", "high"], ["zs", "ss_no", "ss_yes", "vs"]
 WEIGHTS = {"interest": 3 / 12, "url": 5 / 12, "other": 4 / 12}
@@ -64,8 +65,9 @@ def other_scores(flags: DataFrame, coefficients: DataFrame, brackets: list[str])
 
 
 def transformed(scores: DataFrame, brackets: list[str], sharpness: float = 1.0, normalise: bool = True) -> DataFrame:
-    """Box-Cox, standardisation and a sigmoid to (-1, 1)."""
+    """Box-Cox, standardisation and a sigmoid to (-1, 1). The scores are read many times, so they are fixed first."""
     cols = named(brackets)
+    scores = fixed(scores)
     out = stats.box_cox_transform(scores, cols) if normalise else scores
     return stats.standardise(out, cols).withColumns({c: scalars.sigmoid(F.col(c), sharpness) for c in cols})
 
@@ -79,7 +81,7 @@ def blended(parts: dict[str, DataFrame], brackets: list[str], weights: dict[str,
         out = part if out is None else out.join(part, "user_id", "left")
     out = out.dropna("any")
     score = {c: scalars.positive_sigmoid(scalars.total([weights[n] * F.col(f"{n}_{c}") for n in parts])) for c in cols}
-    return rank.percent_ranks(out.select("user_id", *[v.alias(c) for c, v in score.items()]), cols)
+    return rank.percent_ranks(fixed(out.select("user_id", *[v.alias(c) for c, v in score.items()])), cols)
 
 
 def combinations(income: str = "income_", education: str = "education_") -> dict[str, Column]:

@@ -52,7 +52,7 @@ def box_cox_transform(df: DataFrame, columns: list[str], **grid) -> DataFrame:
 
 def standardise(df: DataFrame, columns: list[str]) -> DataFrame:
     """Centred, with unit sample deviation (0 where it is 0); rows with a NULL among the columns are left out."""
-    rows = df.dropna("any", columns)
+    rows = df.dropna(how="any", subset=columns)
     stats = rows.agg(*[F.avg(c).alias(f"_m_{c}") for c in columns], *[F.stddev_samp(c).alias(f"_s_{c}") for c in columns])
     scaled = {c: F.when(F.coalesce(F.col(f"_s_{c}"), F.lit(0.0)) == 0, 0.0).otherwise((F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")) for c in columns}
     return rows.crossJoin(F.broadcast(stats)).withColumns(scaled).select(*df.columns)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -33,3 +34,15 @@ def local_session(cores: int = 8, **conf: str) -> SparkSession:
     for key, value in settings.items():
         builder = builder.config(key, value)
     return ship_package(builder.getOrCreate())
+
+
+def fixed(df: DataFrame) -> DataFrame:
+    """One reading of ``df`` for all that follows: a table in the folder of ``spark.checkpoint.dir`` where the cluster
+    names one, else (on one machine) kept by Spark."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        return df.persist()
+    path = f"{folder.rstrip('/')}/spindrift/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
