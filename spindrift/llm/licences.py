@@ -136,3 +136,25 @@ def scan_documents(docs: DataFrame, threshold: float = 0.6) -> DataFrame:
     path = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.call_function("div", doc_id, F.lit(10_000)).cast("string"), F.call_function("div", doc_id, F.lit(500)).cast("string"), doc_id.cast("string"))
     files = docs.select(doc_id.alias("doc_id"), F.when(doc_id.isNotNull(), path).alias("path"), F.col("text").cast("string").alias("text"), (F.pmod(doc_id, F.lit(500)) < 100).alias("stands"))
     return scan(files, keep=("doc_id",), stands_for="stands", threshold=threshold)
+
+
+def oracle(threshold: float = 0.6) -> str:
+    """``scan_documents`` in SQL, for tables whose doc_id is unique."""
+    rows, unknown = template_terms()
+    listed = ", ".join(f"('{t}', '{w}', {x}, {i})" for t, w, x, i in rows)
+    return rf"""
+WITH tpl AS (SELECT * FROM (VALUES {listed}) AS t(template, term, weight, idf)),
+idf AS (SELECT DISTINCT term, idf FROM tpl),
+files AS (SELECT doc_id, concat_ws('/', coalesce(source, 'none'), CAST(doc_id // 10000 AS VARCHAR), CAST(doc_id // 500 AS VARCHAR)) AS dir, doc_id % 500 < 100 AS stands, text FROM documents),
+lines AS (SELECT doc_id, unnest(l) AS notice, unnest(range(0, len(l))) AS unit FROM (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{CUE}')) AS l FROM files)),
+words AS (SELECT doc_id, unit, unnest(regexp_extract_all(lower(notice), '{TERM}')) AS term FROM lines),
+tf AS (SELECT doc_id, unit, term, count(*) * coalesce(max(idf), {unknown}) AS w FROM words LEFT JOIN idf USING (term) GROUP BY 1, 2, 3),
+norm AS (SELECT doc_id, unit, sqrt(sum(w * w)) AS norm FROM tf GROUP BY 1, 2),
+cosine AS (SELECT doc_id, unit, template, round(sum(w * weight) / max(norm), 6) AS cosine FROM tf JOIN tpl USING (term) JOIN norm USING (doc_id, unit) GROUP BY 1, 2, 3),
+own AS (SELECT doc_id, template AS own_licence, cosine AS own_cosine FROM cosine WHERE cosine >= {threshold} QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY cosine DESC, template) = 1),
+lean AS (SELECT f.doc_id, dir, dir || '/' || CAST(f.doc_id AS VARCHAR) AS path, stands, own_licence, own_cosine FROM files f LEFT JOIN own USING (doc_id)),
+of_dir AS (SELECT dir, own_licence AS dir_licence FROM lean WHERE stands AND own_licence IS NOT NULL QUALIFY row_number() OVER (PARTITION BY dir ORDER BY own_cosine DESC, path) = 1),
+dirs AS (SELECT DISTINCT dir FROM lean),
+nearest AS (SELECT d.dir, o.dir AS above, dir_licence FROM dirs d JOIN of_dir o ON d.dir = o.dir OR starts_with(d.dir, o.dir || '/') OR o.dir = '' QUALIFY row_number() OVER (PARTITION BY d.dir ORDER BY length(o.dir) DESC) = 1)
+SELECT doc_id, path, own_licence, own_cosine, coalesce(own_licence, dir_licence) AS licence, CASE WHEN own_licence IS NULL THEN above END AS inherited_from FROM lean LEFT JOIN nearest USING (dir)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spindrift.llm import neighbours
+from spindrift.llm import licences, neighbours, sharding
 from spindrift.sources.session import ship_package
 
 
@@ -28,15 +28,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from spindrift.llm.licences import scan_documents
-
-    return scan_documents(read(spark, sf_dir, "documents"))
+    return licences.scan_documents(read(spark, sf_dir, "documents"))
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from spindrift.llm.sharding import shard_documents
-
-    return shard_documents(read(spark, sf_dir, "documents"))
+    return sharding.shard_documents(read(spark, sf_dir, "documents"))
 
 
 def op5_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,5 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_licences": licences.oracle(),
+    "op4_sharding": sharding.oracle(),
     "op9_neighbours": neighbours.ORACLE,
 }

@@ -85,3 +85,37 @@ def shard_documents(docs: DataFrame, shards: int = 40, seed: int = 20_240_131) -
         F.call_function("div", F.col("__p"), F.lit(shards)).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"), "row_no",
     )
+
+
+def oracle(shards: int = 40, seed: int = 20_240_131) -> str:
+    """The same result in SQL: the permutation of row numbers, walked by a recursive query, and the checksum of the
+    texts' bytes by a fold over their hexadecimal digits."""
+    table = []
+    for b in range(256):
+        for _ in range(8):
+            b = b >> 1 ^ (0xEDB88320 if b & 1 else 0)
+        table.append(b)
+    half = lambda x, i, mod: f"(CAST('0x' || substr(md5(CAST({x} AS VARCHAR) || ':{seed}:{i}'), 1, 15) AS BIGINT) % {mod})"
+    rounds, names = [], ("a", "b")
+    for i in range(ROUNDS):
+        own, other = ("l", "r") if i % 2 == 0 else ("r", "l")
+        moved = f"({own} + {half(other, i, names[i % 2])}) % {names[i % 2]} AS {own}"
+        rounds.append(f"f{i + 1} AS (SELECT * EXCLUDE ({own}), {moved} FROM f{i})")
+    once = ", ".join(rounds)
+    return f"""
+WITH RECURSIVE bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+lean AS (SELECT doc_id, CAST(length(h) // 2 + 16 AS BIGINT) AS size,
+  xor(list_reduce(list_prepend(4294967295, list_transform(range(0, length(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+    lambda c, x: xor(c >> 8, {table}[CAST(xor(c & 255, x) AS INT) + 1])), 4294967295) AS text_crc32 FROM bytes),
+numbered AS (SELECT *, row_number() OVER (ORDER BY doc_id, text_crc32, size) - 1 AS row_no FROM lean),
+size AS (SELECT n, CAST(greatest(1, ceil(sqrt(n))) AS BIGINT) AS a FROM (SELECT count(*) AS n FROM lean)),
+dims AS (SELECT n, a, CAST(ceil(n / a) AS BIGINT) AS b FROM size),
+walk AS (
+  SELECT row_no, row_no AS p, 0 AS step FROM numbered
+  UNION ALL
+  SELECT row_no, p, step FROM (
+    WITH f0 AS (SELECT row_no, step + 1 AS step, p // b AS l, p % b AS r, a, b FROM walk, dims WHERE step = 0 OR p >= n), {once}
+    SELECT row_no, l * b + r AS p, step FROM f{ROUNDS})),
+placed AS (SELECT row_no, arg_max(p, step) AS p FROM walk GROUP BY 1)
+SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law, CAST(p % {shards} AS INT) AS shard, p // {shards} AS slot, CAST(NULL AS INT) AS grown_shard, row_no FROM numbered JOIN placed USING (row_no)
+"""
