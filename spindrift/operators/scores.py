@@ -95,3 +95,10 @@ def abcde(df: DataFrame) -> DataFrame:
     rows = df.select("user_id", *[v.alias(k) for k, v in pairs.items()])
     letters = scalars.brackets({k: F.col(k) for k in pairs})
     return rank.percent_ranks(rows.select("user_id", *[v.alias(k) for k, v in letters.items()]), list(letters))
+
+
+def missing_parts(stored: DataFrame, family: str, timestamp: Column, parts: dict) -> dict[str, DataFrame]:
+    """Of the named parts (functions without arguments that give a frame) those that the table of partial scores
+    (family, part, timestamp, ...) has not yet for a run; only these are built."""
+    done = {r[0] for r in stored.where((F.col("family") == family) & (F.col("timestamp") == timestamp)).select("part").distinct().collect()}
+    return {name: build() for name, build in parts.items() if name not in done}

@@ -54,3 +54,10 @@ def lookalike_targets(users: DataFrame, members: DataFrame, models: DataFrame, n
     found = members.join(of_model, "segment_id").groupBy("user_id").pivot("model", names).agg(F.max(F.lit(1)))
     out = users.join(found, "user_id", "left").fillna(0, names)
     return out.withColumn("models", scalars.flag_list({n: F.col(n) for n in names}))
+
+
+def list_matches(views: DataFrame, lists: DataFrame) -> DataFrame:
+    """user_id, band, n_primary, n_secondary: views of curated domains (columns band, tier, domain of ``lists``, a small
+    table that callers keep) by the audience band they speak for."""
+    met = views.join(lists.select("band", "tier", "domain").distinct(), "domain")
+    return met.groupBy("user_id", "band").agg(F.count_if(F.col("tier") == "primary").alias("n_primary"), F.count_if(F.col("tier") == "secondary").alias("n_secondary"))

@@ -678,3 +678,19 @@ def stream_sessions(spark, sf):
     from spindrift.streaming.sessions import stream_sessions as closed
 
     return closed(X.hits(spark, sf)).select("device", epoch("session_start").alias("started"), epoch("session_end").alias("ended"), "n_events")
+
+
+LISTS = [("men", "primary", "example.com"), ("men", "secondary", "example.net"), ("women", "primary", "example.org"), ("women", "secondary", "example.com")]
+
+
+@query(f"WITH {Q.VIEWS} SELECT user_id, band, count(*) FILTER (tier = 'primary') AS n_primary, count(*) FILTER (tier = 'secondary') AS n_secondary FROM views JOIN {Q.values(LISTS, 'band, tier, domain')} USING (domain) GROUP BY 1, 2")
+def list_matches(spark, sf):
+    return targets.list_matches(X.views(spark, sf), X.literal(spark, LISTS, ["band", "tier", "domain"]))
+
+
+@query("WITH parts AS (SELECT o_orderkey % 3 AS part, o_orderdate AS day, count(*) AS n FROM orders GROUP BY 1, 2) SELECT part, max(n) AS most FROM parts WHERE part <> 0 GROUP BY 1")
+def partial_scores(spark, sf):
+    o = X.table(spark, sf, "orders").groupBy((F.col("o_orderkey") % 3).alias("part"), F.col("o_orderdate").alias("day")).agg(F.count("*").alias("n"))
+    stored = o.select(F.lit("income").alias("family"), F.lit(0).alias("part"), F.lit(1).alias("timestamp")).limit(1)
+    built = scores.missing_parts(stored, "income", F.lit(1), {k: (lambda k=k: o.where(F.col("part") == k)) for k in (0, 1, 2)})
+    return io.union_all(list(built.values())).groupBy("part").agg(F.max("n").alias("most"))
