@@ -31,7 +31,7 @@ from spindrift.llm.words import chunks, mix, shingles, utf8, word_hashes
 
 BANDS, ROWS = 16, 4
 #: Members in a block, and shingles that two blocks' intersections are counted over at a time.
-BLOCK, CROSSED = 256, 4_000_000
+BLOCK, CROSSED = 256, 1_000_000
 SIZE = BANDS * ROWS
 SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
 GOLDEN = 0x9E3779B97F4A7C15

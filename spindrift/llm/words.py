@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes worked on at a time; a longer single text is still taken whole.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 LOWER = np.arange(256, dtype=np.uint8)
