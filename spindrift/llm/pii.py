@@ -7,7 +7,7 @@ numbers, IBANs. Labelers: the strict pattern and its check (regex), lists of top
 and address ranges (gazetteer), words before the span (context), and what touches it (edge). Each votes 1, 0 or
 abstains (-1). Votes are counted by kind and pattern over all documents; these counts, at most a few hundred rows
 whatever the input's size, are all that reaches the driver, where the two small fits run. The classifier is then a
-Column expression. Base spans always stay; accepted others are added unless they overlap a base span.
+Column expression. Base spans always stay; accepted others are added unless they overlap a base span or a longer added one.
 
 Patterns are possessive, and start where a run of their first characters starts, so no text makes them backtrack far.
 
@@ -199,8 +199,17 @@ def decided(docs: DataFrame, keep: list[str], threshold: float = 0.5) -> DataFra
     more = F.filter("cands", lambda c: ~c["base"] & (chance(c, weights) >= threshold))
     slim = lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["stop"].alias("stop"), c["base"].alias("base"))
     rows = rows.withColumn("__base", F.transform(base, slim)).withColumn("__more", F.transform(more, slim)).drop("cands")
-    free = F.filter("__more", lambda c: ~F.exists("__base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
-    return rows.withColumn("found", F.array_sort(F.concat("__base", free))).drop("__base", "__more")
+
+    def wins(c: Column, d: Column) -> Column:
+        """Whether an added span d overlaps c and is longer, or as long and of an earlier kind or place."""
+        size = lambda x: x["stop"] - x["start"]
+        earlier = (d["kind"] < c["kind"]) | ((d["kind"] == c["kind"]) & (d["start"] < c["start"]))
+        return (d["start"] < c["stop"]) & (c["start"] < d["stop"]) & ((size(d) > size(c)) | ((size(d) == size(c)) & earlier))
+
+    clear = F.filter("__more", lambda c: ~F.exists("__base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
+    rows = rows.withColumn("__free", clear)
+    free = F.filter("__free", lambda c: ~F.exists("__free", lambda d: wins(c, d)))
+    return rows.withColumn("found", F.array_sort(F.concat("__base", free))).drop("__base", "__more", "__free")
 
 
 def of_kind(i: int):
