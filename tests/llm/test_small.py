@@ -236,6 +236,15 @@ def test_personal_data(spark, docs):
     assert pii.find_personal_data(docs([])).count() == 0
 
 
+def test_added_spans(spark, docs):
+    text = 'Write to j.doe [at] example [dot] com, call (212) 555-0100. SSN: 123-45-6789, IBAN DE89 3704 0044 0532 0130 00, password = "hunter22x"'
+    rows = [(i, f"mail a{i}@b.com tel +1234567890{i % 10} no {i}{i + 7} 300.1.1.{i} done") for i in range(40)] + [(99, text)]
+    spans = {r.doc_id: r.spans for r in pii.find_personal_data(docs(rows)).collect()}[99].split(",")
+    found = sorted((int(a), int(b)) for _, a, b in (x.split(":") for x in spans))
+    assert all(a[1] <= b[0] for a, b in zip(found, found[1:], strict=False))
+    assert {"ssn", "iban", "secret"} <= {x.split(":")[0] for x in spans}
+
+
 def test_reliabilities():
     rows = [(0, (1, 1, 1, 1), 900), (0, (0, 0, -1, 0), 500), (1, (-1, 1, 1, 1), 30), (1, (-1, 0, -1, 0), 40)]
     p = pii.reliabilities(rows)
@@ -312,7 +321,7 @@ def test_probabilities_sum_to_one_at_most():
     plan.hot = plan.hot[:0]
     batch = pa.RecordBatch.from_arrays([pa.array([d for d in range(200) if brute.in_training(d)][:20]), pa.array(texts)], names=["doc_id", "text"])
     table = next(language_model.sent(iter([batch]), Shared))
-    trie = language_model.Trie(table.to_pylist(), {})
+    trie = language_model.Trie(table.to_pylist(), plan.hot, plan.hot, 1)
     every = np.asarray([*counts, np.uint64(77)], np.uint64)
     p1 = plan.unigram.levels[plan.unigram_codes(every)]
     assert p1.sum() <= 1 + 1e-9
