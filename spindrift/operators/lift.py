@@ -48,9 +48,16 @@ def word_lift(rows: DataFrame, inside: Column, least: int = 10) -> DataFrame:
 
 
 def related(vectors: DataFrame, queries: DataFrame, n: int, key: str = "word", vector: str = "vector") -> DataFrame:
-    """(word, score, n_queries): the words nearest to a bounded set of query words by summed cosine, best n."""
-    unit = lambda df, name: df.select(F.col(key).alias(name), F.transform(vector, lambda x: x / F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, v: a + v.cast("double") * v))).alias(f"v_{name}"))
-    pairs = unit(vectors, "word").join(unit(queries, "query"), F.col("word") != F.col("query"))
-    cosine = F.aggregate(F.zip_with("v_word", "v_query", lambda x, y: x * y), F.lit(0.0), lambda a, v: a + v)
-    sums = pairs.select("word", cosine.alias("c")).groupBy("word").agg(F.sum("c").alias("score"), F.count("*").alias("n_queries"))
-    return rank.top_n(sums, "score", n, "word")
+    """(word, score, n_queries): the words nearest to the query words by summed cosine, best n. The cosines of a word
+    with all queries sum to its product with the sum of their unit vectors, one row, so nothing is paired; a query word
+    itself counts for the others alone."""
+    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+    unit = lambda df: df.withColumn("_norm", norm).where("_norm > 0").select(key, F.transform(vector, lambda x: x.cast("double") / F.col("_norm")).alias("_v"))
+    places = unit(queries).select(F.posexplode("_v").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x"))
+    whole = places.agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda p: p["x"]).alias("_sum"))
+    whole = whole.crossJoin(F.broadcast(unit(queries).agg(F.count("*").alias("_n"))))
+    asked = queries.select(F.col(key).alias("_asked")).distinct()
+    rows = unit(vectors).crossJoin(F.broadcast(whole)).join(asked, F.col(key) == F.col("_asked"), "left").withColumn("_own", F.col("_asked").isNotNull().cast("int"))
+    score = F.aggregate(F.zip_with("_v", "_sum", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x) - F.col("_own")
+    out = rows.select(F.col(key).alias("word"), score.alias("score"), (F.col("_n") - F.col("_own")).alias("n_queries"))
+    return rank.top_n(out, "score", n, "word")

@@ -594,10 +594,15 @@ def lift_generalized(spark, sf):
     return lifted(lift.curve(X.predictions(spark, sf), "score", "toxic", "doc_id", positive=0))
 
 
-@query()
+def lift_half(remainder: int) -> str:
+    return f"(WITH p AS (SELECT l.doc_id, d.n_chars % 997 / 997.0 AS score, CAST(l.quality = 1 AS INT) AS hit FROM labels l JOIN documents d USING (doc_id) WHERE l.doc_id % 2 = {remainder}), {LIFT} {LIFT_OUT})"
+
+
+@query(f"SELECT a.bucket, a.cum_lift AS cum_lift_train, b.cum_lift AS cum_lift_test FROM {lift_half(0)} a JOIN {lift_half(1)} b USING (bucket)")
 def lift_train_test(spark, sf):
     p = X.predictions(spark, sf)
-    return lift.train_test(p.where("doc_id % 2 = 0"), p.where("doc_id % 2 = 1"), "score", "quality", "doc_id")
+    out = lift.train_test(p.where("doc_id % 2 = 0"), p.where("doc_id % 2 = 1"), "score", "quality", "doc_id")
+    return out.select("bucket", *r6("cum_lift_train", "cum_lift_test"))
 
 
 @query(
@@ -619,10 +624,13 @@ def word_lift(spark, sf):
     return lift.word_lift(rows, F.col("owner_name") == "click").select("hits", "occurrence_in", "occurrence_all", *r6("hitrate", "direction", "improvement"))
 
 
-@query()
+@query(
+    "WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), s AS (SELECT w.vec_id AS word, sum(list_cosine_similarity(w.e, q.e)) AS score, count(*) AS n_queries FROM v w JOIN v q ON q.vec_id < 5 AND q.vec_id <> w.vec_id GROUP BY 1)"
+    " SELECT word, round(score, 6) AS score, n_queries FROM s ORDER BY s.score DESC, word LIMIT 20"
+)
 def related_words(spark, sf):
     v = X.table(spark, sf, "embeddings").select(F.col("vec_id").alias("word"), F.col("embedding").alias("vector"))
-    return lift.related(v, v.where("word < 5"), 20)
+    return lift.related(v, v.where("word < 5"), 20).select("word", *r6("score"), "n_queries")
 
 
 # assembly
