@@ -259,6 +259,12 @@ def stem_cs(spark, sf):
     return t.select("doc_id", F.size("t").alias("n_tokens"), F.size(F.array_distinct("t")).alias("n_stems"), F.md5(F.array_join("t", " ")).alias("digest"))
 
 
+@query()
+def stem_cs_aggressive(spark, sf):
+    t = X.table(spark, sf, "documents").select("doc_id", text.stem_czech(text.tokens("text", unicode=True), aggressive=True).alias("t"))
+    return t.select("doc_id", F.size("t").alias("n_tokens"), F.size(F.array_distinct("t")).alias("n_stems"))
+
+
 @query(
     f"WITH {Q.ORDERED} SELECT url_normalized, min({Q.labels(1)}) AS url_domain_full, min({Q.labels(2)}) AS url_domain_1_level, min({Q.labels(3)}) AS url_domain_2_level, min({Q.steps('url', urls.AD)}) AS url_ad_format, min({Q.steps('url', urls.TWO_LEVEL)}) AS url_two_level, count(*) AS n FROM ordered GROUP BY 1"
 )

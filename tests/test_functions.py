@@ -78,7 +78,12 @@ def test_stems(spark, word, stem):
         assert got == stem
 
 
-def by_rules(word: str) -> str:
+@pytest.mark.parametrize("word", ["nejhezčejš", "domeček", "knížeček", "vojáček", "chlapisk", "učitel", "ionářionář", "vlastnost", "malíř", "kavárn", "psík", "dub"])
+def test_aggressive_stems(spark, word):
+    assert one(spark, word, text.stem_czech(F.array("x"), aggressive=True))[0] == by_rules(word, text.ALL_STEPS)
+
+
+def by_rules(word: str, steps=text.LIGHT_STEPS) -> str:
     """The endings' tables applied in plain Python."""
     import re
 
@@ -97,7 +102,9 @@ def by_rules(word: str) -> str:
 
     if not re.match(r"^\w+$", word) or not (word.islower() or word.istitle() or word.isupper()):
         return word
-    s = walk(walk(word.lower(), text.CASES), text.POSSESSIVES)
+    s = word.lower()
+    for rules in steps:
+        s = walk(s, rules)
     return s.upper() if word.isupper() else s.capitalize() if word.istitle() else s
 
 
