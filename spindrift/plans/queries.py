@@ -367,19 +367,20 @@ def column_percentiles(spark, sf):
 # scores
 
 
-def features(spark: SparkSession, sf: str) -> DataFrame:
-    s, v = X.sessions(spark, sf), X.views(spark, sf)
+def features(s: DataFrame) -> DataFrame:
+    v = X.views_of(s)
     users = behaviour.categories(s).select("user_id", "browser_most_common", "device_type_most_common")
     return users.join(behaviour.device_counts(s).select("user_id", "n_device_categories"), "user_id", "left").join(behaviour.page_view_misc(v).select("user_id", "engine_most_common"), "user_id", "left")
 
 
 def raw_scores(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    v, voc = fixed(X.views(spark, sf)), vocabulary(spark)
+    s, voc = fixed(X.sessions(spark, sf)), vocabulary(spark)
+    v = X.views_of(s)
     aff = interests.affinities(interests.tokens_of_interest(v, voc), voc)
     return {
         "interest": scores.interest_scores(aff, X.coefficients(spark, X.INTEREST_COEFFICIENTS, "interest"), INCOME),
         "url": scores.url_scores(v, X.coefficients(spark, X.URL_COEFFICIENTS, "domain"), INCOME),
-        "other": scores.other_scores(scores.web_flags(features(spark, sf)), X.coefficients(spark, X.FLAG_COEFFICIENTS, "flag"), INCOME),
+        "other": scores.other_scores(scores.web_flags(features(s)), X.coefficients(spark, X.FLAG_COEFFICIENTS, "flag"), INCOME),
     }
 
 
@@ -403,7 +404,7 @@ def other_score(spark, sf):
 
 @query(f"WITH {Q.USERS} SELECT * FROM flags")
 def web_flags(spark, sf):
-    return scores.web_flags(features(spark, sf))
+    return scores.web_flags(features(X.sessions(spark, sf)))
 
 
 def income(spark: SparkSession, sf: str, normalise: bool) -> DataFrame:
@@ -528,7 +529,7 @@ SCHEMA = T.StructType([T.StructField("n_device_categories", T.LongType()), T.Str
 
 def model_inputs(spark: SparkSession, sf: str) -> DataFrame:
     collected = X.views(spark, sf).groupBy("user_id").agg(F.collect_set("domain").alias("urls"))
-    joined, _ = models.with_urls(features(spark, sf), collected)
+    joined, _ = models.with_urls(features(X.sessions(spark, sf)), collected)
     flagged = models.with_url_flags(joined, {"example_flag": "example.com"})
     return models.prepared(flagged, models.fields_of(SCHEMA), {"browser_most_common": ["chrome", "safari"]})
 

@@ -65,7 +65,12 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = S.page_views(sessions(spark, sf_dir)).withColumn("user_id", F.col("device"))
+    return views_of(sessions(spark, sf_dir))
+
+
+def views_of(rolled: DataFrame) -> DataFrame:
+    """Page views of sessions, with their tokens and domain."""
+    v = S.page_views(rolled).withColumn("user_id", F.col("device"))
     return v.withColumns({"tokens": text.tokens("url_normalized"), "domain": urls.domain("url", 1)})
 
 
