@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindrift.llm.words import chunks, mix, utf8, word_hashes
+from spindrift.llm.words import chunks, mix, trimmed, utf8, word_hashes
 
 PERCENT, SHORT, BLOCK_BYTES = 20, 8, 16_000_000
 SCHEMA = "doc_id long, item_id long, distance long, item_words long, first_word long, end_word long"
@@ -159,7 +159,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT) ->
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
         block = ([r[0] for r in part], [r[1] for r in part], percent)
-        found = texts.mapInArrow(lambda it, block=block: scanned(it, block), SCHEMA)
+        found = texts.mapInArrow(lambda it, block=block: trimmed(scanned(it, block)), SCHEMA)
         out = found if out is None else out.unionByName(found)
     return out
 

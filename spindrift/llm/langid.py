@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spindrift.llm.words import LOWER, chunks, utf8
+from spindrift.llm.words import LOWER, chunks, trimmed, utf8
 
 WINDOW, WIDTHS, FILTERS, DIM = 256, (2, 3, 4), 16, 8
 SPAN = max(WIDTHS)
@@ -177,7 +177,7 @@ def identify(docs: DataFrame, per_lang: int = 400, pieces: int = 4, net: Network
         held_out(F.col("doc_id")).alias("held_out"),
         F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"),
     )
-    return rows.mapInArrow(lambda b: predicted(b, net), SCHEMA)
+    return rows.mapInArrow(lambda b: trimmed(predicted(b, net)), SCHEMA)
 
 
 def keep_identified(docs: DataFrame, **fit_options: int) -> DataFrame:
@@ -200,4 +200,4 @@ def keep_identified(docs: DataFrame, **fit_options: int) -> DataFrame:
         F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("__text"), held_out(F.col("doc_id")).alias("__held"),
         F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("__lettered"),
     )
-    return rows.mapInArrow(run, schema).where("__pred <> 'und'").drop("__pred")
+    return rows.mapInArrow(lambda b: trimmed(run(b)), schema).where("__pred <> 'und'").drop("__pred")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spindrift.llm.shared import components, cut
-from spindrift.llm.words import chunks, mix, shingles, utf8, word_hashes
+from spindrift.llm.words import chunks, mix, shingles, trimmed, utf8, word_hashes
 
 BANDS, ROWS = 16, 4
 #: Members in a block, and shingles that two blocks' intersections are counted over at a time.
@@ -125,7 +125,7 @@ def verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sig = cut(texts.mapInArrow(signed, SIGNED))
+    sig = cut(texts.mapInArrow(lambda b: trimmed(signed(b)), SIGNED))
     classes = cut(
         sig.where("doc_id is not null and n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     )
@@ -216,7 +216,7 @@ def link_classes(texts: DataFrame, classes: DataFrame, percent: int) -> DataFram
         .join(near.select(F.col("doc_id").alias("hub"), F.col("text").alias("text_b")), "hub")
         .select("rep", "hub", "text_a", "text_b")
     )
-    edges = cut(with_texts.mapInArrow(lambda b: verified(b, percent), "a long, b long").distinct().coalesce(few))
+    edges = cut(with_texts.mapInArrow(lambda b: trimmed(verified(b, percent)), "a long, b long").distinct().coalesce(few))
     found = components(edges)
     labelled = cut(met.join(found, F.col("rep") == F.col("node"), "left").select("rep", "hub", F.coalesce("component", "rep").alias("comp")).coalesce(few))
     split = labelled.groupBy("hub").agg(F.count("*").alias("n"), F.min("comp").alias("x"), F.max("comp").alias("y")).where("n > 2 and x < y")

@@ -27,10 +27,12 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from spindrift.llm.words import trimmed
+
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
 SENTENCE_PENALTY, FORCED_PENALTY, FORCED_STEP = 4, 24, 32
 #: Windows in a stretch, and words whose ids a Python worker keeps (bounded memory; more are encoded again).
-STRETCH, WORDS_KEPT = 256, 1_200_000
+STRETCH, WORDS_KEPT = 256, 900_000
 
 _cache: dict[str, tuple[object, dict[str, bytes], np.ndarray]] = {}
 
@@ -165,4 +167,4 @@ def packed(batches: Iterator[pa.RecordBatch], name: str, end_id: int, width: int
 
 def pack(docs: DataFrame, width: int = 4096, name: str = "word_bpe_49k.json", end_id: int = 2) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_tokens."""
-    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(lambda b: packed(b, name, end_id, width), SCHEMA)
+    return docs.selectExpr("cast(doc_id as long) doc_id", "cast(text as string) text").mapInArrow(lambda b: trimmed(packed(b, name, end_id, width)), SCHEMA)

@@ -6,6 +6,9 @@ over its bytes modulo 2**64, mixed; prefix sums give the hashes of all words wit
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -19,6 +22,14 @@ IN_WORD = np.ones(256, dtype=bool)
 IN_WORD[[0x20, *range(0x09, 0x0E)]] = False
 
 
+def trimmed(batches):
+    """The batches, and then what the process's allocators hold but do not use goes back: workers live on after tasks."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser over uint64 (xor-shift and multiply, twice)."""
     x = x ^ (x >> np.uint64(30))
