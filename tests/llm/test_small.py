@@ -356,6 +356,31 @@ def test_wrapper_is_an_expression():
     json.dumps(w)
 
 
+def test_pages_are_matched_with_their_wrapper(spark):
+    """Texts of the template within the region go, at any length of the page; slots and groups stay."""
+    page = "<html><body><div class='post'>" + "".join("<h2>Part {0} %d</h2><p>Own {0} %d</p><ul><li>x</li></ul>" % (i, i) + "<hr>" * (i % 3) for i in range(900)) + "<h4>Posted by the staff</h4><h5>Tail {0}</h5></div></body></html>"
+    df = spark.createDataFrame([(i, f"http://h.example.com/p{i}", page.format(i)) for i in range(8)], "page_id long, url string, html string")
+    for r in extraction.extract(df).collect():
+        lines = r.text.split("\n")
+        assert r.wrapped and lines[0] == f"Part {r.page_id} 0" and lines[-1] == f"Tail {r.page_id}" and len(lines) > 1800
+        assert "Posted by the staff" not in lines
+
+
+def test_common_subsequence(monkeypatch):
+    rng = random.Random(3)
+    for limit in (1, 50, 10**6):
+        monkeypatch.setattr(extraction, "TABLE", limit)
+        for _ in range(60):
+            a, b = ([rng.choice("abcd") for _ in range(rng.randrange(30))] for _ in range(2))
+            best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+            for i, x in enumerate(a):
+                for j, y in enumerate(b):
+                    best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+            pairs = extraction.common(a, b)
+            assert len(pairs) == best[-1][-1] and all(a[i] == b[j] for i, j in pairs)
+            assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(0)
     x = rng.normal(size=(900, 16)).astype(np.float32)
