@@ -4,16 +4,18 @@ Training documents are those whose crc32(id) modulo 5 is not 1. The model interp
 
     P(w | v) = max(c(v, w) - D, 0) / c(v)  +  D * n(v) / c(v) * P(w),        P(w) alone after an unknown v
 
-c(v) counts v, n(v) its distinct followers; D is the share n1 / (n1 + 2 n2) of the shard's bigrams that occur once (n1)
-and twice (n2), and a constant for first words that are split over shards. P(w) is the discounted unigram of the ``top`` most frequent words (a table
+c(v) counts v, n(v) its distinct followers; D is the share n1 / (n1 + 2 n2), held between 0.5 and 0.95, of all distinct
+bigrams that occur once (n1) and twice (n2). P(w) is the discounted unigram of the ``top`` most frequent words (a table
 of a fixed largest size, sent to all tasks); all other words, unknown ones as one more among them, share the rest evenly.
-Probabilities are quantised to 8 bits, downwards, so they sum to one at most.
+Probabilities are quantised to 8 bits, downwards, so they sum
+to one at most. The number of shards changes no score.
 
 The bigrams are split over shards by their first word; a first word so frequent that it would fill a shard is split
-further by its second word (each shard then has an even part of its followers and infers the whole, less three times
-the error of that). A task sends each shard its
-bigrams once, sorted, with their counts in training and the documents they occur in. The shard's task builds a trie of
-two levels from them, byte columns that are read without decoding: sorted first words, pointers to their followers,
+further by its second word. A task sends each shard its bigrams once, sorted, with their counts in training and the
+documents they occur in. The same rows are read twice: first each shard counts n1, n2 and its followers of split words;
+these counts are summed (n(v) is exact, as a bigram is in one shard)
+and handed to the shards. Then the shard's task builds a trie of two levels, byte columns that are read without decoding:
+sorted first words, pointers to their followers,
 followers relative to the first word (ranks in the shard's list of words, made monotone by the number of the first
 word), both sequences in Elias-Fano form, and codes of quantised probabilities. It then asks the trie for every bigram,
 a successor search among the followers of its first word, and passes on sums by document. All counts cover all
@@ -160,7 +162,7 @@ def counted_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 class Plan:
     """What all tasks share: the table of frequent words, the shards, and the first words that are split."""
 
-    def __init__(self, n: int, v: int, words: np.ndarray, counts: np.ndarray, shards: int):
+    def __init__(self, n: int, v: int, words: np.ndarray, counts: np.ndarray, shards: int, largest: int = 0):
         order = np.argsort(words.view(U64))
         self.words, counts = words.view(U64)[order], counts[order]
         self.n, self.v, self.shards = n, v, shards
@@ -168,6 +170,7 @@ class Plan:
         rest = (1.0 - p.sum()) / (v - len(counts) + 1)
         self.unigram = Codebook(min([rest, *p[:1], p.min() if len(p) else rest]))
         self.codes, self.other = self.unigram.code(p), int(self.unigram.code(np.asarray([rest]))[0])
+        self.largest = max(largest, int(counts.max()) if len(counts) else 0)
         hot = counts * 4 * shards > n
         hot_words, hot_counts = self.words[hot], counts[hot]
         if END in hot_words:  # there are as many starts
@@ -209,6 +212,8 @@ FIRST_MASK, SECOND_MASK = U64((1 << 8 * FIRST_BYTES) - 1), U64((1 << 8 * SECOND_
 
 
 SENT = "shard int, block long, first binary, followers binary, second binary, counts binary, training binary, codes binary, docs binary, doc_ids binary"
+#: Kinds of what shards count: bigrams seen once and twice (words 1 and 2), followers of a split word.
+SURVEY, SEEN, FOLLOWERS = "kind int, shard int, word long, n long", 0, 1
 PART = "block long, rows binary, words binary, known binary, base binary, score binary, doc_ids binary"
 
 
@@ -247,50 +252,73 @@ def keys_of(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(first, n), widened(row["second"], SECOND_BYTES)
 
 
+def training_bigrams(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, second word and count of a shard's distinct training bigrams, sorted."""
+    v, w, c = [], [], []
+    for row in rows:
+        n = np.frombuffer(row["training"], np.uint32)
+        a, b = keys_of(row)
+        v.append(a[n > 0]), w.append(b[n > 0]), c.append(n[n > 0])
+    v, w, c = np.concatenate(v), np.concatenate(w), np.concatenate(c).astype(np.int64)
+    order = np.lexsort((w, v))
+    v, w, c = v[order], w[order], c[order]
+    at = np.flatnonzero(np.concatenate([[True], (v[1:] != v[:-1]) | (w[1:] != w[:-1])])) if len(v) else np.zeros(0, np.int64)
+    return v[at], w[at], np.add.reduceat(c, at) if len(at) else c
+
+
+def surveyed(table: pa.Table, plan) -> pa.Table:
+    """What this shard adds to the counts that all shards need."""
+    plan = plan.value
+    rows = table.to_pylist()
+    v, _, c = training_bigrams(rows)
+    split, followers = np.unique(v[np.isin(v, plan.hot & FIRST_MASK)], return_counts=True)
+    kind = np.repeat([SEEN, FOLLOWERS], [2, len(split)]).astype(np.int32)
+    word = np.concatenate([np.asarray([1, 2], U64), split]).astype(np.int64)
+    n = np.concatenate([[(c == 1).sum(), (c == 2).sum()], followers]).astype(np.int64)
+    shard = np.full(len(kind), rows[0]["shard"], np.int32)
+    return pa.table([pa.array(x) for x in (kind, shard, word, n)], names=["kind", "shard", "word", "n"])
+
+
 class Trie:
-    """The two levels of one shard, from the training bigrams of all blocks."""
+    """The two levels of one shard, from the training bigrams of all blocks. ``survey`` has n1, n2, the numbers of
+    followers of the split words and the largest count of a word; one lone shard counts them itself."""
 
-    def __init__(self, rows: list[dict], hot: np.ndarray, hot_counts: np.ndarray, shards: int):
+    def __init__(self, rows: list[dict], hot: np.ndarray, hot_counts: np.ndarray, shards: int, survey: tuple[int, int, np.ndarray, int] | None = None):
+        if survey is None and shards > 1:
+            raise ValueError("one of several shards needs the counts of all")
         self.hot, self.hot_counts = hot, hot_counts  # words split over all shards, sorted, and their counts in all
-        v, w, c = [], [], []
-        for row in rows:
-            n = np.frombuffer(row["training"], np.uint32)
-            a, b = keys_of(row)
-            v.append(a[n > 0]), w.append(b[n > 0]), c.append(n[n > 0])
-        v, w, c = np.concatenate(v), np.concatenate(w), np.concatenate(c).astype(np.int64)
-        order = np.lexsort((w, v))
-        v, w, c = v[order], w[order], c[order]
-        at = np.flatnonzero(np.concatenate([[True], (v[1:] != v[:-1]) | (w[1:] != w[:-1])])) if len(v) else np.zeros(0, np.int64)
-        v, w, c = v[at], w[at], np.add.reduceat(c, at) if len(at) else c
-        begin = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]])) if len(v) else at
+        v, w, c = training_bigrams(rows)
+        begin = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]])) if len(v) else np.zeros(0, np.int64)
         first, kinds = v[begin], np.diff(np.append(begin, len(v)))
         totals = np.add.reduceat(c, begin) if len(begin) else c
+        if survey is None:
+            survey = int((c == 1).sum()), int((c == 2).sum()), np.zeros(len(hot), np.int64), int(totals.max(initial=1))
+        once, twice, self.hot_kinds, largest = survey
+        self.discount = float(np.clip(once / max(1, once + 2 * twice), 0.5, 0.95))
         number = np.repeat(np.arange(len(first)), kinds)
-        once, twice = (c == 1).sum(), (c == 2).sum()
-        discount = np.full(len(first), np.clip(once / max(1, once + 2 * twice), 0.5, 0.95))
         split = self.hot_count(first)
-        share = kinds * shards * np.maximum(0.25, 1 - 3 / np.sqrt(np.maximum(kinds, 1)))
-        kinds = np.where(split > 0, np.clip(share, 1, np.maximum(split, 1)), kinds)
-        totals, discount = np.where(split > 0, split, totals), np.where(split > 0, DISCOUNT, discount)
-        self.totals, self.spread = totals, discount * kinds / np.maximum(totals, 1)
+        kinds = np.where(split > 0, self.hot_count(first, self.hot_kinds), kinds)
+        totals = np.where(split > 0, split, totals)
+        self.totals, self.spread = totals, self.discount * kinds / np.maximum(totals, 1)
         self.vocabulary, rank = np.unique(w, return_inverse=True)
-        p = (c - discount[number]) / totals[number] if len(c) else np.zeros(0)
-        book = Codebook(float(p.min()) if len(p) else 1.0)
+        p = (c - self.discount) / totals[number] if len(c) else np.zeros(0)
+        book = Codebook((1 - self.discount) / max(largest, 1))
         self.levels, self.codes = book.levels, book.code(p)
         self.first = EliasFano.view(*EliasFano.of(first, 1 << 8 * FIRST_BYTES).columns())
         self.second = EliasFano.view(*EliasFano.of(number * max(1, len(self.vocabulary)) + rank, max(1, len(first) * len(self.vocabulary))).columns())
 
-    def hot_count(self, v: np.ndarray) -> np.ndarray:
-        """Counts of the words that are split, 0 for others."""
+    def hot_count(self, v: np.ndarray, counts: np.ndarray | None = None) -> np.ndarray:
+        """Counts (or other numbers) of the words that are split, 0 for others."""
+        counts = self.hot_counts if counts is None else counts
         if not len(self.hot):
             return np.zeros(len(v), np.int64)
         at = np.minimum(np.searchsorted(self.hot, v), len(self.hot) - 1)
-        return np.where(self.hot[at] == v, self.hot_counts[at], 0)
+        return np.where(self.hot[at] == v, counts[at], 0)
 
     def ask(self, v: np.ndarray, w: np.ndarray, p1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Count of each first word, and the interpolated probability of each bigram."""
         split = self.hot_count(v)
-        absent = np.where(split > 0, DISCOUNT / np.maximum(split, 1) * p1, p1)
+        absent = np.where(split > 0, self.discount * self.hot_count(v, self.hot_kinds) / np.maximum(split, 1) * p1, p1)
         if not len(self.totals):
             return split, absent
         at = self.first.find(v)
@@ -304,17 +332,23 @@ class Trie:
         return total, np.where(known, pair + self.spread[at] * p1, absent)
 
 
-def scored(table: pa.Table, plan) -> pa.Table:
-    """Of each block the sums of this shard's bigrams by document."""
+def scored(table: pa.Table, told: pa.Table, plan) -> pa.Table:
+    """Of each block the sums of this shard's bigrams by document. ``told`` is what all shards counted."""
     plan = plan.value
+    rows = table.to_pylist()
+    kind, known, n = (told.column(k).to_numpy() for k in ("kind", "word", "n"))
     hot = plan.hot & FIRST_MASK
     order = np.argsort(hot)
-    rows = table.to_pylist()
-    trie = Trie(rows, hot[order], plan.hot_counts[order].astype(np.int64), plan.shards)
+    hot = hot[order]
+    kinds = np.zeros(len(hot), np.int64)
+    kinds[np.searchsorted(hot, known[kind == FOLLOWERS].astype(U64))] = n[kind == FOLLOWERS]
+    seen = [int(n[(kind == SEEN) & (known == k)].sum()) for k in (1, 2)]
+    trie = Trie(rows, hot, plan.hot_counts[order].astype(np.int64), plan.shards, (*seen, kinds, plan.largest)) if rows else None
     out: list[list] = [[] for _ in range(7)]
     for row in rows:
         v, w = keys_of(row)
-        total, p = trie.ask(v, w, plan.unigram.levels[np.frombuffer(row["codes"], np.uint8)])
+        codes = np.frombuffer(row["codes"], np.uint8)
+        total, p = trie.ask(v, w, plan.unigram.levels[codes])
         word = v != (START & FIRST_MASK)
         here, ids = np.frombuffer(row["doc_ids"], np.int64).reshape(2, -1)
         d = np.searchsorted(here, np.frombuffer(row["docs"], np.uint16))
@@ -345,7 +379,7 @@ def score(docs: DataFrame, top: int = TOP) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     words = cut(texts.mapInArrow(counted_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
-    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    n, v, largest = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.max("n"), F.lit(0))).first()
     # the least count that at most ``top`` words reach; there are far fewer counts than words
     least, reached = None, 0
     for r in words.groupBy("n").count().orderBy(F.desc("n")).toLocalIterator():
@@ -355,10 +389,16 @@ def score(docs: DataFrame, top: int = TOP) -> DataFrame:
     frequent = words.where(F.col("n") >= least).toArrow() if least else pa.table({"word": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
     ends = words.where(F.col("word") == int(END.view(np.int64))).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(n) // SHARD_WORDS))
-    plan = Plan(int(n), int(v), frequent["word"].to_numpy().copy(), frequent["n"].to_numpy().copy(), shards)
+    plan = Plan(int(n), int(v), frequent["word"].to_numpy().copy(), frequent["n"].to_numpy().copy(), shards, int(largest))
     base, end_known = plan.base, ends > 0
     shared = spark.sparkContext.broadcast(plan)
-    parts = texts.mapInArrow(lambda it: sent(it, shared), SENT).groupBy("shard").applyInArrow(lambda t: scored(t, shared), PART)
+    bigrams = texts.mapInArrow(lambda it: sent(it, shared), SENT)
+    survey = bigrams.groupBy("shard").applyInArrow(lambda t: surveyed(t, shared), SURVEY)
+    summed_up = survey.groupBy("kind", "word").agg(F.sum("n").alias("n"))
+    every = F.sequence(F.lit(0), F.lit(shards - 1))
+    told = summed_up.select("kind", "word", "n", F.explode(every).alias("shard"))
+    # both readers of the bigrams share one exchange
+    parts = bigrams.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(lambda t, k: scored(t, k, shared), PART)
     rows = parts.groupBy("block").applyInArrow(summed, "doc_id long, words long, known long, base double, score double")
     doc_id = F.when(F.col("doc_id") != -(2**63), F.col("doc_id"))
     tokens = F.col("words") + 1

@@ -308,6 +308,33 @@ def test_scoring(spark, docs, top):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_scores_are_those_of_all_counts(spark, docs, monkeypatch):
+    """Against plain counts, less what quantising takes; the same for any number of shards."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(VOCABULARY[min(int(rng.paretovariate(0.6)), 399)] for _ in range(rng.randrange(1, 80)))) for i in range(150)] + ODD
+    uni, pair, after = collections.Counter(), collections.Counter(), collections.Counter()
+    streams = [(i, [0, *brute.words(t), 1]) for i, t in rows]
+    for i, s in streams:
+        if brute.in_training(i):
+            uni.update(s[1:]), pair.update(zip(s, s[1:], strict=False)), after.update(s[:-1])
+    kinds, n = collections.Counter(v for v, _ in pair), sum(uni.values())
+    once, twice = (sum(c == k for c in pair.values()) for k in (1, 2))
+    d = min(0.95, max(0.5, once / (once + 2 * twice)))
+    first = lambda w: (uni[w] - 0.8) / n if uni[w] else 0.8 * len(uni) / n
+    prob = lambda v, w: max(pair[v, w] - d, 0) / after[v] + d * kinds[v] / after[v] * first(w) if after[v] else first(w)
+    want = {i: sum(math.log10(min(1, prob(v, w))) for v, w in zip(s, s[1:], strict=False)) for i, s in streams}
+    found, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    for shards, top in ((1, 1_000_000), (7, 1_000_000)):
+        try:
+            spark.conf.set("spark.sql.shuffle.partitions", str(shards))
+            found.append({r.doc_id: r.score for r in language_model.score(docs(rows), top).collect()})
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+    for i, s in streams:
+        assert want[i] - 0.04 * len(s) <= found[0][i] <= want[i] + 1e-6
+        assert all(f[i] == pytest.approx(found[0][i], abs=1e-9) for f in found)
+
+
 def test_probabilities_sum_to_one_at_most():
     """Of every first word, over all words of a small vocabulary and the unknown ones."""
     texts = [" ".join(RNG.choice(VOCABULARY[:12]) for _ in range(30)) for _ in range(20)]
