@@ -5,21 +5,21 @@ Training documents are those whose crc32(id) modulo 5 is not 1. The model interp
     P(w | v) = max(c(v, w) - D, 0) / c(v)  +  D * n(v) / c(v) * P(w),        P(w) alone after an unknown v
 
 c(v) counts v, n(v) its distinct followers; D is the share n1 / (n1 + 2 n2), held between 0.5 and 0.95, of all distinct
-bigrams that occur once (n1) and twice (n2). P(w) is the discounted unigram of the ``top`` most frequent words (a table
-of a fixed largest size, sent to all tasks); all other words, unknown ones as one more among them, share the rest evenly.
-Probabilities are quantised to 8 bits, downwards, so they sum
-to one at most. The number of shards changes no score.
+bigrams that occur once (n1) and twice (n2). P(w) is the unigram discounted by 0.8 of every word of the training texts;
+unknown words get what the discount took. The ``top`` most frequent words' codes are sent to all tasks as one table, all
+others' counts reach the shards that hold them by a join. Probabilities are quantised to 8 bits, downwards, so they sum
+to one at most. Neither ``top`` nor the number of shards changes a score.
 
 The bigrams are split over shards by their first word; a first word so frequent that it would fill a shard is split
 further by its second word. A task sends each shard its bigrams once, sorted, with their counts in training and the
-documents they occur in. The same rows are read twice: first each shard counts n1, n2 and its followers of split words;
-these counts are summed (n(v) is exact, as a bigram is in one shard)
+documents they occur in. The same rows are read twice: first each shard counts n1, n2, its followers of split words and
+names its second words that are not in the table; these counts are summed (n(v) is exact, as a bigram is in one shard)
 and handed to the shards. Then the shard's task builds a trie of two levels, byte columns that are read without decoding:
 sorted first words, pointers to their followers,
 followers relative to the first word (ranks in the shard's list of words, made monotone by the number of the first
 word), both sequences in Elias-Fano form, and codes of quantised probabilities. It then asks the trie for every bigram,
 a successor search among the followers of its first word, and passes on sums by document. All counts cover all
-documents. Words are known by hashes: of 48 bits for a shard's first words, of 40 bits among the followers of one.
+documents. Words are known by hashes: of 48 bits within a shard, of 64 bits elsewhere.
 
 Tokens: words of the A-Z lower-cased text, then one end. The base score is the add-half unigram of the same counts.
 
@@ -166,11 +166,10 @@ class Plan:
         order = np.argsort(words.view(U64))
         self.words, counts = words.view(U64)[order], counts[order]
         self.n, self.v, self.shards = n, v, shards
-        p = np.maximum(counts - DISCOUNT, 0) / max(n, 1)
-        rest = (1.0 - p.sum()) / (v - len(counts) + 1)
-        self.unigram = Codebook(min([rest, *p[:1], p.min() if len(p) else rest]))
-        self.codes, self.other = self.unigram.code(p), int(self.unigram.code(np.asarray([rest]))[0])
-        self.largest = max(largest, int(counts.max()) if len(counts) else 0)
+        rest = DISCOUNT * v / n if n else 1.0
+        self.unigram = Codebook(min(rest, (1 - DISCOUNT) / max(n, 1)))
+        self.codes, self.other = self.count_codes(counts), int(self.unigram.code(np.asarray([rest]))[0])
+        self.whole, self.largest = len(counts) >= v, max(largest, int(counts.max()) if len(counts) else 0)
         hot = counts * 4 * shards > n
         hot_words, hot_counts = self.words[hot], counts[hot]
         if END in hot_words:  # there are as many starts
@@ -179,6 +178,9 @@ class Plan:
         self.hot, self.hot_counts = hot_words[by], hot_counts[by]
         self.base = np.log10(n + 0.5 * (v + 1))
 
+    def count_codes(self, counts: np.ndarray) -> np.ndarray:
+        return self.unigram.code((counts - DISCOUNT) / max(self.n, 1))
+
     def unigram_codes(self, w: np.ndarray) -> np.ndarray:
         if not len(self.words):
             return np.full(len(w), self.other, np.uint8)
@@ -207,13 +209,13 @@ def widened(data: bytes, size: int) -> np.ndarray:
     return out.view(U64)[:, 0]
 
 
-FIRST_BYTES, SECOND_BYTES = 6, 5
+FIRST_BYTES, SECOND_BYTES = 6, 6
 FIRST_MASK, SECOND_MASK = U64((1 << 8 * FIRST_BYTES) - 1), U64((1 << 8 * SECOND_BYTES) - 1)
 
 
 SENT = "shard int, block long, first binary, followers binary, second binary, counts binary, training binary, codes binary, docs binary, doc_ids binary"
-#: Kinds of what shards count: bigrams seen once and twice (words 1 and 2), followers of a split word.
-SURVEY, SEEN, FOLLOWERS = "kind int, shard int, word long, n long", 0, 1
+#: Kinds of what shards count: bigrams seen once and twice (words 1 and 2), followers of a split word, words to look up.
+SURVEY, SEEN, FOLLOWERS, LOOKUP = "kind int, shard int, word long, n long", 0, 1, 2
 PART = "block long, rows binary, words binary, known binary, base binary, score binary, doc_ids binary"
 
 
@@ -267,14 +269,17 @@ def training_bigrams(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def surveyed(table: pa.Table, plan) -> pa.Table:
-    """What this shard adds to the counts that all shards need."""
+    """What this shard adds to the counts that all shards need, and its second words that the plan's table lacks."""
     plan = plan.value
     rows = table.to_pylist()
     v, _, c = training_bigrams(rows)
     split, followers = np.unique(v[np.isin(v, plan.hot & FIRST_MASK)], return_counts=True)
-    kind = np.repeat([SEEN, FOLLOWERS], [2, len(split)]).astype(np.int32)
-    word = np.concatenate([np.asarray([1, 2], U64), split]).astype(np.int64)
-    n = np.concatenate([[(c == 1).sum(), (c == 2).sum()], followers]).astype(np.int64)
+    lookup = np.zeros(0, U64)
+    if not plan.whole:
+        lookup = np.unique(np.concatenate([np.unique(keys_of(r)[1][np.frombuffer(r["codes"], np.uint8) == plan.other]) for r in rows]))
+    kind = np.repeat([SEEN, FOLLOWERS, LOOKUP], [2, len(split), len(lookup)]).astype(np.int32)
+    word = np.concatenate([np.asarray([1, 2], U64), split, lookup]).astype(np.int64)
+    n = np.concatenate([[(c == 1).sum(), (c == 2).sum()], followers, np.zeros(len(lookup))]).astype(np.int64)
     shard = np.full(len(kind), rows[0]["shard"], np.int32)
     return pa.table([pa.array(x) for x in (kind, shard, word, n)], names=["kind", "shard", "word", "n"])
 
@@ -343,11 +348,16 @@ def scored(table: pa.Table, told: pa.Table, plan) -> pa.Table:
     kinds = np.zeros(len(hot), np.int64)
     kinds[np.searchsorted(hot, known[kind == FOLLOWERS].astype(U64))] = n[kind == FOLLOWERS]
     seen = [int(n[(kind == SEEN) & (known == k)].sum()) for k in (1, 2)]
+    looked = np.argsort(known[kind == LOOKUP])
+    rare, rare_codes = known[kind == LOOKUP][looked].astype(U64), plan.count_codes(n[kind == LOOKUP][looked])
     trie = Trie(rows, hot, plan.hot_counts[order].astype(np.int64), plan.shards, (*seen, kinds, plan.largest)) if rows else None
     out: list[list] = [[] for _ in range(7)]
     for row in rows:
         v, w = keys_of(row)
         codes = np.frombuffer(row["codes"], np.uint8)
+        if len(rare):
+            at = np.minimum(np.searchsorted(rare, w), len(rare) - 1)
+            codes = np.where((codes == plan.other) & (rare[at] == w), rare_codes[at], codes)
         total, p = trie.ask(v, w, plan.unigram.levels[codes])
         word = v != (START & FIRST_MASK)
         here, ids = np.frombuffer(row["doc_ids"], np.int64).reshape(2, -1)
@@ -394,9 +404,12 @@ def score(docs: DataFrame, top: int = TOP) -> DataFrame:
     shared = spark.sparkContext.broadcast(plan)
     bigrams = texts.mapInArrow(lambda it: sent(it, shared), SENT)
     survey = bigrams.groupBy("shard").applyInArrow(lambda t: surveyed(t, shared), SURVEY)
-    summed_up = survey.groupBy("kind", "word").agg(F.sum("n").alias("n"))
+    if not plan.whole:
+        others = words.where(F.col("n") < least) if least else words
+        survey = survey.unionByName(others.select(F.lit(LOOKUP).alias("kind"), F.lit(None).cast("int").alias("shard"), F.col("word").bitwiseAND(int(SECOND_MASK)).alias("word"), "n"))
+    summed_up = survey.groupBy("kind", "word").agg(F.sum("n").alias("n"), F.collect_list("shard").alias("own")).where((F.col("kind") != LOOKUP) | (F.col("n") > 0))
     every = F.sequence(F.lit(0), F.lit(shards - 1))
-    told = summed_up.select("kind", "word", "n", F.explode(every).alias("shard"))
+    told = summed_up.select("kind", "word", "n", F.explode(F.when(F.col("kind") == LOOKUP, F.col("own")).otherwise(every)).alias("shard"))
     # both readers of the bigrams share one exchange
     parts = bigrams.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(lambda t, k: scored(t, k, shared), PART)
     rows = parts.groupBy("block").applyInArrow(summed, "doc_id long, words long, known long, base double, score double")
