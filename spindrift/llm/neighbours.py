@@ -19,13 +19,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK, QUERY_BLOCK = 2048, 256
 #: Query blocks whose heaps a task holds at a time; with more, the oldest heap's rows are passed on (and ranked later).
 HELD = 64
-BLOCKED = "part int, ids array<long>, dim int, vectors array<double>"
+BLOCKED = "part long, ids array<long>, dim int, vectors array<double>"
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -41,15 +42,15 @@ def usable(df: DataFrame, dim: int | None) -> DataFrame:
 
 
 def blocked(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """Blocks of at most ``size`` vectors, numbered within the task."""
-    n = 0
+    """Blocks of at most ``size`` vectors, numbered from the task's own start: no two blocks of a table share a number."""
+    n = TaskContext.get().partitionId() << 32 if TaskContext.get() else 0
     for batch in batches:
         for i in range(0, batch.num_rows, size):
             part = batch.slice(i, size)
             ids, v = part.column(0), part.column(1)
             flat = v.flatten()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([n], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([len(flat) // max(1, len(ids))], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)],
+                [pa.array([n], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([len(flat) // max(1, len(ids))], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)],
                 names=["part", "ids", "dim", "vectors"],
             )
             n += 1
@@ -135,11 +136,11 @@ def nearest(df: DataFrame, k: int = 10, every: int = 100, dim: int | None = None
     spark = df.sparkSession
     rows = usable(df, dim)
     spread = spread or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    candidates = rows.mapInArrow(lambda b: blocked(b, BLOCK), BLOCKED).withColumn("grp", F.pmod(F.xxhash64(F.col("ids")[0], "part"), F.lit(spread)))
+    candidates = rows.mapInArrow(lambda b: blocked(b, BLOCK), BLOCKED).withColumn("grp", F.pmod(F.xxhash64("part"), F.lit(spread)))
     queries = (
         rows.where(F.col("vec_id") % every == 0)
         .mapInArrow(lambda b: blocked(b, QUERY_BLOCK), BLOCKED)
-        .select(F.xxhash64(F.col("ids")[0], "part").alias("q_key"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
+        .select(F.col("part").alias("q_key"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
         .withColumn("grp", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))))
     )
     met = queries.join(candidates.select("grp", "ids", "vectors"), "grp").select("q_key", "q_ids", "q_vectors", "ids", "vectors")

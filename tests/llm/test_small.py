@@ -428,6 +428,23 @@ def test_neighbours(spark):
     assert neighbours.nearest(df.limit(0)).count() == 0
 
 
+def test_neighbours_of_a_table_read_twice(spark):
+    """Query blocks of different tasks that begin with the same id are blocks of their own."""
+    rng = np.random.default_rng(1)
+    rows = [(i, [float(x) for x in rng.normal(size=8)]) for i in range(0, 60)]
+    first = [(0, rows[0][1]), *[(100 + i, v) for i, v in rows[1:30]]]
+    second = [(0, rows[0][1]), *[(200 + i, v) for i, v in rows[30:]]]
+    make = lambda r: spark.createDataFrame(r, "vec_id long, embedding array<double>").coalesce(1)
+    got = neighbours.nearest(make(first).union(make(second)), k=5, every=1, spread=3).collect()
+    every = first + second
+    ids, x = np.asarray([i for i, _ in every]), np.asarray([v for _, v in every])
+    assert {r.query_id for r in got} == set(ids.tolist())
+    for i, v in [*first[1:], *second[1:]]:
+        d = neighbours.exact(np.repeat([v], len(x), 0), x)
+        order = [j for j in np.lexsort((ids, d)) if ids[j] != i][:5]
+        assert sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == i) == [(k + 1, ids[j], d[j]) for k, j in enumerate(order)]
+
+
 def test_tile_bounds_hold():
     rng = np.random.default_rng(3)
     a, b = rng.normal(size=(40, 64)), rng.normal(size=(60, 64)) * rng.uniform(0.01, 100, (60, 1))
