@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept a
 written as Parquet and read again as the next one's docs. All but the last return the columns of documents:
 
 1. language: documents in which no language can be told (no text, no letter) go;
-2. near_duplicates: of each group of near-duplicates the smallest id stays;
+2. near_duplicates: of each group of near-duplicates (five-word shingles, similarity 0.8 or more) the smallest id stays;
 3. decontamination: documents that contain a benchmark item, exactly or within its error budget, go;
 4. personal_data: spans of personal data are replaced by their kinds;
 5. packing: the documents' tokens in windows of 4096 (one row per piece).
@@ -32,7 +32,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return drop_near_duplicates(docs)
+    return drop_near_duplicates(docs, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@
    on only the links that join components. So no pair that shares a band is left out, and no pair becomes a row.
 4. A compared pair is linked if 100 * intersection >= percent * union of the full shingle sets.
 
-With 16 bands of 4 rows, a pair of similarity 0.85 shares no band with probability 7e-6.
+The number of bands of 4 rows follows the threshold: a pair that just passes shares no band with probability 7.5e-6 at
+most (16 bands at 0.85, 23 at 0.80).
 
 Defined cases: without a word (or text) a document has no shingle and is linked with nothing; with fewer than five
 words its whole sequence is its only shingle; a null doc_id is never linked (component null, kept); rows of one
@@ -19,6 +20,7 @@ doc_id are one node; an empty table gives an empty result; other columns are lef
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,16 +39,21 @@ SIGNED = "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
 GOLDEN = 0x9E3779B97F4A7C15
 
 
-def super_minhash(hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> np.ndarray:
-    """(n_rows, SIZE) signatures of sets given as distinct element hashes. Step j of an element puts the rank j + r at
+def bands_for(percent: int) -> int:
+    """The least number of bands with which a pair of this similarity is missed with probability 7.5e-6 at most."""
+    return max(1, math.ceil(math.log(7.5e-6) / math.log1p(-min(percent / 100, 0.999) ** ROWS)))
+
+
+def super_minhash(hashes: np.ndarray, rows: np.ndarray, n_rows: int, size: int = SIZE) -> np.ndarray:
+    """(n_rows, size) signatures of sets given as distinct element hashes. Step j of an element puts the rank j + r at
     the j-th place of its own permutation; a row stops once every place holds a rank below j (no later one can win)."""
-    sig = np.full(n_rows * SIZE, np.inf)
+    sig = np.full(n_rows * size, np.inf)
     live = np.arange(len(hashes))
     perm: np.ndarray | None = None
-    for j in range(SIZE):
+    for j in range(size):
         seed = mix(hashes[live] + np.uint64((j + 1) * GOLDEN % 2**64))
         r = (seed >> np.uint64(11)).astype(np.float64) * 2.0**-53
-        k = j + (mix(seed) % np.uint64(SIZE - j)).astype(np.int64)
+        k = j + (mix(seed) % np.uint64(size - j)).astype(np.int64)
         if perm is None:
             place = k
         else:
@@ -54,24 +61,24 @@ def super_minhash(hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> np.ndarr
             place = perm[at, k].astype(np.int64)
             perm[at, k] = perm[at, j]
             perm[at, j] = place
-        np.minimum.at(sig, rows[live] * SIZE + place, j + r)
-        going = sig.reshape(n_rows, SIZE).max(axis=1, initial=0) > j + 1
+        np.minimum.at(sig, rows[live] * size + place, j + r)
+        going = sig.reshape(n_rows, size).max(axis=1, initial=0) > j + 1
         stay = going[rows[live]]
         if not stay.any():
             break
         if perm is None:
             first = k[stay]
             live = live[stay]
-            perm = np.tile(np.arange(SIZE, dtype=np.uint8), (len(live), 1))
+            perm = np.tile(np.arange(size, dtype=np.uint8 if size <= 256 else np.uint16), (len(live), 1))
             at = np.arange(len(live))
             perm[at, first] = 0
             perm[at, 0] = first
         else:
             live, perm = live[stay], perm[stay]
-    return sig.reshape(n_rows, SIZE)
+    return sig.reshape(n_rows, size)
 
 
-def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def signed(batches: Iterator[pa.RecordBatch], n_bands: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = utf8(batch.column(1))
         for i, j in chunks(offsets):
@@ -85,11 +92,11 @@ def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.cumsum(mix(h ^ np.uint64(salt)), out=total[1:])
                 ends = np.concatenate([[0], np.cumsum(sizes)])
                 sums.append((total[ends[1:]] - total[ends[:-1]]).view(np.int64))
-            sig = super_minhash(h, rows, n).view(np.uint64).reshape(n, BANDS, ROWS)
-            keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(GOLDEN), (n, BANDS)).copy()
+            sig = super_minhash(h, rows, n, n_bands * ROWS).view(np.uint64).reshape(n, n_bands, ROWS)
+            keys = np.broadcast_to(np.arange(1, n_bands + 1, dtype=np.uint64) * np.uint64(GOLDEN), (n, n_bands)).copy()
             for r in range(ROWS):
                 keys = mix(keys + sig[:, :, r] * np.uint64(2 * r + 3))
-            bands = pa.ListArray.from_arrays(pa.array(np.arange(0, n * BANDS + 1, BANDS), pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))
+            bands = pa.ListArray.from_arrays(pa.array(np.arange(0, n * n_bands + 1, n_bands), pa.int32()), pa.array(keys.reshape(-1).view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, n), pa.array(sizes), pa.array(sums[0]), pa.array(sums[1]), bands], names=["doc_id", "n_shingles", "d1", "d2", "bands"])
 
 
@@ -125,7 +132,8 @@ def verified(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sig = cut(texts.mapInArrow(lambda b: trimmed(signed(b)), SIGNED))
+    n_bands = bands_for(percent)
+    sig = cut(texts.mapInArrow(lambda b: trimmed(signed(b, n_bands)), SIGNED))
     classes = cut(
         sig.where("doc_id is not null and n_shingles > 0").groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     )

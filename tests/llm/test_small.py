@@ -82,6 +82,17 @@ def test_near_duplicates(spark, docs, monkeypatch, block):
     assert {r[0] for r in kept} == {i for i, c in wanted.items() if c == i} | {None}
 
 
+def test_pipeline_drops_copies_of_similarity_080(spark, docs):
+    import corpus_pipeline
+
+    rows = copies()
+    wanted, _ = brute.components(dict(rows), percent=80)
+    loose, _ = brute.components(dict(rows))
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs(rows), "").collect()}
+    assert kept == {i for i, c in wanted.items() if c == i} != {i for i, c in loose.items() if c == i}
+    assert [(neardup.bands_for(p), (1 - (p / 100) ** 4) ** neardup.bands_for(p) < 7.5e-6) for p in (85, 80)] == [(16, True), (23, True)]
+
+
 def test_near_duplicates_of_repeated_ids(spark, docs):
     a, b = prose(80), prose(80)
     got = neardup.near_duplicates(docs([(5, a), (5, b), (7, a), (3, b), (9, prose(70))])).collect()
