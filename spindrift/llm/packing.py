@@ -24,51 +24,120 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from spindrift.llm.words import trimmed
+from spindrift.llm.words import chunks, trimmed, utf8
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
 SENTENCE_PENALTY, FORCED_PENALTY, FORCED_STEP = 4, 24, 32
-#: Windows in a stretch, and words whose ids a Python worker keeps (bounded memory; more are encoded again).
-STRETCH, WORDS_KEPT = 256, 900_000
+#: Windows in a stretch, bytes of text whose words are looked up together, and words whose ids a Python worker keeps in
+#: each of two generations (bounded memory; words that neither holds are encoded again).
+STRETCH, CHUNK, WORDS_KEPT = 256, 4_000_000, 400_000
+#: ASCII punctuation that may be cut off a word's end (what special tokens are written with stays).
+TAIL = "!\"#$%&'()*+,-./:;=?@[\\]^_`{}~"
 
-_cache: dict[str, tuple[object, dict[str, bytes], np.ndarray]] = {}
 
+class Encoder:
+    """Ids of words by one tokenizer, kept in two generations: a word that is met again moves to the young one; when that
+    is full it becomes the old one, and what only the old one held is forgotten."""
 
-def tokenizer(name: str):
-    """Tokenizer, its kept words and a table of the ids that end a sentence; once per Python worker."""
-    if name not in _cache:
+    def __init__(self, name: str):
         import os
 
         import public_tokenizers
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        t = Tokenizer.from_file(public_tokenizers.path(name))
-        ends = np.zeros(65536, bool)
-        for token, i in t.get_vocab().items():
+        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.sentence_end, self.word_end = np.zeros(65536, bool), np.zeros(65536, bool)
+        for token, i in self.tokenizer.get_vocab().items():
             if i >= 65536:
                 raise ValueError("ids of more than 16 bits are not supported")
-            ends[i] = token.removesuffix("</w>").rstrip("\"')")[-1:] in (".", "!", "?") and token.endswith("</w>")
-        _cache[name] = (t, {}, ends)
-    return _cache[name]
-
-
-def encode(texts: list[str], name: str) -> list[bytes]:
-    """Little-endian 16-bit ids of each text. The tokenizer drops white space and never joins over it, so ids of
-    space-separated words are kept and looked up; only new words are encoded."""
-    t, kept, _ = tokenizer(name)
-    if len(kept) > WORDS_KEPT:
-        kept.clear()
-    split = [x.replace("\n", " ").split(" ") for x in texts]
-    new = list(set().union(*split).difference(kept)) if split else []
-    for i in range(0, len(new), 20_000):
-        part = new[i : i + 20_000]
-        for w, e in zip(part, t.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            kept[w] = np.asarray(e.ids, "<u2").tobytes()
-    return [b"".join(map(kept.__getitem__, words)) for words in split]
+            self.word_end[i] = token.endswith("</w>")
+            self.sentence_end[i] = token.endswith("</w>") and token.removesuffix("</w>").rstrip("\"')")[-1:] in (".", "!", "?")
+
+    def new(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words not kept. Words of letters alone are encoded many to a text, whose ids divide at the ends of
+        words; where their number is not that of the words, and for other words, each is encoded by itself."""
+        found: dict[str, bytes] = {}
+        plain, single = [w for w in words if w.isalpha()], [w for w in words if not w.isalpha()]
+        for i in range(0, len(plain), 50_000):
+            groups = [plain[k : k + 500] for k in range(i, min(i + 50_000, len(plain)), 500)]
+            for group, e in zip(groups, self.tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+                ids = np.asarray(e.ids, "<u2")
+                ends = np.flatnonzero(self.word_end[ids]) + 1
+                if len(ends) != len(group) or ends[-1] != len(ids):
+                    single += group
+                    continue
+                data, ends = ids.tobytes(), (2 * ends).tolist()
+                found.update(zip(group, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+        for i in range(0, len(single), 20_000):
+            part = single[i : i + 20_000]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                found[w] = np.asarray(e.ids, "<u2").tobytes()
+        return found
+
+    def ids(self, words: list[str]) -> list[bytes]:
+        """Little-endian 16-bit ids of each of the distinct words."""
+        got = list(map(self.young.get, words))
+        missing = [i for i, x in enumerate(got) if x is None]
+        fresh = {w: x for w in map(words.__getitem__, missing) if (x := self.old.get(w)) is not None}
+        fresh |= self.new([w for w in map(words.__getitem__, missing) if w not in fresh])
+        for i in missing:
+            got[i] = fresh[words[i]]
+        if len(self.young) + len(fresh) > WORDS_KEPT:
+            self.old, self.young = self.young, dict(zip(words, got, strict=True))
+        else:
+            self.young |= fresh
+        return got
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(name: str) -> Encoder:
+    """One a Python worker."""
+    if name not in _encoders:
+        _encoders[name] = Encoder(name)
+    return _encoders[name]
+
+
+def parted(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Each word without the punctuation at its end, and that punctuation. The tokenizer never joins over the place
+    between a letter or digit and what follows; where another character stands there, the word stays whole. Words of
+    ASCII letters are told apart only in lower case, as by the tokenizer."""
+    core = pc.utf8_rtrim(words, characters=TAIL)
+    # (the letter U+0130 ends in a mark once it is lower-cased)
+    ends = pc.and_not(pc.match_substring_regex(core, r"[\pL\pN]$"), pc.ends_with(core, "\u0130"))
+    core = pc.if_else(ends, core, words)
+    size, own = pc.binary_length(words).to_numpy(zero_copy_only=False), pc.binary_length(core).to_numpy(zero_copy_only=False)
+    data, offsets = utf8(words)
+    keep = np.repeat(own, size) <= np.arange(len(data)) - np.repeat(offsets[:-1], size)
+    tail = pa.Array.from_buffers(pa.large_string(), len(words), [None, pa.py_buffer(np.append(0, np.cumsum(size - own)).astype(np.int64)), pa.py_buffer(data[keep])])
+    return pc.if_else(pc.ascii_is_alpha(core), pc.ascii_lower(core), core), tail
+
+
+def encode(texts: pa.Array, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """16-bit ids of all texts, and where each text's end. The tokenizer drops white space and never joins over it: each
+    distinct word of the texts is looked up once, and the ids are gathered by word."""
+    split = pc.split_pattern(pc.replace_substring(texts.cast(pa.large_string()), "\n", " "), " ")
+    words = split.flatten().dictionary_encode()
+    core, tail = parted(words.dictionary)
+    known = pa.concat_arrays([core, tail]).dictionary_encode()
+    each = encoder(name).ids(known.dictionary.to_pylist())
+    ids, size = np.frombuffer(b"".join(each), "<u2"), np.fromiter(map(len, each), np.int32, len(each)) // 2
+    begin = np.cumsum(size, dtype=np.int32) - size
+    part = known.indices.to_numpy(zero_copy_only=False).reshape(2, -1).T[words.indices.to_numpy(zero_copy_only=False)].reshape(-1)
+    size = size[part]
+    ends = np.append(0, np.cumsum(size, dtype=np.int64))
+    there = size > 0
+    begin = begin[part[there]] - ends[:-1][there]
+    gathered = ids[np.arange(ends[-1]) + np.repeat(begin, size[there])]
+    return gathered, ends[2 * np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))]
 
 
 def best_cuts(at: list[int], penalty: list[int], width: int) -> tuple[list[int], list[int]]:
@@ -120,7 +189,7 @@ def windows(ids: np.ndarray, doc_ends: np.ndarray, ends: np.ndarray, width: int,
 
 
 def packed(batches: Iterator[pa.RecordBatch], name: str, end_id: int, width: int) -> Iterator[pa.RecordBatch]:
-    _, _, ends = tokenizer(name)
+    ends = encoder(name).sentence_end
     partition = TaskContext.get().partitionId() if TaskContext.get() else 0
     sequence = partition << 40
     waiting: list[np.ndarray] = []  # ids not yet in a window
@@ -149,16 +218,18 @@ def packed(batches: Iterator[pa.RecordBatch], name: str, end_id: int, width: int
         names = [f.split()[0] for f in SCHEMA.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.int64())] * len(names), names=names)
 
-    close = np.asarray([end_id], "<u2").tobytes()
     for batch in batches:
-        keys, texts = batch.column(0).to_pylist(), batch.column(1)
-        for i in range(0, len(keys), 200):
-            part = [x or "" for x in texts[i : i + 200].to_pylist()]
-            for k, ids in zip(keys[i : i + 200], encode(part, name), strict=True):
-                a = np.frombuffer(ids + close, "<u2")
-                waiting.append(a)
-                docs.append([k, len(a), 0])
-                held += len(a)
+        keys, texts = batch.column(0).to_pylist(), batch.column(1).fill_null("")
+        for i, j in chunks(utf8(texts)[1], CHUNK):
+            found, stops = encode(texts.slice(i, j - i), name)
+            own = np.insert(found, stops, end_id)
+            stops = stops + np.arange(1, j - i + 1)
+            begin = 0
+            for k, stop in zip(keys[i:j], stops.tolist(), strict=True):
+                waiting.append(own[begin:stop])
+                docs.append([k, stop - begin, 0])
+                held += stop - begin
+                begin = stop
                 if held >= STRETCH * width:
                     yield flush(False)
     if held:
