@@ -7,9 +7,12 @@ numbers, IBANs. Labelers: the strict pattern and its check (regex), lists of top
 and address ranges (gazetteer), words before the span (context), and what touches it (edge). Each votes 1, 0 or
 abstains (-1). Votes are counted by kind and pattern over all documents; these counts, at most a few hundred rows
 whatever the input's size, are all that reaches the driver, where the two small fits run. The classifier is then a
-Column expression. Base spans always stay; accepted others are added unless they overlap a base span or a longer added one.
+Column expression. Base spans always stay. Accepted others are added unless they overlap a base span or begin within
+another that begins before them (of those that begin together, the longer stands, then the earlier kind).
 
 Patterns are possessive, and start where a run of their first characters starts, so no text makes them backtrack far.
+Places and overlaps come from running totals over a text's matches (``running``), so work grows with the text's length,
+not with its square.
 
 Defined cases: a null text is empty; a document without spans has the digest of the empty string and an empty list;
 rows repeat as often as in the input; a null doc_id is kept as null; an empty table gives an empty result; other
@@ -19,12 +22,13 @@ columns are left out (``mask`` keeps them). Positions count code points.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spindrift.llm.shared import cut
+from spindrift.llm.shared import cut, fresh
 
 BASE_KINDS = ["email", "ip", "card", "phone"]
 KINDS = [*BASE_KINDS, "secret", "ssn", "iban"]
@@ -50,6 +54,53 @@ CONTEXT = {
 LABELERS = ["regex", "gazetteer", "context", "edge"]
 
 
+#: Items in a stride of an array: running totals are taken within strides and over the strides' totals.
+STRIDE = 64
+Op = Callable[[Column, Column], Column]
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def strides(items: Column) -> Column:
+    """The array cut into arrays of STRIDE items."""
+    starts = lambda xs: F.sequence(F.lit(0), F.greatest(F.size(xs) - 1, F.lit(0)), F.lit(STRIDE))
+    return let(items, lambda xs: F.transform(starts(xs), lambda i: F.slice(xs, i + 1, F.lit(STRIDE))))
+
+
+def running(numbers: Column, op: Op, zero: int, levels: int = 2) -> Column:
+    """op over all items up to each, of an array of integers. A fold that appends to an array copies all it has at every
+    item; here each item folds its stride alone, from what the strides before it gave (taken in the same way)."""
+    up_to = lambda xs, first: F.transform(F.sequence(F.lit(1), F.size(xs)), lambda k: F.aggregate(F.slice(xs, F.lit(1), k), first, op))
+    any_ = lambda xs, first: F.when(F.size(xs) > 0, up_to(xs, first)).otherwise(F.array().cast("array<int>"))
+    if not levels:
+        return let(numbers, lambda xs: any_(xs, F.lit(zero)))
+
+    def joined_up(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(zero), op))
+        return let(running(totals, op, zero, levels - 1), lambda run: F.flatten(F.transform(blocks, lambda b, i: any_(b, before(run, i, zero)))))
+
+    return let(strides(numbers), joined_up)
+
+
+def before(run: Column, i: Column, zero: int) -> Column:
+    return F.when(i > 0, F.get(run, i - 1)).otherwise(F.lit(zero))
+
+
+def add(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def larger(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
+
+
+def smaller(a: Column, b: Column) -> Column:
+    return F.least(a, b)
+
+
 def luhn(digits: Column) -> Column:
     """Whether a string of digits passes the Luhn check."""
     back = F.reverse(digits)
@@ -108,37 +159,29 @@ def voter(source: str, kind: str):
     return vote
 
 
-def candidates(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` columns and ``cands``: an array of (kind index, start, end, base, votes) of each row's text ``__text``."""
-    df = docs
+def candidates(docs: DataFrame, text: str, keep: list[str], name: str) -> DataFrame:
+    """``keep`` columns and ``name``: an array of (kind index, start, end, base, votes) of each row's ``text`` column."""
+    at = {source: fresh([*docs.columns, name], source) for source in SOURCES}
+    df = docs.withColumns({at[s]: F.col(text).rlike(pattern) if not needed else F.col(text).contains(needed) & F.col(text).rlike(pattern) for s, (_, pattern, needed) in SOURCES.items()})
+    # matches, and the stretches between them
+    both = lambda pattern: F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("b"))
+    df = df.withColumns({at[s]: F.when(F.col(at[s]), both(pattern)) for s, (_, pattern, _) in SOURCES.items()})
+
+    def located(parts: Column) -> Column:
+        sizes = F.transform(parts, lambda x: F.length(x["l"]) + F.length(x["m"]))
+        return F.zip_with(parts, running(sizes, add, 0), lambda x, end: F.struct(x["m"].alias("m"), F.substring(x["l"], -30, 30).alias("l"), F.substring(x["r"], 1, 1).alias("r"), (end - F.length(x["m"])).alias("start"), end.alias("stop")))
+
+    digits = lambda x: F.length(F.regexp_replace(x["m"], "[^0-9]", ""))
     lists = []
-    for name, (_, pattern, needed) in SOURCES.items():
-        has = F.col("__text").rlike(pattern) if not needed else F.col("__text").contains(needed) & F.col("__text").rlike(pattern)
-        df = df.withColumn(f"__has_{name}", has)
-    for name, (_, pattern, _) in SOURCES.items():
-        df = df.withColumn(f"__m_{name}", F.when(F.col(f"__has_{name}"), F.regexp_extract_all("__text", F.lit(pattern), F.lit(0))))
-        df = df.withColumn(f"__b_{name}", F.when(F.col(f"__has_{name}"), F.split("__text", pattern, -1)))
-    empty = F.array().cast(CANDIDATES)
-    for name, (kind, _, _) in SOURCES.items():
-        b, m = F.col(f"__b_{name}"), F.col(f"__m_{name}")
-        zipped = F.arrays_zip(m.alias("m"), F.slice(b, 1, F.size(m)).alias("l"), F.slice(b, 2, F.size(m)).alias("r"))
-        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<m:string,l:string,r:string,start:int,stop:int>>").alias("found"))
-
-        def step(acc: Column, x: Column) -> Column:
-            begin = acc["at"] + F.length(x["l"])
-            stop = begin + F.length(x["m"])
-            one = F.struct(x["m"].alias("m"), F.substring(x["l"], -30, 30).alias("l"), F.substring(x["r"], 1, 1).alias("r"), begin.alias("start"), stop.alias("stop"))
-            return F.struct(stop.alias("at"), F.concat(acc["found"], F.array(one)).alias("found"))
-
-        found = F.aggregate(zipped, start, step, lambda acc: acc["found"])
-        digits = lambda x: F.length(F.regexp_replace(x["m"], "[^0-9]", ""))
-        if name == "card":
+    for source, (kind, _, _) in SOURCES.items():
+        m, b = F.col(at[source])["m"], F.col(at[source])["b"]
+        found = let(F.arrays_zip(m.alias("m"), F.slice(b, 1, F.size(m)).alias("l"), F.slice(b, 2, F.size(m)).alias("r")), located)
+        if source == "card":
             found = F.filter(found, lambda x: digits(x) >= 9)
-        if name == "phone_plain":
+        if source == "phone_plain":
             found = F.filter(found, lambda x: digits(x).between(9, 15))
-
-        lists.append(F.coalesce(F.transform(found, voter(name, kind)).cast(CANDIDATES), empty))
-    return df.select(*keep, F.concat(*lists).alias("cands"))
+        lists.append(F.coalesce(F.when(m.isNotNull(), F.transform(found, voter(source, kind))).cast(CANDIDATES), F.array().cast(CANDIDATES)))
+    return df.select(*keep, F.concat(*lists).alias(name))
 
 
 def reliabilities(rows: list[tuple[int, tuple[int, ...], int]], rounds: int = 50) -> np.ndarray:
@@ -189,27 +232,36 @@ def chance(c: Column, weights: list[float]) -> Column:
     return 1 / (1 + F.exp(-z))
 
 
-def decided(docs: DataFrame, keep: list[str], threshold: float = 0.5) -> DataFrame:
-    """``keep`` columns and ``found``: sorted array of (kind, start, stop, base) of all accepted spans."""
-    rows = cut(candidates(docs, keep))
-    counted = rows.select(F.explode("cands").alias("c")).groupBy("c.kind", *[f"c.{k}" for k in LABELERS]).count()
-    counts = sorted((r[0], tuple(r[1 : 1 + len(LABELERS)]), r["count"]) for r in counted.collect())
-    weights = classifier(counts)
-    base = F.filter("cands", lambda c: c["base"])
-    more = F.filter("cands", lambda c: ~c["base"] & (chance(c, weights) >= threshold))
-    slim = lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["stop"].alias("stop"), c["base"].alias("base"))
-    rows = rows.withColumn("__base", F.transform(base, slim)).withColumn("__more", F.transform(more, slim)).drop("cands")
+def without_overlaps(base: Column, more: Column) -> Column:
+    """Base and added spans in order of place (the longer first), without the added ones that begin within another
+    before them or meet a base span."""
+    last = 2**31 - 1
+    sorted_ = F.array_sort(F.concat(base, more), lambda a, b: F.when(a["start"] != b["start"], a["start"] - b["start"]).when(a["stop"] != b["stop"], b["stop"] - a["stop"]).otherwise(a["kind"] - b["kind"]))
+
+    def cleared(xs: Column) -> Column:
+        ends = running(F.transform(xs, lambda x: x["stop"]), larger, 0)
+        base_ends = running(F.transform(xs, lambda x: F.when(x["added"], 0).otherwise(x["stop"])), larger, 0)
+        begins = F.reverse(running(F.reverse(F.transform(xs, lambda x: F.when(x["added"], last).otherwise(x["start"]))), smaller, last))
+        free = lambda x, i, e: (x["start"] >= before(e["ends"], i, 0)) & (x["start"] >= F.get(e["base"], i)) & (x["stop"] <= F.get(e["begins"], i))
+        known = F.struct(ends.alias("ends"), base_ends.alias("base"), begins.alias("begins"))
+        return let(known, lambda e: F.filter(xs, lambda x, i: ~x["added"] | free(x, i, e)))
 
-    def wins(c: Column, d: Column) -> Column:
-        """Whether an added span d overlaps c and is longer, or as long and of an earlier kind or place."""
-        size = lambda x: x["stop"] - x["start"]
-        earlier = (d["kind"] < c["kind"]) | ((d["kind"] == c["kind"]) & (d["start"] < c["start"]))
-        return (d["start"] < c["stop"]) & (c["start"] < d["stop"]) & ((size(d) > size(c)) | ((size(d) == size(c)) & earlier))
+    return let(sorted_, cleared)
 
-    clear = F.filter("__more", lambda c: ~F.exists("__base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"])))
-    rows = rows.withColumn("__free", clear)
-    free = F.filter("__free", lambda c: ~F.exists("__free", lambda d: wins(c, d)))
-    return rows.withColumn("found", F.array_sort(F.concat("__base", free))).drop("__base", "__more", "__free")
+
+def decided(docs: DataFrame, text: str, keep: list[str], name: str, threshold: float = 0.5) -> DataFrame:
+    """``keep`` columns and ``name``: sorted array of (kind, start, stop, base) of all accepted spans of ``text``."""
+    rows = cut(candidates(docs, text, keep, name))
+    counted = rows.select(F.explode(name).alias("c")).groupBy("c.kind", *[f"c.{k}" for k in LABELERS]).count()
+    counts = sorted((r[0], tuple(r[1 : 1 + len(LABELERS)]), r["count"]) for r in counted.collect())
+    weights = classifier(counts)
+    slim = lambda c: F.struct(c["start"].alias("start"), (~c["base"]).alias("added"), c["stop"].alias("stop"), c["kind"].alias("kind"))
+    base = F.transform(F.filter(name, lambda c: c["base"]), slim)
+    more = F.transform(F.filter(name, lambda c: ~c["base"] & (chance(c, weights) >= threshold)), slim)
+    named = lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["stop"].alias("stop"), (~x["added"]).alias("base"))
+    two = rows.select(*keep, F.struct(base.alias("base"), more.alias("more")).alias(name))
+    b, m = F.col(name)["base"], F.col(name)["more"]
+    return two.withColumn(name, F.array_sort(F.transform(F.when(F.size(m) > 0, without_overlaps(b, m)).otherwise(b), named)))
 
 
 def of_kind(i: int):
@@ -222,35 +274,42 @@ def joined(found: Column) -> Column:
 
 
 def find_personal_data(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_added of every document."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"))
-    found = decided(rows, ["doc_id"], threshold)
+    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_added, n_spans of every document."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    found = decided(rows, "text", ["doc_id"], "found", threshold)
     base = F.filter("found", lambda c: c["base"])
     counts = [F.size(F.filter("found", of_kind(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(BASE_KINDS)]
-    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"), (F.size("found") - F.size(base)).cast("long").alias("n_added"))
+    n = F.size("found").cast("long")
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("found")).alias("spans"), (n - F.size(base)).alias("n_added"), n.alias("n_spans"))
+
+
+def masked(text: Column, found: Column) -> Column:
+    """The text with each span, or stretch of overlapping spans, replaced by its kind in angle brackets. Stretches of the
+    text are taken for a stride of spans first, so that no span is looked for from the text's start."""
+    by_place = F.array_sort(F.transform(found, lambda c: F.struct(c["start"].alias("start"), c["stop"].alias("stop"), c["kind"].alias("kind"))))
+    ending = F.array(F.struct(F.length(text).alias("start"), F.length(text).alias("stop"), F.lit(len(KINDS)).alias("kind")))
+
+    def parts(xs: Column) -> Column:
+        """What stands between the stretches, and the kind after it."""
+        part = lambda x, at: F.struct(at.alias("from"), x["start"].alias("to"), x["kind"].alias("kind"))
+        ends = running(F.transform(xs, lambda x: x["stop"]), larger, 0)
+        return let(ends, lambda e: F.filter(F.transform(xs, lambda x, i: part(x, before(e, i, 0))), lambda p: p["to"] >= p["from"]))
+
+    names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS], F.lit(""))
+    own = lambda b: F.struct(b.alias("parts"), b[0]["from"].alias("from"), F.substr(text, b[0]["from"] + 1, F.element_at(b, -1)["to"] - b[0]["from"]).alias("text"))
+    one = lambda x, p: F.concat(F.substr(x["text"], p["from"] - x["from"] + 1, p["to"] - p["from"]), F.element_at(names, p["kind"] + 1))
+    blocks = F.transform(strides(let(F.concat(by_place, ending), parts)), own)
+    return F.array_join(F.transform(blocks, lambda x: F.array_join(F.transform(x["parts"], lambda p: one(x, p)), "")), "")
 
 
 def mask(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents with each span, or stretch of overlapping spans, replaced by its kind in angle brackets; n_chars,
-    where there is such a column, follows the text. A null text stays null."""
-    rows = docs.withColumn("__text", F.coalesce(F.col("text").cast("string"), F.lit("")))
-    found = decided(rows, docs.columns, threshold)
-    by_place = F.array_sort(F.transform("found", lambda c: F.struct(c["start"].alias("start"), c["stop"].alias("stop"), c["kind"].alias("kind"))))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<from:int,to:int,kind:int>>").alias("parts"))
-
-    def step(acc: Column, c: Column) -> Column:
-        part = F.struct(acc["at"].alias("from"), c["start"].alias("to"), c["kind"].alias("kind"))
-        parts = F.when(c["start"] >= acc["at"], F.concat(acc["parts"], F.array(part))).otherwise(acc["parts"])
-        return F.struct(F.greatest(acc["at"], c["stop"]).alias("at"), parts.alias("parts"))
-
-    found = found.withColumn("__parts", F.when(F.size("found") > 0, F.aggregate(by_place, start, step)))
-    names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
+    """The documents with their personal data masked; n_chars, where there is such a column, follows the text. A null
+    text stays null."""
+    plain, spans = fresh(docs.columns, "plain"), fresh(docs.columns, "spans")
+    rows = docs.withColumn(plain, F.coalesce(F.col("text").cast("string"), F.lit("")))
+    found = decided(rows, plain, docs.columns, spans, threshold)
     text = F.col("text").cast("string")
-    masked = F.concat(
-        F.array_join(F.transform("__parts.parts", lambda p: F.concat(F.substr(text, p["from"] + 1, p["to"] - p["from"]), F.element_at(names, p["kind"] + 1))), ""),
-        F.substr(text, F.col("__parts.at") + 1),
-    )
-    out = found.withColumn("text", F.when(F.col("__parts").isNotNull(), masked).otherwise(text)).drop("found", "__parts")
+    out = found.withColumn("text", F.when(F.size(spans) > 0, masked(text, F.col(spans))).otherwise(text)).drop(spans)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)

@@ -256,6 +256,46 @@ def test_added_spans(spark, docs):
     assert {"ssn", "iban", "secret"} <= {x.split(":")[0] for x in spans}
 
 
+def test_overlaps_by_brute_force(spark):
+    rng = random.Random(11)
+    rows = []
+    for i in range(60):
+        n = rng.randrange(0, 200)
+        spans = [(a, rng.random() < 0.7, a + rng.randrange(1, 30), rng.randrange(7)) for a in (rng.randrange(0, 1500) for _ in range(n))]
+        rows.append((i, [s for s in spans if not s[1]], [s for s in spans if s[1]]))
+    span = "array<struct<start:int,added:boolean,stop:int,kind:int>>"
+    df = spark.createDataFrame(rows, f"i int, base {span}, more {span}")
+    got = {r.i: [tuple(x) for x in r.found] for r in df.select("i", pii.without_overlaps(pii.F.col("base"), pii.F.col("more")).alias("found")).collect()}
+    for i, base, more in rows:
+        order = sorted(base + more, key=lambda s: (s[0], -s[2], s[3]))
+        kept = []
+        for k, s in enumerate(order):
+            before = any(o[2] > s[0] for o in order[:k])
+            if not s[1] or not before and not any(b[0] < s[2] and s[0] < b[2] for b in base):
+                kept.append(s)
+        assert sorted(got[i]) == sorted(kept)
+
+
+def test_running_totals(spark):
+    for n in (0, 1, 63, 64, 65, 5000):
+        x = [RNG.randrange(-50, 50) for _ in range(n)]
+        df = spark.createDataFrame([(x,)], "x array<int>")
+        a, b = df.select(pii.running(pii.F.col("x"), pii.add, 0), pii.running(pii.F.col("x"), pii.larger, -100)).first()
+        assert a == np.cumsum(x).tolist() and b == (np.maximum.accumulate(x).tolist() if n else [])
+
+
+def test_personal_data_in_long_texts(spark, docs):
+    """Places and masks of very many matches in one text, in time that grows with its length."""
+    unit = "a@b.co 12 34 \U0001f600 (212) 555-0100 ssn 123-45-6789 "
+    rows = [(1, unit * 4000), (2, "12 a " * 100_000)]
+    got = {r.doc_id: r for r in pii.find_personal_data(docs(rows)).collect()}
+    assert got[1].base_sha256 == hashlib.sha256(",".join(brute.personal(rows[0][1])).encode()).hexdigest() and got[1].n_email == 4000
+    spans = [x.split(":") for x in got[1].spans.split(",")]
+    assert all(rows[0][1][int(a) : int(b)] in ("a@b.co", "(212) 555-0100", "123-45-6789") for _, a, b in spans)
+    masked = {r.doc_id: r.text for r in pii.mask(docs(rows).selectExpr("*", "1 AS found", "2 AS cands", "3 AS __base", "4 AS spans", "5 AS plain")).collect()}
+    assert masked[1].count("<EMAIL>") == 4000 and "@" not in masked[1] and masked[1].count("\U0001f600") == 4000 and masked[2] == rows[1][1]
+
+
 def test_reliabilities():
     rows = [(0, (1, 1, 1, 1), 900), (0, (0, 0, -1, 0), 500), (1, (-1, 1, 1, 1), 30), (1, (-1, 0, -1, 0), 40)]
     p = pii.reliabilities(rows)
