@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spindrift.llm.shared import fresh
 from spindrift.llm.words import chunks, mix, trimmed, utf8, word_hashes
 
 PERCENT, SHORT, BLOCK_BYTES = 20, 8, 16_000_000
@@ -168,4 +169,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = PERC
     """The documents in which no item was found, with the input's columns. Rows of a null doc_id have no name to be
     taken out by and are decided by their text."""
     found = find_leaks(docs.withColumn("doc_id", F.xxhash64(F.col("doc_id").cast("long"), "text")), benchmark, percent)
-    return docs.join(found.select(F.col("doc_id").alias("__leak")).distinct(), F.xxhash64(F.col("doc_id").cast("long"), "text") == F.col("__leak"), "left_anti")
+    name = fresh(docs.columns, "leak")
+    return docs.join(found.select(F.col("doc_id").alias(name)).distinct(), F.xxhash64(F.col("doc_id").cast("long"), "text") == F.col(name), "left_anti")

@@ -18,10 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from spindrift.llm.shared import fresh
 from spindrift.llm.words import LOWER, chunks, trimmed, utf8
 
 WINDOW, WIDTHS, FILTERS, DIM = 256, (2, 3, 4), 16, 8
@@ -135,16 +136,18 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, per_lang: int = 400, pieces: int = 4) -> Network | None:
-    """Train on at most about ``per_lang`` documents of each language outside the held-out third, taken evenly by a
-    hash of their ids, and on ``pieces`` windows at hashed places of each."""
-    rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
-    share = rows.groupBy("lang").agg((F.lit(per_lang * 1_000_000.0) / F.count("*")).alias("most"))
-    sample = rows.join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("most"))
+    """Train on at most ``per_lang`` documents of each language outside the held-out third, taken evenly by a hash of
+    their ids and texts (of equal rows, as many as there is room for), and on ``pieces`` windows at hashed places of each."""
+    rows = docs.select("doc_id", "text", "lang", F.xxhash64("doc_id", "text").alias("pick")).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
+    share = rows.groupBy("lang").agg((F.lit(2 * per_lang * 1_000_000.0) / F.count("*")).alias("most"))
     places = F.transform(
         F.sequence(F.lit(0), F.lit(pieces - 1)),
-        lambda j: F.substring("text", F.pmod(F.xxhash64("doc_id", j), F.greatest(F.length("text") - 200, F.lit(1))).cast("int") + 1, F.lit(WINDOW)),
+        lambda j: F.substring("text", F.pmod(F.xxhash64("pick", j), F.greatest(F.length("text") - 200, F.lit(1))).cast("int") + 1, F.lit(WINDOW)),
     )
-    got = sorted((r[0] if r[0] is not None else -1, r[1], i, x) for r in sample.select("doc_id", "lang", places).collect() for i, x in enumerate(r[2]))
+    # about twice as many, so that few rows are ranked; the rank then sets the bound
+    some = rows.join(share, "lang").where(F.pmod("pick", F.lit(1_000_000)) < F.col("most")).select("doc_id", "lang", "pick", places.alias("windows"))
+    some = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("pick", "doc_id"))).where(F.col("rank") <= per_lang)
+    got = sorted((r[0], r[1], i, x) for r in some.select("pick", "lang", "windows").collect() for i, x in enumerate(r[2]))
     if not got:
         return None
     return train([x[3].encode()[:WINDOW].decode(errors="ignore") for x in got], [x[1] for x in got])
@@ -180,24 +183,23 @@ def identify(docs: DataFrame, per_lang: int = 400, pieces: int = 4, net: Network
     return rows.mapInArrow(lambda b: trimmed(predicted(b, net)), SCHEMA)
 
 
-def keep_identified(docs: DataFrame, **fit_options: int) -> DataFrame:
-    """Documents whose language can be told, with the input's columns. The others (null, or no letter) are rejected.
-
-    The decision needs no join: whether a prediction is ``und`` is known per row, so it is read from a prediction
-    carried along the row itself."""
+def keep_identified(docs: DataFrame, least: float = 0.35, **fit_options: int) -> DataFrame:
+    """Documents whose language can be told, with the input's columns. Rejected are texts without a letter and those whose
+    likeliest language has a probability below ``least``. Where no row has a label, nothing is known of languages and
+    only texts without a letter go. A row's decision is taken where the row is read; nothing is joined."""
     net = fit(docs, **fit_options)
+    lettered = F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False))
+    if net is None:
+        return docs.where(lettered)
     names = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField("__pred", T.StringType())])
+    extra = {n: fresh(names, n) for n in ("doc_id", "text", "held_out", "lettered")}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lean = pa.RecordBatch.from_arrays([batch.column(len(names)), batch.column(len(names) + 1), batch.column(len(names) + 2), batch.column(len(names) + 3)], names=["doc_id", "text", "held_out", "lettered"])
+            lean = pa.RecordBatch.from_arrays(batch.columns[len(names) :], names=list(extra))
             found = next(predicted(iter([lean]), net))
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], found.column(2)], names=[*names, "__pred"])
+            good = pc.and_(pc.not_equal(found.column(2), "und"), pc.greater_equal(found.column(3), least))
+            yield pa.RecordBatch.from_arrays(batch.columns[: len(names)], names=names).filter(good)
 
-    rows = docs.select(
-        *names,
-        F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("__text"), held_out(F.col("doc_id")).alias("__held"),
-        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("__lettered"),
-    )
-    return rows.mapInArrow(lambda b: trimmed(run(b)), schema).where("__pred <> 'und'").drop("__pred")
+    rows = docs.select(*names, F.col("doc_id").cast("long").alias(extra["doc_id"]), F.col("text").cast("string").alias(extra["text"]), held_out(F.col("doc_id")).alias(extra["held_out"]), lettered.alias(extra["lettered"]))
+    return rows.mapInArrow(lambda b: trimmed(run(b)), docs.schema)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spindrift.llm.shared import components, cut
+from spindrift.llm.shared import components, cut, fresh
 from spindrift.llm.words import chunks, mix, shingles, trimmed, utf8, word_hashes
 
 BANDS, ROWS = 16, 4
@@ -246,5 +246,6 @@ def few_tasks(rows: int) -> int:
 
 def drop_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """The documents kept (the smallest id of each group), with the input's columns."""
-    gone = near_duplicates(docs, percent).where("not kept").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone.distinct(), F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    name = fresh(docs.columns, "gone")
+    gone = near_duplicates(docs, percent).where("not kept").select(F.col("doc_id").alias(name))
+    return docs.join(gone.distinct(), F.col("doc_id").cast("long") == F.col(name), "left_anti")

@@ -78,7 +78,7 @@ def test_near_duplicates(spark, docs, monkeypatch, block):
     for i, c in wanted.items():
         assert (got[i].component_id, got[i].n_shingles, got[i].kept) == (c, len(sets[i]), c == i)
     assert got[None].component_id is None and got[None].kept
-    kept = neardup.drop_near_duplicates(docs(rows + ODD)).select("doc_id").collect()
+    kept = neardup.drop_near_duplicates(docs(rows + ODD).selectExpr("*", "1 AS gone", "2 AS __gone", "3 AS kept")).select("doc_id").collect()
     assert {r[0] for r in kept} == {i for i, c in wanted.items() if c == i} | {None}
 
 
@@ -140,8 +140,9 @@ def test_decontamination(spark, docs):
     assert {k: r.distance for k, r in got.items()} == wanted and len(wanted) > 20
     for (i, _), r in got.items():
         assert 0 <= r.first_word <= r.end_word <= len(plain(dict(rows)[i]))
-    kept = decontamination.drop_contaminated(docs(rows), spark.createDataFrame(items, "item_id long, text string"))
-    assert kept.count() == len(rows) - len({i for i, _ in wanted}) and kept.columns == docs(rows).columns
+    clashing = docs(rows).selectExpr("*", "1 AS leak", "2 AS __leak", "3 AS item_id")
+    kept = decontamination.drop_contaminated(clashing, spark.createDataFrame(items, "item_id long, text string"))
+    assert kept.count() == len(rows) - len({i for i, _ in wanted}) and kept.columns == clashing.columns
     assert decontamination.find_leaks(docs(rows), spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
@@ -317,8 +318,12 @@ def test_language(spark):
     assert held and all(by[i].held_out == (zlib.crc32(str(i).encode()) % 3 == 1) for i in range(240))
     assert sum(by[i].lang_pred == ("aa", "bb", "cc")[i % 3] for i in held) / len(held) > 0.95
     assert all((by[i].lang_pred, by[i].score) == ("und", 0.0) for i in (900, 901, 902)) and all(0 <= r.score <= 1 for r in got)
-    kept = langid.keep_identified(df)
-    assert kept.columns == df.columns and kept.count() == 241
+    clashing = df.selectExpr("*", "1 AS __pred", "2 AS held_out", "3 AS lettered", "4 AS __text")
+    kept = langid.keep_identified(clashing)
+    assert kept.dtypes == clashing.dtypes and kept.count() == 241
+    assert langid.keep_identified(df, least=1.1).count() == 0
+    bare = df.drop("lang").selectExpr("*", "cast(null as string) AS lang")
+    assert langid.keep_identified(bare).count() == 241  # nothing is known of languages: all with letters stay
     assert {r.lang_pred for r in langid.identify(df.drop("lang").selectExpr("*", "cast(null as string) AS lang")).collect()} == {"und"}
     assert langid.identify(df.limit(0)).count() == 0
 
@@ -444,6 +449,15 @@ def test_pages_are_matched_with_their_wrapper(spark):
         assert "Posted by the staff" not in lines
 
 
+def test_extraction_of_odd_markup(spark, monkeypatch):
+    pages = ['<p>one <a title="foo>bar</a> two</p>', '<p>one <a title="foo>bar</a> two <b class="x">three</b></p>', "<p title='a > b'>t</p>", "<div>" * 8000 + "deep", "<b>" * 8000 + "<p>x" * 3, "</i>" * 50_000 + "y"]
+    df = spark.createDataFrame([(i, f"http://h{i}.com/", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    wanted = {0: "one bar two", 1: "one bar two three", 2: "t", 3: "deep", 4: "x\nx\nx", 5: "y"}
+    assert {r.page_id: r.text for r in extraction.extract(df).collect()} == wanted
+    monkeypatch.setattr(extraction, "SENT", 0)  # wrappers beyond the bound of what all tasks get
+    assert {r.page_id: r.text for r in extraction.extract(df).collect()} == wanted
+
+
 def test_common_subsequence(monkeypatch):
     rng = random.Random(3)
     for limit in (1, 50, 10**6):
