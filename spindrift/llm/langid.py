@@ -135,17 +135,17 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def fit(docs: DataFrame, per_lang: int = 400, pieces: int = 4) -> Network | None:
-    """Train on at most ``per_lang`` documents of each language outside the held-out third, taken evenly by a hash of
+def fit(docs: DataFrame, per_lang: int = 400, pieces: int = 4, most_langs: int = 1000) -> Network | None:
+    """Train on the ``most_langs`` most frequent languages (the network has an output for each) and at most ``per_lang`` documents of each language outside the held-out third, taken evenly by a hash of
     their ids and texts (of equal rows, as many as there is room for), and on ``pieces`` windows at hashed places of each."""
     rows = docs.select("doc_id", "text", "lang", F.xxhash64("doc_id", "text").alias("pick")).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
-    share = rows.groupBy("lang").agg((F.lit(2 * per_lang * 1_000_000.0) / F.count("*")).alias("most"))
+    share = rows.groupBy("lang").agg((F.lit(2 * per_lang * 1_000_000.0) / F.count("*")).alias("most")).orderBy("most", "lang").limit(most_langs)
     places = F.transform(
         F.sequence(F.lit(0), F.lit(pieces - 1)),
         lambda j: F.substring("text", F.pmod(F.xxhash64("pick", j), F.greatest(F.length("text") - 200, F.lit(1))).cast("int") + 1, F.lit(WINDOW)),
     )
     # about twice as many, so that few rows are ranked; the rank then sets the bound
-    some = rows.join(share, "lang").where(F.pmod("pick", F.lit(1_000_000)) < F.col("most")).select("doc_id", "lang", "pick", places.alias("windows"))
+    some = rows.join(F.broadcast(share), "lang").where(F.pmod("pick", F.lit(1_000_000)) < F.col("most")).select("doc_id", "lang", "pick", places.alias("windows"))
     some = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("pick", "doc_id"))).where(F.col("rank") <= per_lang)
     got = sorted((r[0], r[1], i, x) for r in some.select("pick", "lang", "windows").collect() for i, x in enumerate(r[2]))
     if not got:
