@@ -530,3 +530,14 @@ def test_licences(spark):
         ("r/z.py", None, "MIT", "r"), ("q/z.py", None, None, None), ("None", "MIT", "MIT", None), ("q/z.py", None, None, None), ("top", None, None, None), ("r/a/b/long.py", None, "Apache-2.0", "r/a"),
     ], key=str)
     assert licences.scan(df.limit(0)).count() == 0
+
+
+def test_licences_of_several_lines(spark):
+    wrapped = lambda t, n=60, p="": "\n".join(p + " ".join(t.split()[i : i + n // 6]) for i in range(0, len(t.split()), n // 6))
+    mit, gpl, apache = licences.TEXTS["MIT"], licences.TEXTS["GPL-3.0"], licences.TEXTS["Apache-2.0"]
+    rows = [
+        ("m/LICENSE", "Copyright (c) 2020 Somebody\n\n" + wrapped(mit)), ("m/x.py", "code"), ("g/y.c", "/* Copyright (C) 2019 Some Body\n" + wrapped(gpl, 72, " * ") + " */\nint main;"),
+        ("a/z.java", wrapped(apache, 72, "// ") + "\n" + "class A { }\n" * 40), ("t/w.rs", "// SPDX-License-Identifier: BSD-3-Clause\nfn main"), ("t/v.rs", "licence talk only"),
+    ]
+    got = {r.path: r.licence for r in licences.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert got == {"m/LICENSE": "MIT", "m/x.py": "MIT", "g/y.c": "GPL-3.0", "a/z.java": "Apache-2.0", "t/w.rs": "BSD-3-Clause", "t/v.rs": None}
