@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 #: Letters and what they fold to (fixed values, one to one).
 ACCENTED = "ÀÁÂÃÄÅČÇĎÈÉÊËÍÌÏÎĹĽŇÑÒÓÔÕÖŔŘŠŤÙÚŮÛŰÜÝŸŽàáâãäåčçďèéêëíìïîĺľňñòóôõöŕřšťùúůûűüýÿž"
 PLAIN = "AAAAAACCDEEEEIIIILLNNOOOOORRSTUUUUUUYYZaaaaaaccdeeeeiiiillnnooooorrstuuuuuuyyz"
-#: Words of web addresses and pages that tell no interest (fixed values); languages' words come as a parameter.
-WEB_WORDS = "www http https com net org cz html htm php asp aspx jsp utm fbclid login page pageid api rss img index online info default template email mail web user".split()
-ENGLISH_WORDS = "a an and are as at be by for from has have in is it its of on or that the this to was were will with".split()
+#: The English stop words of Apache Lucene (fixed values). Other languages' words, and words of web addresses, are parameters.
+ENGLISH_WORDS = "a an and are as at be but by for if in into is it no not of on or such that the their then there these they this to was will with".split()
 
 
 def tokens(column: Column | str, unicode: bool = False, least: int = 2) -> Column:
@@ -26,8 +25,16 @@ def without_stop_words(array: Column, words: list[str]) -> Column:
     return F.filter(array, lambda w: ~w.isin(words))
 
 
+def language_words(language: str) -> list[str]:
+    """Spark's own stop words of a language ("english", "german", ...), folded and without repeats. Needs a session."""
+    from pyspark.ml.feature import StopWordsRemover
+
+    plain = str.maketrans(ACCENTED, PLAIN)
+    return sorted({form for w in StopWordsRemover.loadDefaultStopWords(language) for form in (w, w.translate(plain))})
+
+
 def clean_tokens(column: Column | str, stop_words: list[str] | None = None, unicode: bool = False) -> Column:
-    return without_stop_words(tokens(column, unicode), stop_words if stop_words is not None else WEB_WORDS + ENGLISH_WORDS)
+    return without_stop_words(tokens(column, unicode), stop_words if stop_words is not None else ENGLISH_WORDS)
 
 
 def fold(column: Column | str) -> Column:

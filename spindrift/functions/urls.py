@@ -32,8 +32,6 @@ TWO_LEVEL = [*PREFIX, ("extract", r"^[^/]+(/[^/.]+)(/[^/.]+)"), ("crop", 99), *T
 RTB = [LOWER, sub(r"^((https?|ftp)://)?(ww+[^.]*\.)?"), LEADING_DOT, sub(FORBIDDEN), ("extract", r"^[^/]+(/[^/.]+)?"), ("crop", 99), sub(r"[.\-/]$"), *MOBILE]
 CLEAN = [LOWER, SCHEME, LEADING_DOT, sub(r"/$"), sub(r"[?#].*$")]
 CROPPED = [("extract", r"^((https?://|ftp://))?[^/]*/?[^/]*/?"), sub(r"^((https?|ftp)://)?(ww+[^.]*\.)?(\*\.)?(m\.)?(mobil\.)?(3c\.)?"), sub(r"/#?$"), sub(FORBIDDEN)]
-#: Pages too general to tell an audience (dots stand for any character).
-GENERAL_PAGES = ["login.szn", "email.seznam.cz", "seznam.cz", "seznamzpravy.cz/clanek", "zkouknito.cz", "super.cz", "extra.cz", "blesk.cz", "novinky.cz"]
 
 
 def apply(column: Column | str, steps: list[Step]) -> Column:
@@ -91,9 +89,10 @@ def decode(column: Column | str) -> Column:
     return F.try_url_decode(column)
 
 
-def is_general(column: Column | str, pages: list[str] | None = None) -> Column:
+def is_general(column: Column | str, pages: list[str]) -> Column:
+    """Whether a URL holds one of the pages (patterns) that are too general to tell an audience."""
     c = F.col(column) if isinstance(column, str) else column
-    return c.rlike("|".join(pages or GENERAL_PAGES))
+    return c.rlike("|".join(pages)) if pages else F.lit(False)
 
 
 def all_forms(column: str) -> list[Column]:

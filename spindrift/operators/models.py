@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from spindrift.functions import scalars
 from spindrift.operators import rank
+from spindrift.sources.session import fixed
 
 
 def fields_of(schema: T.StructType | str, label: str = "label") -> dict[str, list[str]]:
@@ -40,6 +41,12 @@ def with_urls(features: DataFrame, urls: DataFrame) -> tuple[DataFrame, DataFram
     return joined, joined.agg(F.count_if(F.col("urls").isNull()).alias("unmatched"), F.count("*").alias("n"))
 
 
+def probability(df: DataFrame, model: Transformer, name: str) -> DataFrame:
+    """``df`` with the probability of the positive class as column ``name``."""
+    before = df.columns
+    return model.transform(df).select(*before, scalars.element("probability", 1).alias(name))
+
+
 def load(paths: dict[str, str]) -> dict[str, PipelineModel]:
     return {name: PipelineModel.load(path) for name, path in paths.items()}
 
@@ -49,14 +56,13 @@ def score_all(df: DataFrame, models: dict[str, Transformer | None], key: str = "
     opposite class -> model, as one minus the probability. Probabilities are ranked together."""
     out, trained = df, [m for m, t in models.items() if t is not None]
     for name in trained:
-        before = out.columns
-        got = models[name].transform(out)
-        out = got.select(*before, scalars.element("probability", 1).alias(f"{name}_probability"))
+        out = probability(out, models[name], f"{name}_probability")
     for other, name in (complement or {}).items():
         out = out.withColumn(f"{other}_probability", 1 - F.col(f"{name}_probability"))
     ranked = trained + list(complement or {})
     cols = [f"{m}_probability" for m in ranked]
-    out = rank.percent_ranks(out.select(key, *cols), cols) if cols else out.select(key)
+    # models run once, not in each reading of the ranks
+    out = rank.percent_ranks(fixed(out.select(key, *cols)), cols) if cols else out.select(key)
     out = out.withColumnsRenamed({f"{m}_probability_rank": f"{m}_percentile" for m in ranked})
     return out.withColumns({f"{m}_{x}": F.lit(-1.0) for m, t in models.items() if t is None for x in ("probability", "percentile")}) if len(trained) < len(models) else out
 

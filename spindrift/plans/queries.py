@@ -18,7 +18,6 @@ from spindrift.sources.session import fixed, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-INCOME = scores.INCOME
 
 
 def query(sql: str | None = None):
@@ -76,11 +75,12 @@ def incremental_hits(spark, sf):
     return incremental.since(h, "day", "ts", mark).select("event_id", "device")
 
 
-@query(f"WITH {Q.ORDERED} SELECT DISTINCT url_normalized FROM ordered WHERE url_normalized NOT IN (SELECT url_normalized FROM ordered WHERE day < DATE '2024-01-15')")
+@query(f"WITH {Q.ORDERED}, p AS (SELECT day, device || ' ' || url_normalized AS visited FROM ordered) SELECT DISTINCT visited FROM p WHERE visited NOT IN (SELECT visited FROM p WHERE day < DATE '2024-01-15')")
 def new_urls_anti(spark, sf):
-    h = X.enriched(spark, sf)
+    """Pages that are new to their visitor."""
+    h = X.enriched(spark, sf).select("day", F.concat_ws(" ", "device", "url_normalized").alias("visited"))
     known = h.where(F.col("day") < F.lit("2024-01-15").cast("date"))
-    return incremental.new_keys(h, known, "url_normalized").select("url_normalized").distinct()
+    return incremental.new_keys(h, known, "visited").select("visited").distinct()
 
 
 @query(f"WITH {Q.ORDERED} SELECT url_normalized, count(*) AS n, arg_min(owner_name, struct_pack(a := ts, b := event_id)) AS first_owner, arg_min(search_engine, struct_pack(a := ts, b := event_id)) FILTER (search_engine IS NOT NULL) AS first_engine FROM ordered GROUP BY 1")
@@ -127,9 +127,9 @@ def url_domain_levels(spark, sf):
     return X.table(spark, sf, "pages").select("page_id", urls.domain("url").alias("host"), *[urls.domain("url", i).alias(f"level_{i}") for i in range(3)])
 
 
-@query(f"SELECT page_id, url FROM pages WHERE NOT regexp_matches(url, {Q.q('|'.join(urls.GENERAL_PAGES))})")
+@query(f"SELECT page_id, url FROM pages WHERE NOT regexp_matches(url, {Q.q('|'.join(X.GENERAL_PAGES))})")
 def general_urls_removed(spark, sf):
-    return X.table(spark, sf, "pages").where(~urls.is_general("url")).select("page_id", "url")
+    return X.table(spark, sf, "pages").where(~urls.is_general("url", X.GENERAL_PAGES)).select("page_id", "url")
 
 
 @query("SELECT page_id, url_decode(replace(url, '/', '%2F')) AS decoded FROM pages")
@@ -229,7 +229,7 @@ def blog_recency(spark, sf):
 # text
 
 
-STOP = Q.names(text.WEB_WORDS + text.ENGLISH_WORDS)
+STOP = Q.names(text.ENGLISH_WORDS)
 TOKENS = f"list_filter(regexp_split_to_array(lower(text), '[\\W_]+'), lambda w: length(w) >= 2 AND NOT w IN ({STOP}))"
 
 
@@ -282,10 +282,23 @@ def distinct_words(spark, sf):
 # interests
 
 
-@query(f"SELECT DISTINCT interest, token FROM {Q.values(Q.VOCABULARY, 'interest, token')}")
+FOLDED = TOKENS.replace("lower(text)", f"lower(translate(text, {Q.q(text.ACCENTED)}, {Q.q(text.PLAIN)}))")
+
+
+@query(f"SELECT DISTINCT role AS interest, unnest({FOLDED}) AS token FROM conversations")
 def interest_tokens(spark, sf):
-    used = X.table(spark, sf, "region").agg(F.count("*").alias("n")).where("n > 0")
-    return interests.interest_tokens(X.definitions(spark)).crossJoin(F.broadcast(used)).select("interest", "token")
+    """The vocabulary of each speaker's turns, as keywords of an interest."""
+    defined = X.table(spark, sf, "conversations").select(F.col("role").alias("subinterest"), F.array("text").alias("keywords"))
+    return interests.interest_tokens(defined).select("interest", "token")
+
+
+@query(f"WITH p AS (SELECT quality, {FOLDED} AS x FROM documents JOIN labels USING (doc_id)) SELECT interest, count(*) AS n, md5(string_agg(token, '|' ORDER BY encode(token))) AS digest FROM (SELECT DISTINCT CAST(quality AS VARCHAR) AS interest, unnest({BIGRAMS.replace('t[', 'x[').replace('len(t)', 'len(x)')}) AS token FROM p) GROUP BY 1")
+def interest_bigrams(spark, sf):
+    """The distinct bigrams of the texts of each quality, as an interest's dictionary."""
+    d = X.table(spark, sf, "documents").join(X.table(spark, sf, "labels"), "doc_id")
+    defined = d.select(F.col("quality").cast("string").alias("subinterest"), F.array().cast("array<string>").alias("keywords"), F.array("text").alias("keywords_bigrams"))
+    tokens = interests.interest_tokens(defined, bigrams=True)
+    return tokens.groupBy("interest").agg(F.count("*").alias("n"), F.md5(F.array_join(F.array_sort(F.collect_list("token")), "|")).alias("digest"))
 
 
 def vocabulary(spark: SparkSession, general: bool = False) -> DataFrame:
@@ -373,95 +386,104 @@ def features(s: DataFrame) -> DataFrame:
     return users.join(behaviour.device_counts(s).select("user_id", "n_device_categories"), "user_id", "left").join(behaviour.page_view_misc(v).select("user_id", "engine_most_common"), "user_id", "left")
 
 
-def raw_scores(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+#: (brackets, coefficients of domains, of interests and of flags) of each family of scores.
+FAMILIES = {"income": (scores.INCOME, X.URL_COEFFICIENTS, X.INTEREST_COEFFICIENTS, X.FLAG_COEFFICIENTS), "education": (scores.EDUCATION, X.URL_EDUCATION, X.INTEREST_EDUCATION, X.FLAG_EDUCATION)}
+
+
+def raw_scores(spark: SparkSession, sf: str, family: str = "income") -> dict[str, DataFrame]:
+    brackets, of_url, of_interest, of_flag = FAMILIES[family]
     s, voc = fixed(X.sessions(spark, sf)), vocabulary(spark)
     v = X.views_of(s)
     aff = interests.affinities(interests.tokens_of_interest(v, voc), voc)
+    places = scores.location_flags(X.members(spark, sf), X.literal(spark, X.PLACES, ["segment_id", "name"])).select("user_id", "countryside_flag", "regional_town_flag")
+    flags = scores.web_flags(features(s)).join(places, "user_id", "left")
     return {
-        "interest": scores.interest_scores(aff, X.coefficients(spark, X.INTEREST_COEFFICIENTS, "interest"), INCOME),
-        "url": scores.url_scores(v, X.coefficients(spark, X.URL_COEFFICIENTS, "domain"), INCOME),
-        "other": scores.other_scores(scores.web_flags(features(s)), X.coefficients(spark, X.FLAG_COEFFICIENTS, "flag"), INCOME),
+        "interest": scores.interest_scores(aff, X.coefficients(spark, of_interest, "interest", brackets), brackets),
+        "url": scores.url_scores(v, X.coefficients(spark, of_url, "domain", brackets), brackets),
+        "other": scores.other_scores(flags, X.coefficients(spark, of_flag, "flag", brackets), brackets),
     }
 
 
-SCORE_COLUMNS = [f"score_{b}" for b in INCOME]
+def score_columns(family: str) -> list[str]:
+    return scores.named(FAMILIES[family][0])
+
 
+SCORE_COLUMNS = score_columns("income")
+RAW = {f: {"url": Q.url_raw(u, b), "interest": Q.interest_raw(i, b), "other": Q.other_raw(o, b)} for f, (b, u, i, o) in FAMILIES.items()}
 
-@query(f"WITH {Q.VIEWS} " + Q.scores("url", Q.URL_RAW))
+
+@query(f"WITH {Q.VIEWS} " + Q.scores(RAW["income"]["url"], scores.INCOME))
 def url_score(spark, sf):
     return raw_scores(spark, sf)["url"].select("user_id", *r6(*SCORE_COLUMNS))
 
 
-@query(f"WITH {Q.AFFINITY} " + Q.scores("interest", Q.INTEREST_RAW))
+@query(f"WITH {Q.AFFINITY} " + Q.scores(RAW["income"]["interest"], scores.INCOME))
 def interest_score(spark, sf):
     return raw_scores(spark, sf)["interest"].select("user_id", *r6(*SCORE_COLUMNS))
 
 
-@query(f"WITH {Q.USERS} " + Q.scores("other", Q.OTHER_RAW))
+@query(f"WITH {Q.USERS_PLACED} " + Q.scores(RAW["income"]["other"], scores.INCOME))
 def other_score(spark, sf):
     return raw_scores(spark, sf)["other"].select("user_id", *r6(*SCORE_COLUMNS))
 
 
+@query(f"WITH {Q.USERS_PLACED} " + Q.scores(RAW["education"]["other"], scores.EDUCATION))
+def education_other_score(spark, sf):
+    return raw_scores(spark, sf, "education")["other"].select("user_id", *r6(*score_columns("education")))
+
+
 @query(f"WITH {Q.USERS} SELECT * FROM flags")
 def web_flags(spark, sf):
     return scores.web_flags(features(X.sessions(spark, sf)))
 
 
-def income(spark: SparkSession, sf: str, normalise: bool) -> DataFrame:
-    raw = raw_scores(spark, sf)
-    parts = {n: scores.transformed(raw[n], INCOME, normalise=normalise and n != "other") if n != "other" else scores.transformed(raw[n], INCOME, normalise=False) for n in raw}
-    return scores.blended(parts, INCOME)
+def family_scores(spark: SparkSession, sf: str, family: str, normalise: bool) -> DataFrame:
+    raw, brackets = raw_scores(spark, sf, family), FAMILIES[family][0]
+    parts = {n: scores.transformed(raw[n], brackets, normalise=normalise and n != "other") for n in raw}
+    return scores.blended(parts, brackets)
 
 
-VIEWS_AND_USERS = Q.USERS + Q.VIEWS[len(Q.ORDERED) :] + Q.affinity_tables(Q.VOCABULARY)
-BLEND = ", ".join(f"(3 * i.score_{b} + 5 * u.score_{b} + 4 * o.score_{b}) / 12.0 AS x_{b}" for b in INCOME)
+VIEWS_AND_USERS = Q.USERS_PLACED + Q.VIEWS[len(Q.ORDERED) :] + Q.affinity_tables(Q.VOCABULARY)
 
 
-@query(
-    f"WITH {VIEWS_AND_USERS}, blend AS (SELECT i.user_id, {BLEND} FROM {Q.squashed(Q.INTEREST_RAW)} i JOIN {Q.squashed(Q.URL_RAW)} u USING (user_id) JOIN {Q.squashed(Q.OTHER_RAW)} o USING (user_id)),"
-    f" s AS (SELECT user_id, {', '.join(f'x_{b} / (2 * (1 + abs(x_{b}))) + 0.5 AS score_{b}' for b in INCOME)} FROM blend) SELECT user_id, {', '.join(f'round(score_{b}, 6) AS score_{b}' for b in INCOME)} FROM s"
-)
+def blend(family: str) -> str:
+    """Tables <family>_blend and <family> (user_id, score_<bracket>): plain scores of all three parts."""
+    b, raw = FAMILIES[family][0], RAW[family]
+    parts = ", ".join(f"(3 * i.score_{x} + 5 * u.score_{x} + 4 * o.score_{x}) / 12.0 AS x_{x}" for x in b)
+    joined = f"{Q.squashed(raw['interest'], b)} i JOIN {Q.squashed(raw['url'], b)} u USING (user_id) JOIN {Q.squashed(raw['other'], b)} o USING (user_id)"
+    return f", {family}_blend AS (SELECT i.user_id, {parts} FROM {joined}), {family} AS (SELECT user_id, {', '.join(f'x_{x} / (2 * (1 + abs(x_{x}))) + 0.5 AS score_{x}' for x in b)} FROM {family}_blend)"
+
+
+@query(f"WITH {VIEWS_AND_USERS}{blend('income')} " + Q.scores("income", scores.INCOME))
 def income_score_plain(spark, sf):
-    return income(spark, sf, normalise=False).select("user_id", *r6(*SCORE_COLUMNS))
+    return family_scores(spark, sf, "income", normalise=False).select("user_id", *r6(*SCORE_COLUMNS))
 
 
-@query()
-def income_score(spark, sf):
-    return income(spark, sf, normalise=True).select("user_id", *r6(*SCORE_COLUMNS, *[f"{c}_rank" for c in SCORE_COLUMNS]))
+@query(f"WITH {VIEWS_AND_USERS}{blend('education')} " + Q.scores("education", scores.EDUCATION))
+def education_score_plain(spark, sf):
+    return family_scores(spark, sf, "education", normalise=False).select("user_id", *r6(*score_columns("education")))
 
 
-def education_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders as users: income and education scores by arithmetic on the price."""
-    p = F.col("o_totalprice").cast("double") / 1000
-    income_ = [(p * (i + 2) % 7 / 7).alias(f"income_{b}") for i, b in enumerate(scores.INCOME)]
-    return X.table(spark, sf, "orders").select(F.col("o_orderkey").alias("user_id"), *income_, *[(p * (i + 3) % 11 / 11).alias(f"education_{b}") for i, b in enumerate(scores.EDUCATION)])
+@query()
+def income_score(spark, sf):
+    return family_scores(spark, sf, "income", normalise=True).select("user_id", *r6(*SCORE_COLUMNS, *[f"{c}_rank" for c in SCORE_COLUMNS]))
 
 
-P = "(CAST(o_totalprice AS DOUBLE) / 1000)"
-PAIRS = {f"{i}_{e}": f"({P} * {a + 2} % 7 / 7 + 0.7 * ({P} * {b + 3} % 11 / 11))" for a, i in enumerate(scores.INCOME) for b, e in enumerate(scores.EDUCATION)}
+PAIRS = {f"{i}_{e}": f"(i.score_{i} + 0.7 * e.score_{e})" for i in scores.INCOME for e in scores.EDUCATION}
 LETTERS = ", ".join(f"greatest({', '.join(PAIRS[k] for k in ks)}) AS {letter}" for letter, ks in scalars.BRACKETS.items())
 
 
-@query(f"WITH x AS (SELECT o_orderkey AS user_id, {LETTERS} FROM orders) SELECT user_id, " + ", ".join(f"round({c}, 6) AS {c}, round(percent_rank() OVER (ORDER BY {c}), 4) AS {c}_rank" for c in scalars.BRACKETS) + " FROM x")
+@query(f"WITH {VIEWS_AND_USERS}{blend('income')}{blend('education')}, x AS (SELECT user_id, {LETTERS} FROM income i JOIN education e USING (user_id)) SELECT user_id, " + ", ".join(f"round({c}, 6) AS {c}, round(percent_rank() OVER (ORDER BY round({c}, 12)), 4) AS {c}_rank" for c in scalars.BRACKETS) + " FROM x")
 def abcde(spark, sf):
-    out = scores.abcde(education_rows(spark, sf))
+    """Letters of users with both income and education scores."""
+    both = [family_scores(spark, sf, f, normalise=False).select("user_id", *[F.round(f"score_{b}", 12).alias(f"{f}_{b}") for b in FAMILIES[f][0]]) for f in FAMILIES]
+    out = scores.abcde(both[0].join(both[1], "user_id"))
     return out.select("user_id", *[x for c in scalars.BRACKETS for x in (F.round(c, 6).alias(c), F.round(f"{c}_rank", 4).alias(f"{c}_rank"))])
 
 
-TRAITS = f"tr AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, event_type AS segment_id FROM events WHERE event_id % 7 = 0), pl AS (SELECT * FROM {Q.values(X.PLACES, 'segment_id, name')})"
-
-
-def members(spark: SparkSession, sf: str) -> DataFrame:
-    return X.table(spark, sf, "events").where("event_id % 7 = 0").select(F.col("user_id").cast("string").alias("user_id"), F.col("event_type").alias("segment_id")).distinct()
-
-
-@query(
-    f"WITH {TRAITS}, a AS (SELECT user_id, count(DISTINCT name) AS n_places, coalesce(bool_or(name LIKE '%Praha%'), false) AS prague, coalesce(bool_or(name LIKE '%City%'), false) AS city FROM tr LEFT JOIN pl USING (segment_id) GROUP BY 1),"
-    " b AS (SELECT *, CASE WHEN n_places >= 1 AND NOT city AND NOT prague THEN 'countryside' WHEN n_places = 2 AND city AND NOT prague THEN 'regional_town' ELSE 'none' END AS location FROM a)"
-    " SELECT user_id, n_places, location, CAST(location = 'countryside' AS INT) AS countryside_flag, CAST(location = 'regional_town' AS INT) AS regional_town_flag FROM b"
-)
+@query(f"WITH {Q.LOCATIONS} SELECT user_id, n_places, location, countryside_flag, regional_town_flag FROM loc")
 def location_flags(spark, sf):
-    return scores.location_flags(members(spark, sf), X.literal(spark, X.PLACES, ["segment_id", "name"]))
+    return scores.location_flags(X.members(spark, sf), X.literal(spark, X.PLACES, ["segment_id", "name"]))
 
 
 # targets and segments
@@ -489,22 +511,22 @@ def sociodemo_target(spark, sf):
     return targets.resolved(targets.trusted(h, ["click", "view"], "owner_name"))
 
 
-MODELS = [("buyers", "purchase, signup"), ("readers", "view"), ("none", "absent")]
+MODELS = [("buyers", "purchase:0, signup:1"), ("readers", "view:2"), ("none", "absent")]
 
 
 @query(
-    f"WITH {TRAITS}, u AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id FROM events) SELECT u.user_id, "
+    f"WITH {Q.TRAITS}, u AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id FROM events) SELECT u.user_id, "
     + ", ".join(f"CAST(count(*) FILTER (segment_id IN ({Q.names([s.strip() for s in ids.split(',')])})) > 0 AS INT) AS {Q.q(m)[1:-1] if m != 'none' else '"none"'}" for m, ids in MODELS)
     + ", concat_ws(',', " + ", ".join(f"CASE WHEN count(*) FILTER (segment_id IN ({Q.names([s.strip() for s in ids.split(',')])})) > 0 THEN {Q.q(m)} END" for m, ids in MODELS) + ") AS models FROM u LEFT JOIN tr USING (user_id) GROUP BY 1"
 )
 def lookalike_target(spark, sf):
     users = X.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("user_id")).distinct()
-    return targets.lookalike_targets(users, members(spark, sf), X.literal(spark, MODELS, ["model", "segment_ids"]), [m for m, _ in MODELS])
+    return targets.lookalike_targets(users, X.members(spark, sf), X.literal(spark, MODELS, ["model", "segment_ids"]), [m for m, _ in MODELS])
 
 
-@query("SELECT DISTINCT trim(s) AS segment_id FROM (SELECT unnest(string_split(event_type || ', ' || CAST(user_id AS VARCHAR), ',')) AS s FROM events WHERE event_id % 5 = 0)")
+@query("SELECT DISTINCT trim(s) AS segment_id FROM (SELECT unnest(string_split(event_type || ', ' || CAST(user_id AS VARCHAR), ',')) AS s FROM events)")
 def segment_ids(spark, sf):
-    e = X.table(spark, sf, "events").where("event_id % 5 = 0").select(F.concat_ws(", ", "event_type", F.col("user_id").cast("string")).alias("segment_ids"))
+    e = X.table(spark, sf, "events").select(F.concat_ws(", ", "event_type", F.col("user_id").cast("string")).alias("segment_ids"))
     return targets.segment_ids(e)
 
 
@@ -543,17 +565,17 @@ def sociodemo_inputs(spark, sf):
 
 
 def fitted(spark: SparkSession, sf: str, label: str):
-    from pyspark.ml import Pipeline
+    """A logistic model of all components of the embeddings, fitted to four fifths of the rows."""
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
 
     rows = embedded(spark, sf).withColumn("label", F.expr(label).cast("double"))
-    stages = [VectorAssembler(inputCols=["x0", "x1", "x2", "x3"], outputCol="features"), LogisticRegression(maxIter=20, regParam=0.01)]
-    return Pipeline(stages=stages).fit(rows.where("user_id % 5 <> 0"))
+    return LogisticRegression(maxIter=20, regParam=0.01).fit(rows.where("user_id % 5 <> 0"))
 
 
 def embedded(spark: SparkSession, sf: str) -> DataFrame:
-    return X.table(spark, sf, "embeddings").select(F.col("vec_id").alias("user_id"), F.col("label").alias("group"), *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(4)])
+    from pyspark.ml.functions import array_to_vector
+
+    return X.table(spark, sf, "embeddings").select(F.col("vec_id").alias("user_id"), F.col("label").alias("group"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
 
 
 @query()
@@ -568,7 +590,8 @@ def sociodemo_score(spark, sf):
 
 @query()
 def feature_importance(spark, sf):
-    return models.importances(spark, fitted(spark, sf, "`group` = 0").stages[-1], ["x0", "x1", "x2", "x3"])
+    model = fitted(spark, sf, "`group` = 0")
+    return models.importances(spark, model, [f"x{i}" for i in range(model.numFeatures)])
 
 
 # evaluation

@@ -109,7 +109,6 @@ aff AS (SELECT user_id, interest, round(1 / (1 + exp(-(0.25 + 0.5 * share * s /
 
 
 AFFINITY, GENERAL_AFFINITY = VIEWS + affinity_tables(VOCABULARY), VIEWS + affinity_tables(GENERAL)
-BR = ["low", "mid", "high"]
 USERS = (
     SESSIONS
     + f""",
@@ -122,19 +121,41 @@ flags AS (SELECT user_id, CAST(engine_most_common = 'seznam' AS INT) AS seznam_f
 )
 
 
-def scores(name: str, rows: str) -> str:
-    return f"SELECT user_id, {', '.join(f'round(score_{b}, 6) AS score_{b}' for b in BR)} FROM {rows}"
+TRAITS = f"tr AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, event_type || ':' || CAST(user_id % 5 AS VARCHAR) AS segment_id FROM events), pl AS (SELECT * FROM {values(X.PLACES, 'segment_id, name')})"
+LOCATIONS = (
+    f"{TRAITS}, places AS (SELECT user_id, count(DISTINCT name) AS n_places, coalesce(bool_or(name LIKE '%Praha%'), false) AS prague, coalesce(bool_or(name LIKE '%City%'), false) AS city FROM tr LEFT JOIN pl USING (segment_id) GROUP BY 1),"
+    " located AS (SELECT *, CASE WHEN n_places >= 1 AND NOT city AND NOT prague THEN 'countryside' WHEN n_places = 2 AND city AND NOT prague THEN 'regional_town' ELSE 'none' END AS location FROM places),"
+    " loc AS (SELECT user_id, n_places, location, CAST(location = 'countryside' AS INT) AS countryside_flag, CAST(location = 'regional_town' AS INT) AS regional_town_flag FROM located)"
+)
+#: The flags of habits with those of places, for users with habits.
+USERS_PLACED = f"{USERS}, {LOCATIONS}, allflags AS (SELECT f.*, l.countryside_flag, l.regional_town_flag FROM flags f LEFT JOIN loc l USING (user_id))"
+FLAGS = ["seznam_flag", "safari_flag", "desktop_flag", "tv_flag", "more_devices_flag", "countryside_flag", "regional_town_flag"]
+
+
+def scores(rows: str, brackets: list[str]) -> str:
+    return f"SELECT user_id, {', '.join(f'round(score_{b}, 6) AS score_{b}' for b in brackets)} FROM {rows}"
+
+
+def coefficients(rows: list[tuple], key: str, brackets: list[str]) -> str:
+    return values(rows, ", ".join([key, *[f"score_{b}" for b in brackets]])).replace("AS t(", "AS c(")
+
+
+def url_raw(rows: list[tuple], brackets: list[str]) -> str:
+    return f"""(SELECT user_id, n_urls, {", ".join(f"power(least(n_urls, 30) - 0.75, 0.25) * m_{b} AS score_{b}" for b in brackets)} FROM (
+  SELECT user_id, count(*) AS n_urls, {", ".join(f"avg(coalesce(c.score_{b}, 0)) AS m_{b}" for b in brackets)} FROM views LEFT JOIN {coefficients(rows, "domain", brackets)} USING (domain) GROUP BY 1))"""
+
+
+def interest_raw(rows: list[tuple], brackets: list[str]) -> str:
+    return f"(SELECT user_id, {', '.join(f'sum(affinity * c.score_{b}) AS score_{b}' for b in brackets)} FROM aff LEFT JOIN {coefficients(rows, 'interest', brackets)} USING (interest) GROUP BY 1)"
 
 
-URL_RAW = f"""(SELECT user_id, n_urls, {", ".join(f"power(least(n_urls, 30) - 0.75, 0.25) * m_{b} AS score_{b}" for b in BR)} FROM (
-  SELECT user_id, count(*) AS n_urls, {", ".join(f"avg(coalesce(c.score_{b}, 0)) AS m_{b}" for b in BR)} FROM views LEFT JOIN {values(X.URL_COEFFICIENTS, "domain, score_low, score_mid, score_high").replace("AS t(", "AS c(")} USING (domain) GROUP BY 1))"""
-INTEREST_RAW = f"""(SELECT user_id, {", ".join(f"sum(affinity * c.score_{b}) AS score_{b}" for b in BR)} FROM aff LEFT JOIN {values(X.INTEREST_COEFFICIENTS, "interest, score_low, score_mid, score_high").replace("AS t(", "AS c(")} USING (interest) GROUP BY 1)"""
-OTHER_RAW = f"""(SELECT user_id, {", ".join(f"sum(value * c.score_{b}) AS score_{b}" for b in BR)} FROM (UNPIVOT (SELECT user_id, {", ".join(f"coalesce({f}, 0) AS {f}" for f in ("seznam_flag", "safari_flag", "desktop_flag", "tv_flag", "more_devices_flag"))} FROM flags) ON COLUMNS(* EXCLUDE user_id) INTO NAME flag VALUE value)
-  JOIN {values(X.FLAG_COEFFICIENTS, "flag, score_low, score_mid, score_high").replace("AS t(", "AS c(")} USING (flag) GROUP BY 1)"""
+def other_raw(rows: list[tuple], brackets: list[str]) -> str:
+    return f"""(SELECT user_id, {", ".join(f"sum(value * c.score_{b}) AS score_{b}" for b in brackets)} FROM (UNPIVOT (SELECT user_id, {", ".join(f"coalesce({f}, 0) AS {f}" for f in FLAGS)} FROM allflags) ON COLUMNS(* EXCLUDE user_id) INTO NAME flag VALUE value)
+  JOIN {coefficients(rows, "flag", brackets)} USING (flag) GROUP BY 1)"""
 
 
-def squashed(rows: str, sharp: float = 1.0) -> str:
+def squashed(rows: str, brackets: list[str]) -> str:
     """Standardised and squashed, without Box-Cox."""
     z = lambda b: f"(CASE WHEN stddev_samp(score_{b}) OVER () = 0 OR stddev_samp(score_{b}) OVER () IS NULL THEN 0 ELSE (score_{b} - avg(score_{b}) OVER ()) / stddev_samp(score_{b}) OVER () END)"
-    known = " AND ".join(f"score_{b} IS NOT NULL" for b in BR)
-    return f"(SELECT user_id, {', '.join(f'z_{b} / sqrt(1 + z_{b} * z_{b}) AS score_{b}' for b in BR)} FROM (SELECT user_id, {', '.join(f'{z(b)} AS z_{b}' for b in BR)} FROM {rows} WHERE {known}))"
+    known = " AND ".join(f"score_{b} IS NOT NULL" for b in brackets)
+    return f"(SELECT user_id, {', '.join(f'z_{b} / sqrt(1 + z_{b} * z_{b}) AS score_{b}' for b in brackets)} FROM (SELECT user_id, {', '.join(f'{z(b)} AS z_{b}' for b in brackets)} FROM {rows} WHERE {known}))"

@@ -24,7 +24,12 @@ INTERESTS = [("nature", "outdoor", ["en", "blog"]), ("travel", "outdoor", ["de",
 URL_COEFFICIENTS = [("example.com", 0.4, -0.2, 0.1), ("example.net", -0.3, 0.5, 0.2), ("example.org", 0.1, 0.1, -0.6)]
 INTEREST_COEFFICIENTS = [("nature", 0.2, 0.1, -0.1), ("travel", -0.1, 0.3, 0.4), ("reading", 0.5, -0.4, 0.2)]
 FLAG_COEFFICIENTS = [("seznam_flag", 0.1, 0.2, 0.3), ("safari_flag", -0.2, 0.1, 0.4), ("desktop_flag", 0.3, -0.1, 0.1), ("tv_flag", 0.1, 0.1, 0.1), ("more_devices_flag", -0.4, 0.2, 0.5), ("countryside_flag", 0.2, 0.0, -0.2), ("regional_town_flag", 0.0, 0.3, 0.1)]
-PLACES = [("click", "Praha City"), ("view", "Plzensky kraj"), ("purchase", "Brno City"), ("signup", "Olomoucky kraj")]
+PLACES = [("click:0", "Praha City"), ("view:1", "Plzensky kraj"), ("purchase:2", "Brno City"), ("view:2", "Jihomoravsky kraj"), ("signup:3", "Olomoucky kraj")]
+GENERAL_PAGES = ["example.net/en", "/de/6", "^http://th"]
+#: Coefficients of the four levels of education.
+URL_EDUCATION = [("example.com", 0.3, -0.1, 0.2, 0.4), ("example.net", -0.2, 0.4, 0.1, -0.3), ("example.org", 0.2, 0.1, -0.5, 0.1)]
+INTEREST_EDUCATION = [("nature", 0.1, 0.2, -0.2, 0.3), ("travel", -0.2, 0.1, 0.3, 0.2), ("reading", 0.4, -0.3, 0.1, -0.1)]
+FLAG_EDUCATION = [("seznam_flag", 0.2, 0.1, 0.3, -0.1), ("safari_flag", -0.1, 0.2, 0.3, 0.1), ("desktop_flag", 0.2, -0.2, 0.1, 0.3), ("tv_flag", 0.1, 0.2, 0.1, 0.0), ("more_devices_flag", -0.3, 0.1, 0.4, 0.2), ("countryside_flag", 0.1, 0.1, -0.1, 0.2), ("regional_town_flag", 0.1, 0.2, 0.0, -0.2)]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,8 +83,14 @@ def definitions(spark: SparkSession) -> DataFrame:
     return literal(spark, INTERESTS, ["subinterest", "general_interest", "keywords"])
 
 
-def coefficients(spark: SparkSession, rows: list[tuple], key: str) -> DataFrame:
-    return literal(spark, rows, [key, "score_low", "score_mid", "score_high"])
+def coefficients(spark: SparkSession, rows: list[tuple], key: str, brackets: list[str]) -> DataFrame:
+    return literal(spark, rows, [key, *[f"score_{b}" for b in brackets]])
+
+
+def members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user_id, segment_id) of all events: a segment is a kind of event among users of one remainder."""
+    e = table(spark, sf_dir, "events")
+    return e.select(F.col("user_id").cast("string").alias("user_id"), F.concat_ws(":", "event_type", (F.col("user_id") % 5).cast("string")).alias("segment_id")).distinct()
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
