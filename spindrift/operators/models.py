@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 
 from pyspark.ml import PipelineModel, Transformer
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,9 +44,18 @@ def with_urls(features: DataFrame, urls: DataFrame) -> tuple[DataFrame, DataFram
 
 
 def probability(df: DataFrame, model: Transformer, name: str) -> DataFrame:
-    """``df`` with the probability of the positive class as column ``name``."""
-    before = df.columns
-    return model.transform(df).select(*before, scalars.element("probability", 1).alias(name))
+    """``df`` with the probability of the positive class as column ``name``. A two-class logistic model is an expression of
+    its coefficients: its own transformer holds on to the training session, which can't always be sent to tasks."""
+    stages = model.stages if isinstance(model, PipelineModel) else [model]
+    last, out, before = stages[-1], df, df.columns
+    for stage in stages[:-1]:
+        out = stage.transform(out)
+    if not isinstance(last, LogisticRegressionModel) or last.numClasses != 2:
+        return last.transform(out).select(*before, scalars.element("probability", 1).alias(name))
+    weights = F.array(*[F.lit(float(w)) for w in last.coefficients.toArray()])
+    products = F.zip_with(vector_to_array(last.getFeaturesCol()), weights, lambda x, w: x * w)
+    margin = F.aggregate(products, F.lit(float(last.intercept)), lambda total, x: total + x)
+    return out.select(*before, (1 / (1 + F.exp(-margin))).alias(name))
 
 
 def load(paths: dict[str, str]) -> dict[str, PipelineModel]:

@@ -169,3 +169,30 @@ def test_lift_and_assembly(spark):
 def test_plans_stay_in_the_jvm(spark, name):
     plan = plans.QUERIES[name](spark, SF)._jdf.queryExecution().toString()
     assert not any(w in plan for w in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInArrow"))
+
+
+def test_logistic_probability_as_an_expression(spark):
+    """Equal to the fitted model's, and computed in a session that observes metrics."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import Observation
+
+    from spindrift.operators import models
+
+    rows = spark.range(200).select("id", F.array((F.col("id") % 7).cast("double"), (F.col("id") % 11).cast("double")).alias("x"), (F.col("id") % 7 + F.col("id") % 3 > 4).cast("double").alias("label"))
+    rows = rows.withColumn("features", array_to_vector("x"))
+    model = LogisticRegression(maxIter=10).fit(rows)
+    rows.observe(Observation(), F.count(F.lit(1)).alias("n")).collect()
+    for r in models.probability(rows, model, "p").collect():
+        z = float(model.intercept + sum(a * b for a, b in zip(r.x, model.coefficients.toArray(), strict=True)))
+        assert abs(r.p - 1 / (1 + 2.718281828459045 ** -z)) < 1e-9
+    scored = models.score_all(rows.withColumnRenamed("id", "user_id"), {"m": model, "none": None}).collect()
+    assert len(scored) == 200 and max(r.m_percentile for r in scored) <= 1 and {r.none_probability for r in scored} == {-1.0}
+
+
+def test_language_words(spark):
+    from spindrift.functions import text
+
+    assert {"und", "nicht"} <= set(text.language_words("german")) and "the" in text.language_words("english")
+    got = spark.createDataFrame([("Der Hund und die Katze",)], "t string").select(text.clean_tokens("t", text.language_words("german"))).first()[0]
+    assert got == ["hund", "katze"]
