@@ -72,8 +72,8 @@ def transformed(scores: DataFrame, brackets: list[str], sharpness: float = 1.0,
     return stats.standardise(out, cols).withColumns({c: scalars.sigmoid(F.col(c), sharpness) for c in cols})
 
 
-def blended(parts: dict[str, DataFrame], brackets: list[str], weights: dict[str, float] = WEIGHTS) -> DataFrame:
-    """user_id, score_<bracket> in (0, 1) and score_<bracket>_rank: users with all parts, weighted and ranked."""
+def blended(parts: dict[str, DataFrame], brackets: list[str], weights: dict[str, float] = WEIGHTS, ranked: bool = True) -> DataFrame:
+    """user_id, score_<bracket> in (0, 1) and, if ``ranked``, score_<bracket>_rank: users with all parts, weighted."""
     cols = named(brackets)
     out = None
     for name, df in parts.items():
@@ -81,7 +81,8 @@ def blended(parts: dict[str, DataFrame], brackets: list[str], weights: dict[str,
         out = part if out is None else out.join(part, "user_id", "left")
     out = out.dropna("any")
     score = {c: scalars.positive_sigmoid(scalars.total([weights[n] * F.col(f"{n}_{c}") for n in parts])) for c in cols}
-    return rank.percent_ranks(fixed(out.select("user_id", *[v.alias(c) for c, v in score.items()])), cols)
+    out = out.select("user_id", *[v.alias(c) for c, v in score.items()])
+    return rank.percent_ranks(fixed(out), cols) if ranked else out
 
 
 def combinations(income: str = "income_", education: str = "education_") -> dict[str, Column]:
@@ -94,7 +95,7 @@ def abcde(df: DataFrame) -> DataFrame:
     pairs = combinations()
     rows = df.select("user_id", *[v.alias(k) for k, v in pairs.items()])
     letters = scalars.brackets({k: F.col(k) for k in pairs})
-    return rank.percent_ranks(rows.select("user_id", *[v.alias(k) for k, v in letters.items()]), list(letters))
+    return rank.percent_ranks(fixed(rows.select("user_id", *[v.alias(k) for k, v in letters.items()])), list(letters))
 
 
 def missing_parts(stored: DataFrame, family: str, timestamp: Column, parts: dict) -> dict[str, DataFrame]:

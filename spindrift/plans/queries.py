@@ -438,9 +438,10 @@ def web_flags(spark, sf):
 
 
 def family_scores(spark: SparkSession, sf: str, family: str, normalise: bool) -> DataFrame:
+    """Scores of users with all three parts; ranked where they are normalised."""
     raw, brackets = raw_scores(spark, sf, family), FAMILIES[family][0]
     parts = {n: scores.transformed(raw[n], brackets, normalise=normalise and n != "other") for n in raw}
-    return scores.blended(parts, brackets)
+    return scores.blended(parts, brackets, ranked=normalise)
 
 
 VIEWS_AND_USERS = Q.USERS_PLACED + Q.VIEWS[len(Q.ORDERED) :] + Q.affinity_tables(Q.VOCABULARY)
