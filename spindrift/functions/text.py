@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Letters and what they fold to (fixed values, one to one).
 ACCENTED = "ÀÁÂÃÄÅČÇĎÈÉÊËÍÌÏÎĹĽŇÑÒÓÔÕÖŔŘŠŤÙÚŮÛŰÜÝŸŽàáâãäåčçďèéêëíìïîĺľňñòóôõöŕřšťùúůûűüýÿž"
@@ -41,6 +44,20 @@ def fold(column: Column | str) -> Column:
     return F.translate(column, ACCENTED, PLAIN)
 
 
+@F.pandas_udf(T.StringType())
+def decomposed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Unicode's canonical decomposition, which Spark's functions lack."""
+    for texts in batches:
+        yield texts.str.normalize("NFD")
+
+
+def fold_marks(column: Column | str) -> Column:
+    """Letters without any combining mark, of all scripts; NULL becomes an empty text. ``fold`` is the way for the
+    letters of its table and stays in the JVM."""
+    c = F.col(column) if isinstance(column, str) else column
+    return F.coalesce(F.regexp_replace(decomposed(c), r"\p{Mn}", ""), F.lit(""))
+
+
 def ngrams(array: Column, n: int = 2) -> Column:
     """Adjacent runs joined by a space; an empty array where there are too few tokens. Shifted copies of the array are
     zipped, so that it is not worked out anew for each element."""

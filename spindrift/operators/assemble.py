@@ -43,3 +43,8 @@ def counted(df: DataFrame, name: str, **conditions) -> tuple[DataFrame, Observat
     """The frame, with its row count (and counts of conditions) observed as it is next written: no job of its own."""
     seen = Observation(name)
     return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(k) for k, c in conditions.items()]), seen
+
+
+def columns_like(df: DataFrame, pattern: str) -> list[str]:
+    """Names of the columns that begin with a match of ``pattern``, in the frame's order."""
+    return [c for c in df.columns if re.match(pattern, c)]

@@ -42,14 +42,19 @@ def first_rows(df: DataFrame, key: str, order: list[str], columns: list[str]) ->
     return df.groupBy(key).agg(F.count("*").alias("n"), *[F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(c) for c in columns])
 
 
-def has_duplicates(df: DataFrame, key: str) -> bool:
-    return not df.groupBy(key).count().where("count > 1").isEmpty()
+def duplicates(df: DataFrame, key: str | list[str]) -> DataFrame:
+    """The keys of more than one row, with their number of rows ``n``."""
+    return df.groupBy(*([key] if isinstance(key, str) else key)).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def has_duplicates(df: DataFrame, key: str | list[str]) -> bool:
+    return not duplicates(df, key).isEmpty()
 
 
 def upsert(base: DataFrame, updates: DataFrame, key: str | list[str], check: bool = True) -> DataFrame:
     """Updates replace rows of the same key and add the others. A key twice in the updates is an error."""
     keys = [key] if isinstance(key, str) else key
-    if check and not updates.groupBy(*keys).count().where("count > 1").isEmpty():
+    if check and has_duplicates(updates, keys):
         raise ValueError("updates hold a key twice")
     return base.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
 

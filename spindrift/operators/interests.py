@@ -8,15 +8,29 @@ from pyspark.sql import functions as F
 from spindrift.functions import scalars, text
 
 
-def interest_tokens(definitions: DataFrame, general: bool = False, bigrams: bool = False, variant: str = "cleaned") -> DataFrame:
-    """(interest, token): the folded, cleaned (or stemmed) tokens of each interest's keywords, pooled."""
-    level = "general_interest" if general else "subinterest"
-    fields = ["keywords", *(["keywords_bigrams"] if bigrams else [])]
-    rows = definitions.select(F.col(level).alias("interest"), F.explode(text.pooled([F.col(f) for f in fields], distinct=False)).alias("keyword"))
+def keyword_tokens(definitions: DataFrame, keys: list[str], fields: list[str], bigrams: bool, variant: str) -> DataFrame:
+    """(keys, token), distinct: the folded, cleaned (or stemmed) tokens of the keywords in all ``fields``; with ``bigrams``
+    a keyword of several words gives its bigrams."""
+    rows = definitions.select(*keys, F.explode(text.pooled([F.col(f) for f in fields], distinct=False)).alias("keyword"))
     words = text.clean_tokens(text.fold("keyword"))
     words = text.stem_czech(words) if variant.startswith("stemmed") else words
     words = F.when(F.col("keyword").contains(" "), text.ngrams(words)).otherwise(words) if bigrams else words
-    return rows.select("interest", F.explode(words).alias("token")).distinct()
+    return rows.select(*keys, F.explode(words).alias("token")).distinct()
+
+
+def interest_tokens(definitions: DataFrame, general: bool = False, bigrams: bool = False, variant: str = "cleaned") -> DataFrame:
+    """(interest, token): the tokens of each interest's keywords, pooled."""
+    level = "general_interest" if general else "subinterest"
+    rows = definitions.withColumn("interest", F.col(level))
+    return keyword_tokens(rows, ["interest"], ["keywords", *(["keywords_bigrams"] if bigrams else [])], bigrams, variant)
+
+
+def paired_dictionary(definitions: DataFrame, variant: str = "cleaned") -> DataFrame:
+    """(subinterest, general_interest, token): single keywords and bigrams of the interests that have both. A NULL level
+    has no pair."""
+    pair = ["subinterest", "general_interest"]
+    one, two = (keyword_tokens(definitions, pair, [f], f.endswith("bigrams"), variant) for f in ("keywords", "keywords_bigrams"))
+    return one.join(two.select(pair).distinct(), pair, "left_semi").unionByName(two.join(one.select(pair).distinct(), pair, "left_semi")).distinct()
 
 
 def tokens_of_interest(views: DataFrame, vocabulary: DataFrame, tokens: str = "tokens") -> DataFrame:

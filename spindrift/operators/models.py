@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegressionModel
@@ -58,24 +59,33 @@ def probability(df: DataFrame, model: Transformer, name: str) -> DataFrame:
     return out.select(*before, (1 / (1 + F.exp(-margin))).alias(name))
 
 
-def load(paths: dict[str, str]) -> dict[str, PipelineModel]:
-    return {name: PipelineModel.load(path) for name, path in paths.items()}
+def load(paths: dict[str, str], optional: bool = False) -> dict[str, PipelineModel | None]:
+    """Fitted models by name. With ``optional`` a model that can't be loaded is None, with a warning."""
+    found: dict[str, PipelineModel | None] = {}
+    for name, path in paths.items():
+        try:
+            found[name] = PipelineModel.load(path)
+        except Exception as e:  # noqa: BLE001
+            if not optional:
+                raise
+            warnings.warn(f"model {name}: {e}", stacklevel=2)
+            found[name] = None
+    return found
 
 
-def score_all(df: DataFrame, models: dict[str, Transformer | None], key: str = "user_id", complement: dict[str, str] | None = None) -> DataFrame:
-    """key, <model>_probability and <model>_percentile. A missing model gives -1 and -1. ``complement``: name of an
-    opposite class -> model, as one minus the probability. Probabilities are ranked together."""
+def score_all(df: DataFrame, models: dict[str, Transformer | None], key: str = "user_id", complement: dict[str, str] | None = None, missing: float | None = -1.0) -> DataFrame:
+    """key (one row each), <model>_probability and <model>_percentile. A missing model gives ``missing`` (None: NULL) for both.
+    ``complement``: name of an opposite class -> model, one minus both. Probabilities are ranked together."""
     out, trained = df, [m for m, t in models.items() if t is not None]
     for name in trained:
         out = probability(out, models[name], f"{name}_probability")
-    for other, name in (complement or {}).items():
-        out = out.withColumn(f"{other}_probability", 1 - F.col(f"{name}_probability"))
-    ranked = trained + list(complement or {})
-    cols = [f"{m}_probability" for m in ranked]
+    cols = [f"{m}_probability" for m in trained]
     # models run once, not in each reading of the ranks
-    out = rank.percent_ranks(fixed(out.select(key, *cols)), cols) if cols else out.select(key)
-    out = out.withColumnsRenamed({f"{m}_probability_rank": f"{m}_percentile" for m in ranked})
-    return out.withColumns({f"{m}_{x}": F.lit(-1.0) for m, t in models.items() if t is None for x in ("probability", "percentile")}) if len(trained) < len(models) else out
+    out = rank.percent_ranks(fixed(out.select(key, *cols)), cols, key=key) if cols else out.select(key)
+    out = out.withColumnsRenamed({f"{m}_probability_rank": f"{m}_percentile" for m in trained})
+    absent = F.lit(missing).cast("double")
+    out = out.withColumns({f"{m}_{x}": absent for m in models if m not in trained for x in ("probability", "percentile")}) if len(trained) < len(models) else out
+    return out.withColumns({f"{other}_{x}": 1 - F.col(f"{m}_{x}") for other, m in complement.items() for x in ("probability", "percentile")}) if complement else out
 
 
 def importances(spark: SparkSession, model, columns: list[str]) -> DataFrame:

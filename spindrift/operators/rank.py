@@ -21,9 +21,10 @@ def running_counts(counts: DataFrame, order: list, weight: str) -> DataFrame:
     return placed.withColumn("_run", F.sum(weight).over(here) - F.col(weight)).join(F.broadcast(shift), "_part").withColumn("before", F.col("_run") + F.col("_shift")).drop("_part", "_run", "_shift")
 
 
-def percent_ranks(df: DataFrame, scores: list[str], by: str | None = None) -> DataFrame:
+def percent_ranks(df: DataFrame, scores: list[str], by: str | None = None, key: str | None = None) -> DataFrame:
     """``percent_rank`` of each score over all rows (or over each value of ``by``, say a run's timestamp), as columns
-    ``<score>_rank``: ties share, NULLs come first, one row alone has 0. All scores take one pass."""
+    ``<score>_rank``: ties share, NULLs come first, one row alone has 0. All scores take one pass. With a ``key`` that is
+    unique and never NULL they also meet their ranks in one join, in long form; without it there is a join a score."""
     group = F.col(by) if by else F.lit(0)
     metric = [F.struct(F.lit(i).alias("metric"), F.col(s).cast("double").alias("score")) for i, s in enumerate(scores)]
     long = df.select(group.alias("_g"), F.explode(F.array(*metric)).alias("m")).select("_g", "m.metric", "m.score")
@@ -36,6 +37,11 @@ def percent_ranks(df: DataFrame, scores: list[str], by: str | None = None) -> Da
     ranks = run.join(F.broadcast(sizes) if by is None else sizes, (F.col("metric") == F.col("m2")) & F.col("_g").eqNullSafe(F.col("g2"))).select(
         "metric", "_g", "score", F.when(F.col("n") > 1, (F.col("before") - F.col("start")) / (F.col("n") - 1)).otherwise(0.0).alias("rank")
     )
+    if key is not None and by is None:
+        keyed = df.select(F.col(key).alias("_k"), F.explode(F.array(*metric)).alias("m")).select("_k", F.col("m.metric").alias("_i"), F.col("m.score").alias("_s"))
+        met = keyed.join(ranks, (F.col("_i") == F.col("metric")) & F.col("_s").eqNullSafe(F.col("score")))
+        placed = met.groupBy("_k").agg(*[F.max(F.when(F.col("_i") == i, F.col("rank"))).alias(f"{s}_rank") for i, s in enumerate(scores)])
+        return df.join(placed, F.col(key) == F.col("_k"), "left").drop("_k")
     out = df
     for i, s in enumerate(scores):
         r = ranks.where(F.col("metric") == i).select(F.col("_g").alias("_g2"), F.col("score").alias("_s2"), F.col("rank").alias(f"{s}_rank"))

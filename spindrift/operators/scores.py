@@ -22,13 +22,15 @@ def named(brackets: list[str], prefix: str = "score_") -> list[str]:
     return [f"{prefix}{b}" for b in brackets]
 
 
-def url_scores(views: DataFrame, coefficients: DataFrame, brackets: list[str], domain: str = "domain") -> DataFrame:
+def url_scores(views: DataFrame, coefficients: DataFrame, brackets: list[str], domain: str = "domain", monitor: bool = False) -> DataFrame:
     """user_id, n_urls, score_<bracket>: mean coefficient of the user's views (0 where a domain has none) times the
-    coefficient of their count."""
+    coefficient of their count. ``monitor`` adds the user's distinct domains, sorted, and latest view (``ts``)."""
     cols = named(brackets)
     rows = views.join(coefficients, domain, "left").fillna(0.0, cols)
-    means = rows.groupBy("user_id").agg(F.count("*").alias("n_urls"), *[F.avg(c).alias(c) for c in cols])
-    return means.select("user_id", "n_urls", *[(scalars.count_coefficient(F.col("n_urls")) * F.col(c)).alias(c) for c in cols])
+    seen = [F.array_sort(F.collect_set(domain)).alias("domains"), F.max("ts").alias("latest")] if monitor else []
+    means = rows.groupBy("user_id").agg(F.count("*").alias("n_urls"), *[F.avg(c).alias(c) for c in cols], *seen)
+    scored = [(scalars.count_coefficient(F.col("n_urls")) * F.col(c)).alias(c) for c in cols]
+    return means.select("user_id", "n_urls", *scored, *(["domains", "latest"] if monitor else []))
 
 
 def interest_scores(affinities: DataFrame, coefficients: DataFrame, brackets: list[str]) -> DataFrame:
@@ -82,7 +84,7 @@ def blended(parts: dict[str, DataFrame], brackets: list[str], weights: dict[str,
     out = out.dropna("any")
     score = {c: scalars.positive_sigmoid(scalars.total([weights[n] * F.col(f"{n}_{c}") for n in parts])) for c in cols}
     out = out.select("user_id", *[v.alias(c) for c, v in score.items()])
-    return rank.percent_ranks(fixed(out), cols) if ranked else out
+    return rank.percent_ranks(fixed(out), cols, key="user_id") if ranked else out
 
 
 def combinations(income: str = "income_", education: str = "education_") -> dict[str, Column]:
@@ -95,7 +97,7 @@ def abcde(df: DataFrame) -> DataFrame:
     pairs = combinations()
     rows = df.select("user_id", *[v.alias(k) for k, v in pairs.items()])
     letters = scalars.brackets({k: F.col(k) for k in pairs})
-    return rank.percent_ranks(fixed(rows.select("user_id", *[v.alias(k) for k, v in letters.items()])), list(letters))
+    return rank.percent_ranks(fixed(rows.select("user_id", *[v.alias(k) for k, v in letters.items()])), list(letters), key="user_id")
 
 
 def missing_parts(stored: DataFrame, family: str, timestamp: Column, parts: dict) -> dict[str, DataFrame]:

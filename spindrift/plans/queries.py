@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spindrift.functions import scalars, text, urls
-from spindrift.operators import assemble, behaviour, incremental, interests, lift, models, rank, scores, stats, targets
+from spindrift.operators import assemble, behaviour, dictionary, incremental, interests, lift, models, rank, scores, stats, targets
 from spindrift.operators import sessions as S
 from spindrift.plans import sql as Q
 from spindrift.sources import fixtures as X
@@ -103,7 +104,25 @@ def retention(spark, sf):
 
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1 HAVING count(*) > 1")
 def duplicate_keys(spark, sf):
-    return X.table(spark, sf, "events").groupBy("event_type").agg(F.count("*").alias("n")).where("n > 1")
+    return incremental.duplicates(X.table(spark, sf, "events"), "event_type")
+
+
+SERIES = {"going_on": "day >= DATE '2024-01-25'", "first": "day >= (SELECT max(day) FROM raw_hits) - 4", "short": "day >= (SELECT max(day) FROM raw_hits) - 2"}
+
+
+@query(f"WITH {Q.HITS} " + " UNION ALL ".join(f"SELECT '{n}' AS series, day, count(*) AS n FROM raw_hits WHERE {w} GROUP BY 2" for n, w in SERIES.items()))
+def landed_series(spark, sf):
+    """Hits of the days that each kind of series reads."""
+    h = X.hits(spark, sf)
+    newest = io.newest_day(h)
+    days = {"going_on": io.landed_days(newest, "long", reached=dt.date(2024, 1, 25)), "first": io.landed_days(newest, "long", days=3), "short": io.landed_days(newest, "short", hours=30)}
+    return io.union_all([h.where(w).groupBy("day").agg(F.count("*").alias("n")).select(F.lit(n).alias("series"), "day", "n") for n, w in days.items()])
+
+
+@query("SELECT COLUMNS('^o_order.*') FROM orders")
+def matching_columns(spark, sf):
+    o = X.table(spark, sf, "orders")
+    return o.select(*assemble.columns_like(o, "o_order"))
 
 
 # URLs and devices
@@ -253,13 +272,24 @@ def fold_diacritics(spark, sf):
     return X.table(spark, sf, "documents").select("doc_id", F.md5(text.fold("text")).alias("digest"))
 
 
-@query()
+@query("SELECT doc_id, md5(coalesce(strip_accents(text), '')) AS digest FROM documents")
+def fold_marks(spark, sf):
+    return X.table(spark, sf, "documents").select("doc_id", F.md5(text.fold_marks("text")).alias("digest"))
+
+
+def stems_sql(steps: list, out: str) -> str:
+    words = f"t AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), {Q.q(Q.UNICODE_GAPS)}), lambda w: length(w) >= 2) AS t FROM documents), w AS (SELECT doc_id, unnest(t) AS w, generate_subscripts(t, 1) AS i FROM t)"
+    found = "f AS (SELECT w.doc_id, count(DISTINCT s) AS n_stems, md5(string_agg(s, ' ' ORDER BY i)) AS digest FROM w JOIN stems ON w.w = stems.word GROUP BY 1)"
+    return f"WITH {words}, {Q.stemmed('w', steps)}, {found} SELECT t.doc_id, CAST(len(t) AS INT) AS n_tokens, CAST(CASE WHEN t IS NOT NULL THEN coalesce(n_stems, 0) END AS INT) AS n_stems{out} FROM t LEFT JOIN f USING (doc_id)"
+
+
+@query(stems_sql(text.LIGHT_STEPS, ", CASE WHEN t IS NOT NULL THEN coalesce(digest, md5('')) END AS digest"))
 def stem_cs(spark, sf):
     t = X.table(spark, sf, "documents").select("doc_id", text.stem_czech(text.tokens("text", unicode=True)).alias("t"))
     return t.select("doc_id", F.size("t").alias("n_tokens"), F.size(F.array_distinct("t")).alias("n_stems"), F.md5(F.array_join("t", " ")).alias("digest"))
 
 
-@query()
+@query(stems_sql(text.ALL_STEPS, ""))
 def stem_cs_aggressive(spark, sf):
     t = X.table(spark, sf, "documents").select("doc_id", text.stem_czech(text.tokens("text", unicode=True), aggressive=True).alias("t"))
     return t.select("doc_id", F.size("t").alias("n_tokens"), F.size(F.array_distinct("t")).alias("n_stems"))
@@ -273,6 +303,54 @@ def url_dictionary(spark, sf):
     return h.groupBy("url_normalized").agg(*[F.min(c).alias(c) for c in ("url_domain_full", "url_domain_1_level", "url_domain_2_level", "url_ad_format", "url_two_level")], F.count("*").alias("n"))
 
 
+#: What a page says of itself: field -> (pattern, group) over its html.
+PAGE_FIELDS = {"title": (r"<title>([^<]*)", 1), "keywords": (r'<html lang="([^"]*)"', 1), "descriptions": (r"<h1>([^<]*)", 1)}
+TOKEN_FIELDS = [*PAGE_FIELDS, "url_normalized"]
+
+
+def url_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """One entry a URL, from the page of the smallest id, with the tokens of its fields."""
+    pages = X.table(spark, sf, "pages").select("page_id", urls.normalise("url").alias("url_normalized"), *[F.regexp_extract("html", p, g).alias(f) for f, (p, g) in PAGE_FIELDS.items()])
+    entries = incremental.first_rows(pages, "url_normalized", ["page_id"], list(PAGE_FIELDS))
+    return dictionary.pooled_tokens(dictionary.field_tokens(entries, TOKEN_FIELDS), TOKEN_FIELDS)
+
+
+def of_field(f: str, kind: str) -> str:
+    return f"c_{f}" if kind == "cleaned" else f"list_transform(c_{f}, lambda x: m[x])"
+
+
+PAIRS_OF = "list_transform(range(1, len({0})), lambda i: {0}[i] || ' ' || {0}[i + 1])"
+ENTRIES = (
+    f"pg AS (SELECT {Q.steps('url', urls.NORMALISED)} AS url_normalized, page_id, " + ", ".join(f"regexp_extract(html, {Q.q(p)}, {g}) AS {f}" for f, (p, g) in PAGE_FIELDS.items()) + " FROM pages),"
+    f" en AS (SELECT url_normalized, {', '.join(f'arg_min({f}, page_id) AS {f}' for f in PAGE_FIELDS)} FROM pg GROUP BY 1),"
+    f" cl AS (SELECT url_normalized, {', '.join('coalesce(' + TOKENS.replace('lower(text)', f'lower({f})') + f', []) AS c_{f}' for f in TOKEN_FIELDS)} FROM en),"
+    f" wd AS (SELECT unnest({' || '.join(f'c_{f}' for f in TOKEN_FIELDS)}) AS w FROM cl), {Q.stemmed('wd', text.LIGHT_STEPS)}, mp AS (SELECT map(list(word), list(s)) AS m FROM stems),"
+    f" st AS (SELECT url_normalized, {', '.join(f'{of_field(f, k)} AS {k}_{f}' for k in dictionary.KINDS for f in TOKEN_FIELDS)} FROM cl, mp),"
+    f" po AS (SELECT url_normalized, {', '.join(' || '.join(f'{k}_{f}' for f in TOKEN_FIELDS) + f' AS {k}_all, ' + ' || '.join(PAIRS_OF.format(f'{k}_{f}') for f in TOKEN_FIELDS) + f' AS {k}_pairs' for k in dictionary.KINDS)} FROM st)"
+)
+
+
+def in_order(tokens: str) -> str:
+    """A digest of the distinct tokens, in the order of text."""
+    return f"md5(array_to_string(list_sort(list_distinct({tokens})), '|'))"
+
+
+@query(f"WITH {ENTRIES} SELECT url_normalized, {', '.join(f'CAST(len({k}_all) AS INT) AS n_{k}, {in_order(f"{k}_all")} AS {k}_digest, {in_order(f"{k}_pairs")} AS {k}_bigrams_digest' for k in dictionary.KINDS)} FROM po")
+def url_tokens(spark, sf):
+    """Tokens of the URL dictionary, plain and stemmed, pooled over title, keywords, heading and URL."""
+    digest = lambda c: F.md5(F.array_join(F.array_sort(c), "|"))
+    kinds = [x for k in dictionary.KINDS for x in (F.size(f"tokens_all_{k}").alias(f"n_{k}"), digest(f"tokens_all_{k}_unique").alias(f"{k}_digest"), digest(f"tokens_all_{k}_unique_bigrams").alias(f"{k}_bigrams_digest"))]
+    return url_entries(spark, sf).select("url_normalized", *kinds)
+
+
+@query(f"WITH {Q.VIEWS}, {ENTRIES} SELECT event_id, user_id, CAST(len(list_distinct(stemmed_all)) + len(list_distinct(stemmed_pairs)) AS INT) AS n_tokens, {in_order('list_distinct(stemmed_all) || list_distinct(stemmed_pairs)')} AS digest FROM views LEFT JOIN po USING (url_normalized)")
+def view_tokens(spark, sf):
+    """Page views joined with the stemmed tokens and bigrams of their URL."""
+    tokens = dictionary.chosen(url_entries(spark, sf), "stemmed_unique", bigrams=True)
+    v = dictionary.with_tokens(X.views(spark, sf), tokens)
+    return v.select("event_id", "user_id", F.size("tokens").alias("n_tokens"), F.md5(F.array_join(F.array_sort(F.array_distinct("tokens")), "|")).alias("digest"))
+
+
 @query("SELECT role, CAST(len(list_distinct(flatten(list(string_split(text, ' '))))) AS BIGINT) AS n_words FROM conversations GROUP BY 1")
 def distinct_words(spark, sf):
     rows = X.table(spark, sf, "conversations").select("role", F.explode(text.flatten_spaces("text")).alias("w"))
@@ -301,6 +379,20 @@ def interest_bigrams(spark, sf):
     return tokens.groupBy("interest").agg(F.count("*").alias("n"), F.md5(F.array_join(F.array_sort(F.collect_list("token")), "|")).alias("digest"))
 
 
+@query(
+    f"WITH d AS (SELECT role AS subinterest, CAST(turn % 4 AS VARCHAR) AS general_interest, {FOLDED} AS x, turn % 4 < 2 AS paired FROM conversations),"
+    f" one AS (SELECT DISTINCT subinterest, general_interest, unnest(x) AS token FROM d), two AS (SELECT DISTINCT subinterest, general_interest, unnest({BIGRAMS.replace('t[', 'x[').replace('len(t)', 'len(x)')}) AS token FROM d WHERE paired),"
+    " a AS (SELECT * FROM one UNION SELECT * FROM two) SELECT subinterest, general_interest, count(*) AS n, md5(string_agg(token, '|' ORDER BY encode(token))) AS digest FROM a SEMI JOIN two USING (subinterest, general_interest) GROUP BY 1, 2"
+)
+def interest_pairs(spark, sf):
+    """Keywords and bigrams of (speaker, turn modulo four) as interests; the later two turns have no bigrams."""
+    rows = X.table(spark, sf, "conversations").select(
+        F.col("role").alias("subinterest"), (F.col("turn") % 4).cast("string").alias("general_interest"), F.array("text").alias("keywords"), F.when(F.col("turn") % 4 < 2, F.array("text")).alias("keywords_bigrams")
+    )
+    d = interests.paired_dictionary(rows)
+    return d.groupBy("subinterest", "general_interest").agg(F.count("*").alias("n"), F.md5(F.array_join(F.array_sort(F.collect_list("token")), "|")).alias("digest"))
+
+
 def vocabulary(spark: SparkSession, general: bool = False) -> DataFrame:
     return interests.interest_tokens(X.definitions(spark), general)
 
@@ -372,9 +464,11 @@ def replaced_levels(spark, sf):
     return X.table(spark, sf, "documents").select("lang", stats.replace_levels("lang", ["fr", "es"], "romance").alias("family")).groupBy("lang", "family").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("WITH o AS (SELECT n_chars, row_number() OVER (ORDER BY n_chars) AS r, count(*) OVER () AS n, avg(n_chars) OVER () AS m FROM documents WHERE n_chars IS NOT NULL) SELECT round(m, 6) AS mean, CAST(i - 1 AS INT) AS place, n_chars AS percentile FROM o, range(1, 10) AS g(i) WHERE r = (i * n + 9) // 10")
 def column_percentiles(spark, sf):
-    return stats.column_stats(X.table(spark, sf, "documents"), "n_chars", 10)
+    """Exact while the values are fewer than the sketch's accuracy."""
+    found = stats.column_stats(X.table(spark, sf, "documents"), "n_chars", 10)
+    return found.select(F.round("mean", 6).alias("mean"), F.posexplode("percentiles").alias("place", "percentile"))
 
 
 # scores
@@ -417,6 +511,13 @@ def url_score(spark, sf):
     return raw_scores(spark, sf)["url"].select("user_id", *r6(*SCORE_COLUMNS))
 
 
+@query(f"WITH {Q.VIEWS} SELECT user_id, count(*) AS n_urls, array_to_string(list_sort(list(DISTINCT domain)), ',') AS domains, CAST(floor(epoch(max(ts))) AS BIGINT) AS latest FROM views GROUP BY 1")
+def url_score_monitor(spark, sf):
+    v, brackets = X.views(spark, sf), scores.INCOME
+    out = scores.url_scores(v, X.coefficients(spark, X.URL_COEFFICIENTS, "domain", brackets), brackets, monitor=True)
+    return out.select("user_id", "n_urls", F.array_join("domains", ",").alias("domains"), epoch("latest").alias("latest"))
+
+
 @query(f"WITH {Q.AFFINITY} " + Q.scores(RAW["income"]["interest"], scores.INCOME))
 def interest_score(spark, sf):
     return raw_scores(spark, sf)["interest"].select("user_id", *r6(*SCORE_COLUMNS))
@@ -565,12 +666,12 @@ def sociodemo_inputs(spark, sf):
     return model_inputs(spark, sf).select("user_id", "n_device_categories", "example_flag", "browser_most_common", "engine_most_common")
 
 
-def fitted(spark: SparkSession, sf: str, label: str):
+def fitted(spark: SparkSession, sf: str, label: str, steps: int = 20):
     """A logistic model of all components of the embeddings, fitted to four fifths of the rows."""
     from pyspark.ml.classification import LogisticRegression
 
     rows = embedded(spark, sf).withColumn("label", F.expr(label).cast("double"))
-    return LogisticRegression(maxIter=20, regParam=0.01).fit(rows.where("user_id % 5 <> 0"))
+    return LogisticRegression(maxIter=steps, regParam=0.01).fit(rows.where("user_id % 5 <> 0"))
 
 
 def embedded(spark: SparkSession, sf: str) -> DataFrame:
@@ -584,9 +685,15 @@ def lookalike_score(spark, sf):
     return models.score_all(embedded(spark, sf), {"first": fitted(spark, sf, "`group` = 0"), "second": fitted(spark, sf, "`group` = 1"), "untrained": None})
 
 
+AGE_MODELS = [f"age_{i}" for i in range(len(scalars.AGE_BANDS))]
+
+
 @query()
 def sociodemo_score(spark, sf):
-    return models.score_all(embedded(spark, sf), {"male": fitted(spark, sf, "`group` < 5")}, complement={"female": "male"})
+    """A model for each age band (the last one fails to load) and one of gender, with its complement."""
+    bands = {m: fitted(spark, sf, f"`group` = {i}", steps=5) for i, m in enumerate(AGE_MODELS[:-1])}
+    failed = models.load({AGE_MODELS[-1]: f"{sf}/no_such_model"}, optional=True)
+    return models.score_all(embedded(spark, sf), bands | failed | {"male": fitted(spark, sf, "`group` < 5")}, complement={"female": "male"}, missing=None)
 
 
 @query()
@@ -727,9 +834,10 @@ def list_matches(spark, sf):
     return targets.list_matches(X.views(spark, sf), X.literal(spark, LISTS, ["band", "tier", "domain"]))
 
 
-@query("WITH parts AS (SELECT o_orderkey % 3 AS part, o_orderdate AS day, count(*) AS n FROM orders GROUP BY 1, 2) SELECT part, max(n) AS most FROM parts WHERE part <> 0 GROUP BY 1")
+@query(f"WITH {Q.USERS_PLACED}{Q.VIEWS[len(Q.ORDERED) :]} SELECT 'url' AS part, * FROM ({Q.scores(RAW['income']['url'], scores.INCOME)}) UNION ALL SELECT 'other', * FROM ({Q.scores(RAW['income']['other'], scores.INCOME)})")
 def partial_scores(spark, sf):
-    o = X.table(spark, sf, "orders").groupBy((F.col("o_orderkey") % 3).alias("part"), F.col("o_orderdate").alias("day")).agg(F.count("*").alias("n"))
-    stored = o.select(F.lit("income").alias("family"), F.lit(0).alias("part"), F.lit(1).alias("timestamp")).limit(1)
-    built = scores.missing_parts(stored, "income", F.lit(1), {k: (lambda k=k: o.where(F.col("part") == k)) for k in (0, 1, 2)})
-    return io.union_all(list(built.values())).groupBy("part").agg(F.max("n").alias("most"))
+    """The parts of a run's income scores that are not stored yet: interests are, so URLs and flags are built."""
+    raw, run = raw_scores(spark, sf), F.lit(X.AS_OF).cast("date")
+    stored = raw["interest"].select(F.lit("income").alias("family"), F.lit("interest").alias("part"), run.alias("timestamp"))
+    built = scores.missing_parts(stored, "income", run, {n: (lambda n=n: raw[n]) for n in raw})
+    return io.union_all([df.select(F.lit(n).alias("part"), "user_id", *r6(*SCORE_COLUMNS)) for n, df in built.items()])

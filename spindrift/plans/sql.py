@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from spindrift.functions import device, urls
+from spindrift.functions import device, text, urls
 from spindrift.sources import fixtures as X
 
 
@@ -159,3 +159,24 @@ def squashed(rows: str, brackets: list[str]) -> str:
     z = lambda b: f"(CASE WHEN stddev_samp(score_{b}) OVER () = 0 OR stddev_samp(score_{b}) OVER () IS NULL THEN 0 ELSE (score_{b} - avg(score_{b}) OVER ()) / stddev_samp(score_{b}) OVER () END)"
     known = " AND ".join(f"score_{b} IS NOT NULL" for b in brackets)
     return f"(SELECT user_id, {', '.join(f'z_{b} / sqrt(1 + z_{b} * z_{b}) AS score_{b}' for b in brackets)} FROM (SELECT user_id, {', '.join(f'{z(b)} AS z_{b}' for b in brackets)} FROM {rows} WHERE {known}))"
+
+
+#: Runs of what Unicode counts as no word character, and underscores.
+UNICODE_GAPS = r"(?:[^\p{L}\p{M}\p{N}\p{Pc}]|_)+"
+
+
+def less(w: str, n: int) -> str:
+    return f"left({w}, length({w}) - {n})"
+
+
+def softened(w: str) -> str:
+    return "CASE " + " ".join(f"WHEN right({w}, {n}) IN ({names(ends)}) THEN {less(w, n)} || {q(by)}" for n, ends, by in text.PALATAL) + f" ELSE {less(w, 1)} END"
+
+
+def stemmed(words: str, steps: list[list[tuple]]) -> str:
+    """Tables s0, s1, ... (word, s) of the distinct lower-cased words of a table with column ``w``, one a step; the last is ``stems``."""
+    out = [f"s0 AS (SELECT DISTINCT w AS word, w AS s FROM {words})"]
+    for i, rules_ in enumerate(steps):
+        cases = " ".join(f"WHEN length(s) > {longer} AND right(s, {n}) IN ({names(ends)}) THEN {f'({softened(less("s", drop))})' if soft else less('s', drop)}" for longer, n, ends, drop, soft in rules_)
+        out.append(f"s{i + 1} AS (SELECT word, CASE {cases} ELSE s END AS s FROM s{i})")
+    return ", ".join(out) + f", stems AS (SELECT word, CASE WHEN lower(word) = upper(word) THEN word ELSE s END AS s FROM s{len(steps)})"

@@ -83,6 +83,17 @@ def test_aggressive_stems(spark, word):
     assert one(spark, word, text.stem_czech(F.array("x"), aggressive=True))[0] == by_rules(word, text.ALL_STEPS)
 
 
+@pytest.mark.parametrize("word,stem", [("nejkrásnějšího", "nejkrás"), ("knížečka", "kní"), ("městskou", "městs"), ("otcovství", "otc")])
+def test_aggressive_stems_worked_by_hand(spark, word, stem):
+    assert one(spark, word, text.stem_czech(F.array("x"), aggressive=True))[0] == stem
+
+
+@pytest.mark.parametrize("given,plain", [("Žluťoučký kůň", "Zlutoucky kun"), ("Ελλάδα é", "Ελλαδα e"), ("", ""), (None, "")])
+def test_marks_are_folded(spark, given, plain):
+    df = spark.createDataFrame([(given,)], "x string")
+    assert df.select(text.fold_marks("x")).first()[0] == plain
+
+
 def by_rules(word: str, steps=text.LIGHT_STEPS) -> str:
     """The endings' tables applied in plain Python."""
     import re

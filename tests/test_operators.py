@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spindrift.operators import assemble, behaviour, incremental, lift, rank, scores, stats, targets
+from spindrift.operators import assemble, behaviour, dictionary, incremental, interests, lift, models, rank, scores, stats, targets
 from spindrift.operators import sessions as S
 from spindrift.plans import queries as plans
 from spindrift.sources import io
@@ -55,6 +55,8 @@ def test_ranks_equal_windows(spark, parts):
     df = spark.createDataFrame(data, "id long, s double, r double, g string").repartition(parts)
     got = rank.percent_ranks(df, ["s", "r"]).withColumns({"ws": F.percent_rank().over(Window.orderBy("s")), "wr": F.percent_rank().over(Window.orderBy("r"))})
     assert got.where("abs(s_rank - ws) > 1e-12 or abs(r_rank - wr) > 1e-12").count() == 0 and got.count() == 500
+    keyed = rank.percent_ranks(df.drop("g"), ["s", "r"], key="id").join(got.select("id", "ws", "wr"), "id")
+    assert keyed.where("abs(s_rank - ws) > 1e-12 or abs(r_rank - wr) > 1e-12 or s_rank is null or r_rank is null").count() == 0 and keyed.count() == 500
     by = rank.percent_ranks(df, ["s"], by="g").withColumn("w", F.percent_rank().over(Window.partitionBy("g").orderBy("s")))
     assert by.where("abs(s_rank - w) > 1e-12").count() == 0 and by.count() == 500
     for k in (1, 3, 7, 600):
@@ -177,7 +179,6 @@ def test_logistic_probability_as_an_expression(spark):
     from pyspark.ml.functions import array_to_vector
     from pyspark.sql import Observation
 
-    from spindrift.operators import models
 
     rows = spark.range(200).select("id", F.array((F.col("id") % 7).cast("double"), (F.col("id") % 11).cast("double")).alias("x"), (F.col("id") % 7 + F.col("id") % 3 > 4).cast("double").alias("label"))
     rows = rows.withColumn("features", array_to_vector("x"))
@@ -196,3 +197,43 @@ def test_language_words(spark):
     assert {"und", "nicht"} <= set(text.language_words("german")) and "the" in text.language_words("english")
     got = spark.createDataFrame([("Der Hund und die Katze",)], "t string").select(text.clean_tokens("t", text.language_words("german"))).first()[0]
     assert got == ["hund", "katze"]
+
+
+def test_landed_days(spark):
+    day = lambda n: dt.date(2024, 1, n)
+    df = spark.createDataFrame([(day(n),) for n in range(1, 11)], "day date")
+    read = lambda *a, **k: sorted(r.day.day for r in df.where(io.landed_days(io.newest_day(df), *a, **k)).collect())
+    assert read("long", days=2) == [7, 8, 9, 10]
+    assert read("long", reached=day(9), days=2) == [9, 10]
+    assert read("short", hours=24) == [9, 10] and read("short", hours=25) == [8, 9, 10]
+    with pytest.raises(ValueError):
+        io.landed_days(day(1), "medium")
+
+
+def test_dictionary_tokens(spark):
+    df = spark.createDataFrame([("u1", "Red foxes jump", None), ("u2", None, "blue"), ("u3", "", "red red")], "url_normalized string, a string, b string")
+    d = dictionary.pooled_tokens(dictionary.field_tokens(df, ["b", "a"]), ["b", "a"])
+    got = {r.url_normalized: r for r in d.collect()}
+    assert got["u1"].tokens_all_cleaned == ["red", "foxes", "jump"] and got["u1"].tokens_all_cleaned_bigrams == ["red foxes", "foxes jump"]
+    assert got["u2"].tokens_all_cleaned == ["blue"] and got["u2"].tokens_all_cleaned_bigrams == []
+    assert got["u3"].tokens_all_cleaned == ["red", "red"] and got["u3"].tokens_all_cleaned_unique == ["red"]
+    with pytest.warns(UserWarning):
+        assert dictionary.chosen(d, "other").where("url_normalized = 'u1'").first().tokens == ["red", "foxes", "jump"]
+    views = spark.createDataFrame([(1, "u2"), (2, "u9"), (3, None)], "v int, url_normalized string")
+    met = {r.v: r.tokens for r in dictionary.with_tokens(views, dictionary.chosen(d, bigrams=True)).collect()}
+    assert met == {1: ["blue"], 2: None, 3: None}
+
+
+def test_paired_dictionary(spark):
+    rows = [("s1", "g", ["Sea side"], ["sea side"]), ("s2", "g", ["hill"], None), ("s3", None, ["x1"], ["x1 x2"])]
+    d = interests.paired_dictionary(spark.createDataFrame(rows, "subinterest string, general_interest string, keywords array<string>, keywords_bigrams array<string>"))
+    assert sorted(map(tuple, d.collect())) == [("s1", "g", "sea"), ("s1", "g", "sea side"), ("s1", "g", "side")]
+
+
+def test_columns_and_models_that_fail(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2.0)], "user_id long, x_y double")
+    assert assemble.columns_like(df, "x_") == ["x_y"] and assemble.columns_like(df, "y") == []
+    with pytest.warns(UserWarning):
+        failed = models.load({"m": f"{tmp_path}/none"}, optional=True)
+    row = models.score_all(df, failed, complement={"w": "m"}, missing=None).first().asDict()
+    assert row == {"user_id": 1, "m_probability": None, "m_percentile": None, "w_probability": None, "w_percentile": None}
