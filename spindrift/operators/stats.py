@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,31 +18,24 @@ def box_cox(x: Column, lam: Column | float) -> Column:
 def box_cox_lambdas(df: DataFrame, columns: list[str], low: float = -5.0, high: float = 5.0, points: int = 21, rounds: int = 6) -> dict[str, tuple[float, float]]:
     """(shift, lambda) of each column. Each round is one aggregate that evaluates the profile likelihood
     (lam - 1) * sum ln x - n/2 * ln var(box_cox(x)) on a grid for all columns; the next grid lies around the best.
-    Only the grid's values come back. NULLs are left out; a constant column keeps lambda 1."""
+    The grid is data, not code, so that all rounds share one compiled plan. Only the grid's values come back. NULLs are
+    left out; a constant column keeps lambda 1."""
     ends = df.agg(*[F.min(c).alias(f"lo_{c}") for c in columns], *[F.max(c).alias(f"hi_{c}") for c in columns]).first()
     shifts = {c: abs(ends[f"lo_{c}"]) + SHIFT for c in columns if ends[f"lo_{c}"] is not None}
     free = [c for c in shifts if ends[f"hi_{c}"] > ends[f"lo_{c}"]]
     span = {c: (low, high) for c in free}
     best = {c: 1.0 for c in shifts}
+    shifted = [F.struct(F.lit(i).alias("i"), (F.col(c).cast("double") + F.lit(float(shifts[c]))).alias("x")) for i, c in enumerate(free)]
     for _ in range(rounds if free else 0):
-        grids = {c: [a + (b - a) * i / (points - 1) for i in range(points)] for c, (a, b) in span.items()}
-        terms = []
-        for c in free:
-            x = F.col(c) + F.lit(shifts[c])
-            terms.append(F.sum(F.ln(x)).alias(f"s_{c}"))
-            terms.append(F.count(x).alias(f"n_{c}"))
-            terms += [F.var_pop(box_cox(x, lam)).alias(f"v_{c}_{i}") for i, lam in enumerate(grids[c])]
-        row = df.agg(*terms).first()
-        for c in free:
-            from math import log
-
-            def fit(i: int, c: str = c, row=row, grids=grids) -> float:
-                v = row[f"v_{c}_{i}"]
-                return (grids[c][i] - 1) * row[f"s_{c}"] - row[f"n_{c}"] / 2 * log(v) if v and v > 0 else float("-inf")
-
-            i = max(range(points), key=fit)
-            best[c] = grids[c][i]
-            step = grids[c][1] - grids[c][0]
+        grids = [[a + (b - a) * k / (points - 1) for k in range(points)] for a, b in (span[c] for c in free)]
+        grid = df.sparkSession.createDataFrame([(i, k, lam) for i, g in enumerate(grids) for k, lam in enumerate(g)], "i int, k int, lam double")
+        xs = df.select(F.explode(F.array(*shifted)).alias("v")).where("v.x IS NOT NULL").select("v.i", "v.x")
+        # the grid has points x columns rows, and each value meets those of its column
+        found = xs.join(F.broadcast(grid), "i").groupBy("i", "k").agg(F.sum(F.ln("x")).alias("s"), F.count("*").alias("n"), F.var_pop(box_cox(F.col("x"), F.col("lam"))).alias("v"))
+        fits = {(r.i, r.k): (grids[r.i][r.k] - 1) * r.s - r.n / 2 * log(r.v) if r.v and r.v > 0 else float("-inf") for r in found.collect()}
+        for i, c in enumerate(free):
+            k = max(range(points), key=lambda k, i=i: fits.get((i, k), float("-inf")))
+            best[c], step = grids[i][k], grids[i][1] - grids[i][0]
             span[c] = (best[c] - step, best[c] + step)
     return {c: (shifts[c], best[c]) for c in shifts}
 

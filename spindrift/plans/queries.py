@@ -484,13 +484,19 @@ def features(s: DataFrame) -> DataFrame:
 FAMILIES = {"income": (scores.INCOME, X.URL_COEFFICIENTS, X.INTEREST_COEFFICIENTS, X.FLAG_COEFFICIENTS), "education": (scores.EDUCATION, X.URL_EDUCATION, X.INTEREST_EDUCATION, X.FLAG_EDUCATION)}
 
 
-def raw_scores(spark: SparkSession, sf: str, family: str = "income") -> dict[str, DataFrame]:
-    brackets, of_url, of_interest, of_flag = FAMILIES[family]
+def score_inputs(spark: SparkSession, sf: str, keep: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Page views, affinities and flags of users. ``keep`` writes the latter two down, for several families of scores."""
     s, voc = fixed(X.sessions(spark, sf)), vocabulary(spark)
     v = X.views_of(s)
     aff = interests.affinities(interests.tokens_of_interest(v, voc), voc)
     places = scores.location_flags(X.members(spark, sf), X.literal(spark, X.PLACES, ["segment_id", "name"])).select("user_id", "countryside_flag", "regional_town_flag")
     flags = scores.web_flags(features(s)).join(places, "user_id", "left")
+    return v, *(fixed(df) if keep else df for df in (aff, flags))
+
+
+def raw_scores(spark: SparkSession, sf: str, family: str = "income", inputs: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> dict[str, DataFrame]:
+    brackets, of_url, of_interest, of_flag = FAMILIES[family]
+    v, aff, flags = inputs or score_inputs(spark, sf)
     return {
         "interest": scores.interest_scores(aff, X.coefficients(spark, of_interest, "interest", brackets), brackets),
         "url": scores.url_scores(v, X.coefficients(spark, of_url, "domain", brackets), brackets),
@@ -538,9 +544,9 @@ def web_flags(spark, sf):
     return scores.web_flags(features(X.sessions(spark, sf)))
 
 
-def family_scores(spark: SparkSession, sf: str, family: str, normalise: bool) -> DataFrame:
+def family_scores(spark: SparkSession, sf: str, family: str, normalise: bool, inputs: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
     """Scores of users with all three parts; ranked where they are normalised."""
-    raw, brackets = raw_scores(spark, sf, family), FAMILIES[family][0]
+    raw, brackets = raw_scores(spark, sf, family, inputs), FAMILIES[family][0]
     parts = {n: scores.transformed(raw[n], brackets, normalise=normalise and n != "other") for n in raw}
     return scores.blended(parts, brackets, ranked=normalise)
 
@@ -578,7 +584,8 @@ LETTERS = ", ".join(f"greatest({', '.join(PAIRS[k] for k in ks)}) AS {letter}" f
 @query(f"WITH {VIEWS_AND_USERS}{blend('income')}{blend('education')}, x AS (SELECT user_id, {LETTERS} FROM income i JOIN education e USING (user_id)) SELECT user_id, " + ", ".join(f"round({c}, 6) AS {c}, round(percent_rank() OVER (ORDER BY round({c}, 12)), 4) AS {c}_rank" for c in scalars.BRACKETS) + " FROM x")
 def abcde(spark, sf):
     """Letters of users with both income and education scores."""
-    both = [family_scores(spark, sf, f, normalise=False).select("user_id", *[F.round(f"score_{b}", 12).alias(f"{f}_{b}") for b in FAMILIES[f][0]]) for f in FAMILIES]
+    inputs = score_inputs(spark, sf, keep=True)
+    both = [family_scores(spark, sf, f, normalise=False, inputs=inputs).select("user_id", *[F.round(f"score_{b}", 12).alias(f"{f}_{b}") for b in FAMILIES[f][0]]) for f in FAMILIES]
     out = scores.abcde(both[0].join(both[1], "user_id"))
     return out.select("user_id", *[x for c in scalars.BRACKETS for x in (F.round(c, 6).alias(c), F.round(f"{c}_rank", 4).alias(f"{c}_rank"))])
 
