@@ -43,6 +43,8 @@ from spindrift.llm.shared import cut
 from spindrift.llm.words import chunks, mix, utf8, word_hashes
 
 DISCOUNT, TOP, SHARD_WORDS, BLOCK_WORDS = 0.8, 1_000_000, 2_500_000, 1_200_000
+#: Documents of a block at most, as their places are 16 bits wide; more go to the next block.
+BLOCK_DOCS = 60_000
 END, START = np.uint64(0x1234567887654321), np.uint64(0x0FEDCBA99ABCDEF0)
 U64 = np.uint64
 
@@ -136,7 +138,10 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, np.nd
     for batch in batches:
         data, offsets = utf8(batch.column(1))
         keys = batch.column(0).to_pylist()
-        for i, j in chunks(offsets):
+        for i, j in ((a, min(a + BLOCK_DOCS, b)) for first, b in chunks(offsets) for a in range(first, b, BLOCK_DOCS)):
+            if held and len(ids) + j - i > BLOCK_DOCS:
+                yield out()
+                ids, size, number = [], 0, number + 1
             words, rows = word_hashes(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             n = j - i
             ends = np.searchsorted(rows, np.arange(1, n + 1), side="left")
@@ -146,7 +151,7 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list, np.nd
             held.append((v, w, d + np.int32(len(ids))))
             ids += keys[i:j]
             size += len(v)
-            if size >= BLOCK_WORDS or len(ids) >= 60_000:
+            if size >= BLOCK_WORDS:
                 yield out()
                 ids, size, number = [], 0, number + 1
     if held:

@@ -391,6 +391,16 @@ def test_scores_are_those_of_all_counts(spark, docs, monkeypatch):
         assert all(f[i] == pytest.approx(found[0][i], abs=1e-9) for f in found)
 
 
+@pytest.mark.parametrize("sizes", [[70_000], [59_000, 9_000], [130_000, 3]])
+def test_blocks_number_their_documents_in_16_bits(sizes):
+    made = [pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array(["", None, "one two"] * (n // 3) + [""] * (n % 3))], names=["doc_id", "text"]) for n in sizes]
+    got = list(language_model.blocks(iter(made)))
+    assert sum((list(ids) for _, ids, _, _, _ in got), []) == [i for n in sizes for i in range(n)]
+    assert len({b for b, *_ in got}) == len(got)
+    for _, ids, v, w, d in got:
+        assert len(v) == len(w) == len(d) and d.max() == len(ids) - 1 < 2**16 and (np.unique(d) == np.arange(len(ids))).all()
+
+
 def test_probabilities_sum_to_one_at_most():
     """Of every first word, over all words of a small vocabulary and the unknown ones."""
     texts = [" ".join(RNG.choice(VOCABULARY[:12]) for _ in range(30)) for _ in range(20)]
