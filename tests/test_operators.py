@@ -179,7 +179,6 @@ def test_logistic_probability_as_an_expression(spark):
     from pyspark.ml.functions import array_to_vector
     from pyspark.sql import Observation
 
-
     rows = spark.range(200).select("id", F.array((F.col("id") % 7).cast("double"), (F.col("id") % 11).cast("double")).alias("x"), (F.col("id") % 7 + F.col("id") % 3 > 4).cast("double").alias("label"))
     rows = rows.withColumn("features", array_to_vector("x"))
     model = LogisticRegression(maxIter=10).fit(rows)
