@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spindrift.llm import licences, neighbours, sharding
+from spindrift.llm import licences, negatives, neighbours, sharding
 from spindrift.sources.session import ship_package
 
 
@@ -69,6 +69,22 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(read(spark, sf_dir, "documents"))
 
 
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(negatives.contract_rows(read(spark, sf_dir, "embeddings")))
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spindrift.llm.periodic import run_digests
+
+    return run_digests(read(spark, sf_dir, "documents"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from spindrift.llm.toxicity import score
+
+    return score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
@@ -80,10 +96,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neardup": op8_neardup,
     "op9_neighbours": op9_neighbours,
     "op10_pii": op10_pii,
+    "op11_negatives": op11_negatives,
+    "op12_runs": op12_runs,
+    "op13_toxicity": op13_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_licences": licences.oracle(),
     "op4_sharding": sharding.oracle(),
     "op9_neighbours": neighbours.ORACLE,
+    "op11_negatives": negatives.ORACLE,
 }
