@@ -15,7 +15,8 @@ from spindrift.operators import sessions as S
 from spindrift.plans import sql as Q
 from spindrift.sources import fixtures as X
 from spindrift.sources import io
-from spindrift.sources.session import fixed, ship_package
+from spindrift.sources.session import fixed, shared_folder, ship_package
+from spindrift.sources.versions import VersionedTable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -97,6 +98,32 @@ def upsert(spark, sf):
     return incremental.upsert(c, updates, "c_custkey", check=False)
 
 
+@query(
+    "WITH c AS (SELECT c_custkey, c_nationkey, CASE WHEN c_custkey % 5 = 0 THEN 'updated' ELSE c_mktsegment END AS segment FROM customer) SELECT c_custkey, CASE WHEN c_custkey % 35 = 0 THEN (c_nationkey + 1) % 25 ELSE c_nationkey END AS nation, segment FROM c WHERE c_nationkey < 15 OR c_custkey % 5 = 0"
+    " UNION ALL SELECT c_custkey + 1000000000, 99, 'new' FROM customer WHERE c_custkey % 7 = 0"
+)
+def versioned_upsert(spark, sf):
+    """A table in partitions by nation, rewritten twice: rows of nations from 15 on come by updates only, some customers
+    move to the next nation, and others are new. Readers see whole versions."""
+    c = X.table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").cast("int").alias("nation"), F.col("c_mktsegment").alias("segment"))
+    t = VersionedTable(spark, shared_folder(spark), c.schema, "nation")
+    t.replace(c.where("nation < 15"))
+    moved = F.when(F.col("c_custkey") % 35 == 0, F.expr("(nation + 1) % 25")).otherwise(F.col("nation"))
+    t.upsert(c.where("c_custkey % 5 = 0").withColumns({"nation": moved, "segment": F.lit("updated")}), ["c_custkey"])
+    t.upsert(c.where("c_custkey % 7 = 0").select((F.col("c_custkey") + 1_000_000_000).alias("c_custkey"), F.lit(99).alias("nation"), F.lit("new").alias("segment")), ["c_custkey"])
+    return t.read()
+
+
+@query("SELECT event_id, CAST(ts AS DATE) AS day FROM events WHERE CAST(ts AS DATE) >= (SELECT max(CAST(ts AS DATE)) FROM events) - 9 ")
+def versioned_retention(spark, sf):
+    """A table in partitions by day after its retention: days leave the log, no file is written."""
+    e = X.table(spark, sf, "events").select("event_id", F.to_date("ts").alias("day"))
+    t = VersionedTable(spark, shared_folder(spark), e.schema, "day")
+    t.replace(e)
+    t.keep_days(5, least=9)
+    return t.read()
+
+
 @query("SELECT event_id, CAST(ts AS DATE) AS day FROM events WHERE CAST(ts AS DATE) >= (SELECT max(CAST(ts AS DATE)) FROM events) - 7")
 def retention(spark, sf):
     return incremental.keep_days(X.table(spark, sf, "events").select("event_id", F.to_date("ts").alias("day")), "day", 7)
@@ -174,6 +201,12 @@ def sessionize(spark, sf):
     return S.order_into_sessions(X.enriched(spark, sf)).select("event_id", "device", "ordinal", *r6("minutes"), "referrer_first")
 
 
+@query(f"WITH {Q.ORDERED} SELECT event_id, device, ordinal, round(minutes, 6) AS minutes, referrer_first FROM ordered")
+def sessionize_sliced(spark, sf):
+    """The same with devices of more than 20 hits cut into slices of time, numbered apart and stitched."""
+    return S.order_into_sessions(X.enriched(spark, sf), hot_rows=20).select("event_id", "device", "ordinal", *r6("minutes"), "referrer_first")
+
+
 @query(f"WITH {Q.SESSIONS} SELECT user_id, ordinal, {Q.FIELDS}, round(total_minutes, 6) AS total_minutes, CAST(floor(epoch(session_start)) AS BIGINT) AS started, CAST(floor(epoch(session_end)) AS BIGINT) AS ended, n_events, unique_page_views, referrer_first FROM sessions")
 def session_rollup(spark, sf):
     return X.sessions(spark, sf).select("user_id", "ordinal", *S.DEVICE_FIELDS, *r6("total_minutes"), epoch("session_start").alias("started"), epoch("session_end").alias("ended"), "n_events", "unique_page_views", "referrer_first")
@@ -474,8 +507,7 @@ def column_percentiles(spark, sf):
 # scores
 
 
-def features(s: DataFrame) -> DataFrame:
-    v = X.views_of(s)
+def features(s: DataFrame, v: DataFrame) -> DataFrame:
     users = behaviour.categories(s).select("user_id", "browser_most_common", "device_type_most_common")
     return users.join(behaviour.device_counts(s).select("user_id", "n_device_categories"), "user_id", "left").join(behaviour.page_view_misc(v).select("user_id", "engine_most_common"), "user_id", "left")
 
@@ -486,11 +518,11 @@ FAMILIES = {"income": (scores.INCOME, X.URL_COEFFICIENTS, X.INTEREST_COEFFICIENT
 
 def score_inputs(spark: SparkSession, sf: str, keep: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Page views, affinities and flags of users. ``keep`` writes the latter two down, for several families of scores."""
-    s, voc = fixed(X.sessions(spark, sf)), vocabulary(spark)
-    v = X.views_of(s)
+    hits, voc = fixed(X.ordered(spark, sf)), vocabulary(spark)
+    s, v = X.sessions_of(hits), X.views_of(hits)
     aff = interests.affinities(interests.tokens_of_interest(v, voc), voc)
     places = scores.location_flags(X.members(spark, sf), X.literal(spark, X.PLACES, ["segment_id", "name"])).select("user_id", "countryside_flag", "regional_town_flag")
-    flags = scores.web_flags(features(s)).join(places, "user_id", "left")
+    flags = scores.web_flags(features(s, v)).join(places, "user_id", "left")
     return v, *(fixed(df) if keep else df for df in (aff, flags))
 
 
@@ -541,7 +573,8 @@ def education_other_score(spark, sf):
 
 @query(f"WITH {Q.USERS} SELECT * FROM flags")
 def web_flags(spark, sf):
-    return scores.web_flags(features(X.sessions(spark, sf)))
+    hits = X.ordered(spark, sf)
+    return scores.web_flags(features(X.sessions_of(hits), X.views_of(hits)))
 
 
 def family_scores(spark: SparkSession, sf: str, family: str, normalise: bool, inputs: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
@@ -659,8 +692,10 @@ SCHEMA = T.StructType([T.StructField("n_device_categories", T.LongType()), T.Str
 
 
 def model_inputs(spark: SparkSession, sf: str) -> DataFrame:
-    collected = X.views(spark, sf).groupBy("user_id").agg(F.collect_set("domain").alias("urls"))
-    joined, _ = models.with_urls(features(X.sessions(spark, sf)), collected)
+    hits = X.ordered(spark, sf)
+    v = X.views_of(hits)
+    collected = v.groupBy("user_id").agg(F.collect_set("domain").alias("urls"))
+    joined, _ = models.with_urls(features(X.sessions_of(hits), v), collected)
     flagged = models.with_url_flags(joined, {"example_flag": "example.com"})
     return models.prepared(flagged, models.fields_of(SCHEMA), {"browser_most_common": ["chrome", "safari"]})
 
@@ -783,7 +818,8 @@ def related_words(spark, sf):
 
 def stage(spark: SparkSession, sf: str) -> DataFrame:
     when = F.lit(X.AS_OF).cast("date").alias("timestamp")
-    s, v = recent(X.sessions(spark, sf)), X.views(spark, sf)
+    hits = X.ordered(spark, sf)
+    s, v = recent(X.sessions_of(hits)), X.views_of(hits)
     a = behaviour.device_counts(s).select("user_id", when, "n_device_categories")
     b = behaviour.web_visits(v).select("user_id", when, "n_visits")
     return assemble.assemble([a, b], {"n_{what}": 0})
@@ -833,6 +869,20 @@ def stream_sessions(spark, sf):
     return closed(X.hits(spark, sf)).select("device", epoch("session_start").alias("started"), epoch("session_end").alias("ended"), "n_events")
 
 
+@query(f"WITH {Q.ORDERED} SELECT event_id, device, ordinal, round(minutes, 6) AS minutes, CAST(min(sec) OVER (PARTITION BY device, ordinal) AS BIGINT) AS started, referrer_first FROM ordered")
+def open_sessions(spark, sf):
+    """The hits delivered in three batches, an eleventh of them two days late: sessions go on from batch to batch."""
+    from spindrift.streaming.open_sessions import OpenSessions
+
+    h = X.hits(spark, sf).where("device <> ''").select("event_id", "device", "ts", "referrer_host")
+    arrival = F.to_date("ts") + F.when(F.col("event_id") % 11 == 0, 2).otherwise(0)
+    batch = sum((arrival >= F.lit(day).cast("date")).cast("int") for day in ("2024-01-10", "2024-01-20"))
+    store = OpenSessions(spark, shared_folder(spark), h.schema, lateness=dt.timedelta(days=3))
+    for n in range(3):
+        store.advance(h.where(batch == n), last=n == 2)
+    return store.read().select("event_id", "device", "ordinal", *r6("minutes"), epoch("started").alias("started"), "referrer_first")
+
+
 LISTS = [("men", "primary", "example.com"), ("men", "secondary", "example.net"), ("women", "primary", "example.org"), ("women", "secondary", "example.com")]
 
 

@@ -65,17 +65,25 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.select("*", urls.normalise("url").alias("url_normalized"), device.search_engine("referrer_host", "url").alias("search_engine"), *device.parse("user_agent"))
 
 
+def ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.order_into_sessions(enriched(spark, sf_dir))
+
+
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.roll_up(S.order_into_sessions(enriched(spark, sf_dir))).withColumn("user_id", F.col("device"))
+    return sessions_of(ordered(spark, sf_dir))
+
+
+def sessions_of(hits: DataFrame) -> DataFrame:
+    return S.roll_up(hits).withColumn("user_id", F.col("device"))
 
 
 def views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views_of(sessions(spark, sf_dir))
+    return views_of(ordered(spark, sf_dir))
 
 
-def views_of(rolled: DataFrame) -> DataFrame:
-    """Page views of sessions, with their tokens and domain."""
-    v = S.page_views(rolled).withColumn("user_id", F.col("device"))
+def views_of(hits: DataFrame) -> DataFrame:
+    """Page views of ordered hits, with their tokens and domain."""
+    v = S.page_views(hits).withColumn("user_id", F.col("device"))
     return v.withColumns({"tokens": text.tokens("url_normalized"), "domain": urls.domain("url", 1)})
 
 

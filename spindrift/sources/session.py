@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 from pathlib import Path
 
@@ -36,13 +37,21 @@ def local_session(cores: int = 8, **conf: str) -> SparkSession:
     return ship_package(builder.getOrCreate())
 
 
-def fixed(df: DataFrame) -> DataFrame:
-    """One reading of ``df`` for all that follows: a table in the folder of ``spark.checkpoint.dir`` where the cluster
-    names one, else (on one machine) kept by Spark."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """A new name below the folder of ``spark.checkpoint.dir``. Where that is unset, a session on one machine gets a
+    temporary folder; on a cluster it is an error, as tasks and driver have no other place in common."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        return df.persist()
-    path = f"{folder.rstrip('/')}/spindrift/{uuid.uuid4().hex}"
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="spindrift-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return f"{folder.rstrip('/')}/spindrift/{uuid.uuid4().hex}"
+
+
+def fixed(df: DataFrame) -> DataFrame:
+    """One reading of ``df`` for all that follows: a table in the shared folder, which outlives lost executors."""
+    path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
