@@ -66,16 +66,18 @@ def other_scores(flags: DataFrame, coefficients: DataFrame, brackets: list[str])
     return long.join(coefficients, "flag").groupBy("user_id").agg(*[F.sum(F.col("value") * F.col(c)).alias(c) for c in cols])
 
 
-def transformed(scores: DataFrame, brackets: list[str], sharpness: float = 1.0, normalise: bool = True) -> DataFrame:
-    """Box-Cox, standardisation and a sigmoid to (-1, 1). The scores are read many times, so they are fixed first."""
+def transformed(scores: DataFrame, brackets: list[str], sharpness: float = 1.0, normalise: bool = True, digits: int = 4) -> DataFrame:
+    """Box-Cox (lambdas of ``digits`` places), standardisation and a sigmoid to (-1, 1). The scores are read several
+    times, so they are fixed first."""
     cols = named(brackets)
     scores = fixed(scores)
-    out = stats.box_cox_transform(scores, cols) if normalise else scores
+    out = stats.box_cox_transform(scores, cols, digits=digits) if normalise else scores
     return stats.standardise(out, cols).withColumns({c: scalars.sigmoid(F.col(c), sharpness) for c in cols})
 
 
-def blended(parts: dict[str, DataFrame], brackets: list[str], weights: dict[str, float] = WEIGHTS, ranked: bool = True) -> DataFrame:
-    """user_id, score_<bracket> in (0, 1) and, if ``ranked``, score_<bracket>_rank: users with all parts, weighted."""
+def blended(parts: dict[str, DataFrame], brackets: list[str], weights: dict[str, float] = WEIGHTS, ranked: bool = True, digits: int = 9) -> DataFrame:
+    """user_id, score_<bracket> in (0, 1) and, if ``ranked``, score_<bracket>_rank: users with all parts, weighted. Scores
+    that are ranked have ``digits`` places, so that sums of the same parts in another order tie."""
     cols = named(brackets)
     out = None
     for name, df in parts.items():
@@ -84,7 +86,7 @@ def blended(parts: dict[str, DataFrame], brackets: list[str], weights: dict[str,
     out = out.dropna("any")
     score = {c: scalars.positive_sigmoid(scalars.total([weights[n] * F.col(f"{n}_{c}") for n in parts])) for c in cols}
     out = out.select("user_id", *[v.alias(c) for c, v in score.items()])
-    return rank.percent_ranks(fixed(out), cols, key="user_id") if ranked else out
+    return rank.percent_ranks(fixed(out.withColumns({c: F.round(c, digits) for c in cols})), cols, key="user_id") if ranked else out
 
 
 def combinations(income: str = "income_", education: str = "education_") -> dict[str, Column]:

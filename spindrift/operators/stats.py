@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from math import log
+from math import expm1, log, sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,29 +15,74 @@ def box_cox(x: Column, lam: Column | float) -> Column:
     return F.when(F.abs(lam) < 1e-12, F.ln(x)).otherwise((F.pow(x, lam) - 1) / lam)
 
 
-def box_cox_lambdas(df: DataFrame, columns: list[str], low: float = -5.0, high: float = 5.0, points: int = 21, rounds: int = 6) -> dict[str, tuple[float, float]]:
-    """(shift, lambda) of each column. Each round is one aggregate that evaluates the profile likelihood
-    (lam - 1) * sum ln x - n/2 * ln var(box_cox(x)) on a grid for all columns; the next grid lies around the best.
-    The grid is data, not code, so that all rounds share one compiled plan. Only the grid's values come back. NULLs are
-    left out; a constant column keeps lambda 1."""
-    ends = df.agg(*[F.min(c).alias(f"lo_{c}") for c in columns], *[F.max(c).alias(f"hi_{c}") for c in columns]).first()
-    shifts = {c: abs(ends[f"lo_{c}"]) + SHIFT for c in columns if ends[f"lo_{c}"] is not None}
-    free = [c for c in shifts if ends[f"hi_{c}"] > ends[f"lo_{c}"]]
-    span = {c: (low, high) for c in free}
-    best = {c: 1.0 for c in shifts}
-    shifted = [F.struct(F.lit(i).alias("i"), (F.col(c).cast("double") + F.lit(float(shifts[c]))).alias("x")) for i, c in enumerate(free)]
-    for _ in range(rounds if free else 0):
-        grids = [[a + (b - a) * k / (points - 1) for k in range(points)] for a, b in (span[c] for c in free)]
-        grid = df.sparkSession.createDataFrame([(i, k, lam) for i, g in enumerate(grids) for k, lam in enumerate(g)], "i int, k int, lam double")
-        xs = df.select(F.explode(F.array(*shifted)).alias("v")).where("v.x IS NOT NULL").select("v.i", "v.x")
-        # the grid has points x columns rows, and each value meets those of its column
-        found = xs.join(F.broadcast(grid), "i").groupBy("i", "k").agg(F.sum(F.ln("x")).alias("s"), F.count("*").alias("n"), F.var_pop(box_cox(F.col("x"), F.col("lam"))).alias("v"))
-        fits = {(r.i, r.k): (grids[r.i][r.k] - 1) * r.s - r.n / 2 * log(r.v) if r.v and r.v > 0 else float("-inf") for r in found.collect()}
-        for i, c in enumerate(free):
-            k = max(range(points), key=lambda k, i=i: fits.get((i, k), float("-inf")))
-            best[c], step = grids[i][k], grids[i][1] - grids[i][0]
-            span[c] = (best[c] - step, best[c] + step)
-    return {c: (shifts[c], best[c]) for c in shifts}
+def log_histogram(df: DataFrame, columns: list[str], width: float) -> dict[str, tuple[float, list[tuple[float, ...]]]]:
+    """Of each column (shift, bins): values x plus the shift, |least value| + SHIFT, fall into bins of ln x of ``width``; a bin
+    is (count, mean of ln x, and the second to fourth central moments of ln x). Two scans: the least values, and one
+    aggregate for all columns whose bins, some hundreds a column whatever the table's size, are all that comes back."""
+    ends = df.agg(*[F.min(F.col(c).cast("double")).alias(c) for c in columns]).first().asDict()
+    shifts = {c: abs(lo) + SHIFT for c, lo in ends.items() if lo is not None}
+    if not shifts:
+        return {}
+    logs = [F.struct(F.lit(i).alias("i"), F.ln(F.col(c).cast("double") + F.lit(shifts[c])).alias("t")) for i, c in enumerate(shifts)]
+    t = df.select(F.explode(F.array(*logs)).alias("v")).where("v.t IS NOT NULL").select("v.i", "v.t", F.floor(F.col("v.t") / width).alias("bin"))
+    d = F.col("t") - (F.col("bin") + 0.5) * F.lit(width)  # from the bin's middle, so that powers keep their digits
+    found = t.groupBy("i", "bin").agg(F.count("*").alias("n"), *[F.sum(F.pow(d, F.lit(float(k)))).alias(f"d{k}") for k in (1, 2, 3, 4)]).collect()
+    names, bins = list(shifts), {c: [] for c in shifts}
+    for r in found:
+        m1, m2, m3, m4 = (r[f"d{k}"] / r["n"] for k in (1, 2, 3, 4))
+        central = (m2 - m1**2, m3 - 3 * m1 * m2 + 2 * m1**3, m4 - 4 * m1 * m3 + 6 * m1**2 * m2 - 3 * m1**4)
+        bins[names[r["i"]]].append((r["n"], (r["bin"] + 0.5) * width + m1, *central))
+    return {c: (shifts[c], sorted(bins[c], key=lambda x: x[1])) for c in shifts}
+
+
+def profile_likelihood(bins: list[tuple[float, ...]], lam: float) -> float:
+    """(lam - 1) * sum ln x - n/2 * ln var(box_cox(x)), up to a constant, from the bins' moments: within a bin exp(lam t) is
+    taken by its Taylor polynomial of fourth degree about the mean."""
+    n = sum(b[0] for b in bins)
+    mean_log = sum(c * mu for c, mu, *_ in bins) / n
+    if abs(lam) < 1e-9:
+        return -mean_log * n - n / 2 * log(sum(c * ((mu - mean_log) ** 2 + v) for c, mu, v, *_ in bins) / n)
+
+    if abs(lam) * max(abs(b[1] - mean_log) for b in bins) > 300:
+        return float("-inf")  # its powers leave a double's range
+    one = two = 0.0  # means of u = exp(lam (t - mean_log)) - 1 and of its square
+    for c, mu, v, skew, k in bins:
+        u = expm1(lam * (mu - mean_log))
+        e = 1 + u
+        a2, a3, a4 = lam**2 * v / 2, lam**3 * skew / 6, lam**4 * k / 24
+        one += c * (u + e * (a2 + a3 + a4))
+        two += c * (u * u + e * e * (4 * a2 + 8 * a3 + 16 * a4) - 2 * e * (a2 + a3 + a4))
+    var = two / n - (one / n) ** 2
+    # var(box_cox) = exp(2 lam mean_log) var / lam^2, whose first factor meets (lam - 1) * sum ln x
+    return -mean_log * n - n / 2 * log(var / lam**2) if var > 0 else float("-inf")
+
+
+def box_cox_lambdas(df: DataFrame, columns: list[str], low: float = -5.0, high: float = 5.0, width: float = 0.02, places: float = 1e-7, digits: int | None = None) -> dict[str, tuple[float, float]]:
+    """(shift, lambda) of each column: the maximum of the profile likelihood in [low, high], by golden section about the best
+    point of a grid. The table is scanned twice, whatever the precision. NULLs are left out; a constant column keeps
+    lambda 1. ``digits`` rounds lambda, so that engines agree to the last bit of what follows."""
+    out = {}
+    for c, (shift, bins) in log_histogram(df, columns, width).items():
+        if len(bins) == 1 and bins[0][2] <= 1e-18:
+            out[c] = shift, 1.0
+            continue
+        grid = [low + (high - low) * k / 100 for k in range(101)]
+        best = max(range(101), key=lambda k, b=bins: profile_likelihood(b, grid[k]))
+        a, z = grid[max(best - 1, 0)], grid[min(best + 1, 100)]
+        ratio = (sqrt(5) - 1) / 2
+        x, y = z - ratio * (z - a), a + ratio * (z - a)
+        fx, fy = profile_likelihood(bins, x), profile_likelihood(bins, y)
+        while z - a > places:
+            if fx >= fy:
+                z, y, fy = y, x, fx
+                x = z - ratio * (z - a)
+                fx = profile_likelihood(bins, x)
+            else:
+                a, x, fx = x, y, fy
+                y = a + ratio * (z - a)
+                fy = profile_likelihood(bins, y)
+        out[c] = shift, (a + z) / 2 if digits is None else round((a + z) / 2, digits)
+    return out
 
 
 def box_cox_transform(df: DataFrame, columns: list[str], **grid) -> DataFrame:

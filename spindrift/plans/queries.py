@@ -470,10 +470,14 @@ def global_ntile(spark, sf):
     return rank.ntiles(d, "score", "doc_id", 7).select("doc_id", "bucket")
 
 
-@query()
+def scaled_sql(c: str) -> str:
+    return f"round((b.{c} - avg(b.{c}) OVER ()) / stddev_samp(b.{c}) OVER (), 6) AS {c}"
+
+
+@query(f"WITH d AS (SELECT doc_id, CAST(n_chars AS DOUBLE) AS x, CAST(n_chars % 101 AS DOUBLE) AS y FROM documents), {Q.box_cox('b', 'd', ['x', 'y'], 'doc_id')} SELECT doc_id, {scaled_sql('x')}, {scaled_sql('y')} FROM b")
 def boxcox_scale(spark, sf):
     d = X.table(spark, sf, "documents").select("doc_id", F.col("n_chars").cast("double").alias("x"), (F.col("n_chars") % 101).cast("double").alias("y"))
-    return stats.standardise(stats.box_cox_transform(d, ["x", "y"]), ["x", "y"]).select("doc_id", *r6("x", "y"))
+    return stats.standardise(stats.box_cox_transform(d, ["x", "y"], digits=4), ["x", "y"]).select("doc_id", *r6("x", "y"))
 
 
 @query("SELECT o_orderkey, round(t / (2 * (1 + abs(t))) + 0.5, 6) AS positive, round(2 * t / sqrt(1 + 4 * t * t), 6) AS sharp FROM (SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) / 100000 - 1 AS t FROM orders)")
@@ -587,9 +591,9 @@ def family_scores(spark: SparkSession, sf: str, family: str, normalise: bool, in
 VIEWS_AND_USERS = Q.USERS_PLACED + Q.VIEWS[len(Q.ORDERED) :] + Q.affinity_tables(Q.VOCABULARY)
 
 
-def blend(family: str) -> str:
+def blend(family: str, raw: dict[str, str] | None = None) -> str:
     """Tables <family>_blend and <family> (user_id, score_<bracket>): plain scores of all three parts."""
-    b, raw = FAMILIES[family][0], RAW[family]
+    b, raw = FAMILIES[family][0], raw or RAW[family]
     parts = ", ".join(f"(3 * i.score_{x} + 5 * u.score_{x} + 4 * o.score_{x}) / 12.0 AS x_{x}" for x in b)
     joined = f"{Q.squashed(raw['interest'], b)} i JOIN {Q.squashed(raw['url'], b)} u USING (user_id) JOIN {Q.squashed(raw['other'], b)} o USING (user_id)"
     return f", {family}_blend AS (SELECT i.user_id, {parts} FROM {joined}), {family} AS (SELECT user_id, {', '.join(f'x_{x} / (2 * (1 + abs(x_{x}))) + 0.5 AS score_{x}' for x in b)} FROM {family}_blend)"
@@ -605,7 +609,11 @@ def education_score_plain(spark, sf):
     return family_scores(spark, sf, "education", normalise=False).select("user_id", *r6(*score_columns("education")))
 
 
-@query()
+NORMAL = ", ".join(f"{p}_raw AS MATERIALIZED (SELECT * FROM {RAW['income'][p]} AS raw_of), {Q.box_cox(f'{p}_bc', f'{p}_raw', SCORE_COLUMNS)}" for p in ("interest", "url"))
+RANKED = ", ".join(f"round({c}, 6) AS {c}, round(percent_rank() OVER (ORDER BY round({c}, 9)), 6) AS {c}_rank" for c in SCORE_COLUMNS)
+
+
+@query(f"WITH {VIEWS_AND_USERS}, {NORMAL}{blend('income', {'interest': 'interest_bc', 'url': 'url_bc', 'other': RAW['income']['other']})} SELECT user_id, {RANKED} FROM income")
 def income_score(spark, sf):
     return family_scores(spark, sf, "income", normalise=True).select("user_id", *r6(*SCORE_COLUMNS, *[f"{c}_rank" for c in SCORE_COLUMNS]))
 

@@ -161,6 +161,23 @@ def squashed(rows: str, brackets: list[str]) -> str:
     return f"(SELECT user_id, {', '.join(f'z_{b} / sqrt(1 + z_{b} * z_{b}) AS score_{b}' for b in brackets)} FROM (SELECT user_id, {', '.join(f'{z(b)} AS z_{b}' for b in brackets)} FROM {rows} WHERE {known}))"
 
 
+def box_cox(name: str, rows: str, columns: list[str], keys: str = "user_id", digits: int = 4) -> str:
+    """Table <name> (keys, columns): the columns of <rows> after Box-Cox. Lambda's likelihood is evaluated on four grids, each
+    about the best of the one before."""
+    out = []
+    power = "CASE WHEN abs(lam) < 1e-12 THEN ln(t) ELSE (power(t, lam) - 1) / lam END"
+    for c in columns:
+        n = f"{name}_{c}"
+        out.append(f"{n}_t AS MATERIALIZED (SELECT CAST({c} AS DOUBLE) + (SELECT abs(min({c})) FROM {rows}) + 0.01 AS t FROM {rows} WHERE {c} IS NOT NULL)")
+        for i, step in enumerate((0.1, 0.002, 0.00004, 0.0000008)):
+            middle = "0" if i == 0 else f"(SELECT lam FROM {n}_b{i - 1})"
+            out.append(f"{n}_g{i} AS MATERIALIZED (SELECT DISTINCT least(5.0, greatest(-5.0, {middle} + (i - 50) * {step:.7f})) AS lam FROM range(101) AS r(i))")
+            out.append(f"{n}_b{i} AS MATERIALIZED (SELECT arg_max(lam, f) AS lam FROM (SELECT lam, (lam - 1) * sum(ln(t)) - count(*) / 2.0 * ln(nullif(var_pop({power}), 0)) AS f FROM {n}_g{i}, {n}_t GROUP BY lam))")
+    value = lambda c: f"(SELECT any_value({power.replace('ln(t)', 'ln(tt)').replace('power(t,', 'power(tt,')}) FROM (SELECT round(coalesce((SELECT lam FROM {name}_{c}_b3), 1), {digits}) AS lam, CAST(r.{c} AS DOUBLE) + (SELECT abs(min({c})) FROM {rows}) + 0.01 AS tt)) AS {c}"
+    out.append(f"{name} AS MATERIALIZED (SELECT {keys}, {', '.join(map(value, columns))} FROM {rows} r)")
+    return ", ".join(out)
+
+
 #: Runs of what Unicode counts as no word character, and underscores.
 UNICODE_GAPS = r"(?:[^\p{L}\p{M}\p{N}\p{Pc}]|_)+"
 
