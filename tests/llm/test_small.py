@@ -450,13 +450,13 @@ def test_wrapper_is_an_expression():
 
 
 def test_pages_are_matched_with_their_wrapper(spark):
-    """Texts of the template within the region go, at any length of the page; slots and groups stay."""
-    page = "<html><body><div class='post'>" + "".join("<h2>Part {0} %d</h2><p>Own {0} %d</p><ul><li>x</li></ul>" % (i, i) + "<hr>" * (i % 3) for i in range(900)) + "<h4>Posted by the staff</h4><h5>Tail {0}</h5></div></body></html>"
+    """Texts of the template at the region's ends go, at any length of the page; slots, groups and what lies between stay."""
+    page = "<html><body><div class='post'>" + "".join("<h2>Part {0} %d</h2><p>Own {0} %d</p><ul><li>x</li></ul>" % (i, i) + "<hr>" * (i % 3) for i in range(900)) + "<h4>Kept heading</h4><h5>Tail {0}</h5><h6>Posted by the staff</h6></div></body></html>"
     df = spark.createDataFrame([(i, f"http://h.example.com/p{i}", page.format(i)) for i in range(8)], "page_id long, url string, html string")
     for r in extraction.extract(df).collect():
         lines = r.text.split("\n")
         assert r.wrapped and lines[0] == f"Part {r.page_id} 0" and lines[-1] == f"Tail {r.page_id}" and len(lines) > 1800
-        assert "Posted by the staff" not in lines
+        assert "Posted by the staff" not in lines and lines[-2] == "Kept heading"  # between own texts it is the article's
 
 
 def test_extraction_of_odd_markup(spark, monkeypatch):
