@@ -5,8 +5,8 @@
 2. Classes that share a band meet in a bucket. A bucket's members are not paired with each other: each is compared
    with the bucket's hub, the member that shares most bands with others (as a rule the text that the copies were made
    from). This joins almost all groups.
-3. Where the members met through one hub are still of several components, they are compared in blocks of bounded size:
-   a task gets two blocks, counts the intersections of their sets by joining the sorted shingles in numpy, and passes
+3. Where the members met through one hub are still of several components, those outside the largest one are compared with
+   all others, in blocks of bounded size: a task gets two blocks, counts the intersections of their sets by joining the sorted shingles in numpy, and passes
    on only the links that join components. So no pair that shares a band is left out, and no pair becomes a row.
 4. A compared pair is linked if 100 * intersection >= percent * union of the full shingle sets.
 
@@ -227,18 +227,32 @@ def link_classes(texts: DataFrame, classes: DataFrame, percent: int) -> DataFram
     edges = cut(with_texts.mapInArrow(lambda b: trimmed(verified(b, percent)), "a long, b long").distinct().coalesce(few))
     found = components(edges)
     labelled = cut(met.join(found, F.col("rep") == F.col("node"), "left").select("rep", "hub", F.coalesce("component", "rep").alias("comp")).coalesce(few))
-    split = labelled.groupBy("hub").agg(F.count("*").alias("n"), F.min("comp").alias("x"), F.max("comp").alias("y")).where("n > 2 and x < y")
-    blocks = split.select("hub", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("nb")).coalesce(few)
-    rest = labelled.join(blocks, "hub").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("nb")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("other")
-    placed = rest.select("hub", "rep", "comp", "block", other).select(
-        "hub", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"), "rep", "comp"
-    )
-    in_blocks = cut(placed.coalesce(few)).join(near.select(F.col("doc_id").alias("rep"), "text"), "rep")
-    more = in_blocks.groupBy("hub", "i", "j").applyInArrow(lambda t: linked_blocks(t, percent), "a long, b long")
+    in_blocks = cut(crossings(labelled).coalesce(few)).join(near.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    more = in_blocks.groupBy("hub", "kind", "i", "j").applyInArrow(lambda t: linked_blocks(t, percent), "a long, b long")
     return edges.unionByName(cut(more))
 
 
+def crossings(labelled: DataFrame) -> DataFrame:
+    """The members (rep, hub, comp) of the hubs that still have several components, once for each pair of blocks they are
+    compared in: (hub, kind, i, j, side, rep, comp). A hub's largest component is never compared with itself: blocks of
+    the other members meet its blocks (kind 0) and each other (kind 1). So one stray text in a group of n copies sends n
+    texts; rows grow with (members outside the largest component) * (members) / BLOCK."""
+    sizes = labelled.groupBy("hub", "comp").agg(F.count("*").alias("c"))
+    split = sizes.groupBy("hub").agg(F.sum("c").alias("n"), F.max(F.struct("c", -F.col("comp"))).alias("big")).where(F.col("n") > F.greatest(F.col("big.c"), F.lit(2)))
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    split = split.select("hub", (-F.col("big.col2")).alias("big"), blocks(F.col("big.c")).alias("nb"), blocks(F.col("n") - F.col("big.c")).alias("no"))
+    rows = labelled.join(split, "hub").withColumn("odd", F.col("comp") != F.col("big"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("rep"), F.when(F.col("odd"), F.col("no")).otherwise(F.col("nb"))).cast("int"))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1)).alias("other")
+    own = ["hub", "rep", "comp", "block"]
+    apart = rows.where("odd").select(*own, upto(F.col("nb"))).select("hub", F.lit(0).alias("kind"), F.col("block").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), "rep", "comp")
+    large = rows.where("not odd").select(*own, upto(F.col("no"))).select("hub", F.lit(0).alias("kind"), F.col("other").alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"), "rep", "comp")
+    among = rows.where("odd").select(*own, upto(F.col("no"))).select(
+        "hub", F.lit(1).alias("kind"), F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).cast("int").alias("side"), "rep", "comp"
+    )
+    return apart.unionByName(large).unionByName(among)
+
+
 def few_tasks(rows: int) -> int:
     """Tasks for slim rows: none under 100,000 rows, so that small inputs don't run hundreds of empty ones."""
     return max(8, rows // 100_000)
