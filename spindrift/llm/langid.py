@@ -135,9 +135,16 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def fit(docs: DataFrame, per_lang: int = 400, pieces: int = 4, most_langs: int = 1000) -> Network | None:
+def scrambled(text: str, seed: int) -> str:
+    """The text's characters in random order: what has the letters of a language and is none."""
+    order = np.random.default_rng(seed).permutation(len(text))
+    return "".join(text[i] for i in order)
+
+
+def fit(docs: DataFrame, per_lang: int = 400, pieces: int = 4, most_langs: int = 1000, noise: bool = False) -> Network | None:
     """Train on the ``most_langs`` most frequent languages (the network has an output for each) and at most ``per_lang`` documents of each language outside the held-out third, taken evenly by a hash of
-    their ids and texts (of equal rows, as many as there is room for), and on ``pieces`` windows at hashed places of each."""
+    their ids and texts (of equal rows, as many as there is room for), and on ``pieces`` windows at hashed places of each. With ``noise`` the network
+    also learns ``und``, from scrambled windows of the sample, as many as a language has."""
     rows = docs.select("doc_id", "text", "lang", F.xxhash64("doc_id", "text").alias("pick")).where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out(F.col("doc_id")))
     share = rows.groupBy("lang").agg((F.lit(2 * per_lang * 1_000_000.0) / F.count("*")).alias("most")).orderBy("most", "lang").limit(most_langs)
     places = F.transform(
@@ -150,7 +157,11 @@ def fit(docs: DataFrame, per_lang: int = 400, pieces: int = 4, most_langs: int =
     got = sorted((r[0], r[1], i, x) for r in some.select("pick", "lang", "windows").collect() for i, x in enumerate(r[2]))
     if not got:
         return None
-    return train([x[3].encode()[:WINDOW].decode(errors="ignore") for x in got], [x[1] for x in got])
+    texts, langs = [x[3].encode()[:WINDOW].decode(errors="ignore") for x in got], [x[1] for x in got]
+    if noise:  # as many as a language has windows
+        some = [i for i in range(len(texts)) if i % len(set(langs)) == 0]
+        texts, langs = texts + [scrambled(texts[i], i) for i in some], langs + ["und"] * len(some)
+    return train(texts, langs)
 
 
 def predicted(batches: Iterator[pa.RecordBatch], net: Network | None) -> Iterator[pa.RecordBatch]:
@@ -183,11 +194,12 @@ def identify(docs: DataFrame, per_lang: int = 400, pieces: int = 4, net: Network
     return rows.mapInArrow(lambda b: trimmed(predicted(b, net)), SCHEMA)
 
 
-def keep_identified(docs: DataFrame, least: float = 0.35, **fit_options: int) -> DataFrame:
-    """Documents whose language can be told, with the input's columns. Rejected are texts without a letter and those whose
-    likeliest language has a probability below ``least``. Where no row has a label, nothing is known of languages and
-    only texts without a letter go. A row's decision is taken where the row is read; nothing is joined."""
-    net = fit(docs, **fit_options)
+def keep_identified(docs: DataFrame, least: float = 0.9, **fit_options: int) -> DataFrame:
+    """Documents in which a language can be told, with the input's columns. Rejected are texts without a letter and those
+    that the network holds for letters of no language (``und``, learnt from scrambled windows) with a probability of
+    ``least`` or more. Where no row has a label, nothing is known of languages and only texts without a letter go. A
+    row's decision is taken where the row is read; nothing is joined."""
+    net = fit(docs, noise=True, **fit_options)
     lettered = F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False))
     if net is None:
         return docs.where(lettered)
@@ -198,7 +210,8 @@ def keep_identified(docs: DataFrame, least: float = 0.35, **fit_options: int) ->
         for batch in batches:
             lean = pa.RecordBatch.from_arrays(batch.columns[len(names) :], names=list(extra))
             found = next(predicted(iter([lean]), net))
-            good = pc.and_(pc.not_equal(found.column(2), "und"), pc.greater_equal(found.column(3), least))
+            none = pc.and_(pc.equal(found.column(2), "und"), pc.greater_equal(found.column(3), least))
+            good = pc.and_(lean.column(3), pc.invert(none))
             yield pa.RecordBatch.from_arrays(batch.columns[: len(names)], names=names).filter(good)
 
     rows = docs.select(*names, F.col("doc_id").cast("long").alias(extra["doc_id"]), F.col("text").cast("string").alias(extra["text"]), held_out(F.col("doc_id")).alias(extra["held_out"]), lettered.alias(extra["lettered"]))

@@ -1,9 +1,14 @@
 """Articles keep their text, whatever their containers are called and whatever headings they share; group crossings grow
 with a group; the pipeline against plain code."""
 
+import random
+import re
+
 import pytest
 
-from spindrift.llm import extraction, neardup
+from spindrift.llm import decontamination, extraction, langid, neardup
+from tests.llm import brute
+from tests.llm.test_small import copies, edited, pieces_fit, prose
 
 SCHEMA = "page_id long, url string, html string"
 
@@ -76,3 +81,49 @@ def test_crossings_meet_every_pair_of_components(spark, monkeypatch):
         met |= {tuple(sorted((a, b))) for a in left for b in (right or left) if a != b}
     assert {(a, b) for a in range(20) for b in range(a + 1, 20) if comp[a] != comp[b]} <= met
     assert not any(comp[a] == comp[b] == 0 for a, b in met)
+
+
+def test_letters_of_no_language_go(spark):
+    """Texts with their characters in random order are rejected, the others stay; the network decides."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    rng = random.Random(1)
+    some = [r for r in docs.where("doc_id % 50 = 0 and length(text) > 200").select("doc_id", "text").collect()]
+    junk = [(10_000_000 + r.doc_id, "".join(rng.sample(r.text, len(r.text))), None, "s", 1) for r in some]
+    both = docs.unionByName(spark.createDataFrame(junk, "doc_id long, text string, lang string, source string, n_chars long"), allowMissingColumns=True)
+    kept = {r[0] for r in langid.keep_identified(both).select("doc_id").collect()}
+    lettered = docs.where(r"text rlike '\\p{L}'").count()
+    assert len([i for i in kept if i < 10_000_000]) >= 0.999 * lettered and len(junk) > 100
+    assert len([i for i in kept if i >= 10_000_000]) <= 0.05 * len(junk)
+
+
+def plain_words(text):
+    return "".join(c if c.isalnum() else " " for c in text.lower()).split()
+
+
+def test_pipeline_by_brute_force(spark, docs, tmp_path):
+    """Five stages on a small table, each decision taken again by plain code; no row is labelled, so letters decide."""
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    items = [(k, prose(25, rng)) for k in range(4)]
+    rows = copies()[:60]
+    rows += [(500 + k, f"{prose(50, rng)} {edited(items[k % 4][1], k % 3, rng)} {prose(50, rng)}") for k in range(8)]
+    rows += [(600 + k, f"{prose(40, rng)} write to user{k}@mail.example.org or call +420 601 {k}23 456 now {prose(40, rng)}") for k in range(8)]
+    rows += [(700, None), (701, ""), (702, "12 34 !"), (703, "one word"), (704, "é")]
+    table = docs(rows).selectExpr("doc_id", "text", "cast(null as string) AS lang", "source", "n_chars")
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = {i: t for i, t in rows if t and re.search(r"[^\W\d_]", t)}
+    component, _ = brute.components(left, percent=80)
+    left = {i: t for i, t in left.items() if component[i] == i}
+    leaks = lambda t: any(brute.edit_distance_within(plain_words(x), plain_words(t)) <= decontamination.budget(len(plain_words(x))) for _, x in items)
+    left = {i: t for i, t in left.items() if not leaks(t)}
+    assert not set(range(500, 508)) & set(left) and set(range(600, 608)) <= set(left)
+    for i in list(left):
+        spans = sorted((int(s), int(e), kind) for kind, s, e in (x.split(":") for x in brute.personal(left[i])))
+        for start, end, kind in reversed(spans):
+            left[i] = f"{left[i][:start]}<{kind.upper()}>{left[i][end:]}"
+    assert "<EMAIL>" in left[600] and "<PHONE>" in left[600]
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in got} == set(left)
+    pieces_fit(got, list(left.items()), 4096)
