@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns a DataFrame, which is
 written as Parquet and read again as the next one's docs. All but the last return the columns of documents:
 
-1. language: documents in which no language can be told (no text, no letter) go;
+1. language: documents without a letter, or whose letters the network holds for no language, go;
 2. near_duplicates: of each group of near-duplicates (five-word shingles, similarity 0.8 or more) the smallest id stays;
 3. decontamination: documents that contain a benchmark item, exactly or within its error budget, go;
 4. personal_data: spans of personal data are replaced by their kinds;
