@@ -156,3 +156,70 @@ def stem_czech(array: Column, aggressive: bool = False) -> Column:
 def flatten_spaces(column: Column | str) -> Column:
     """The distinct words of a text, split at single spaces."""
     return F.array_distinct(F.split(column, " "))
+
+
+#: The German stemmer of Snowball: vowels, letters before a final s and st, and endings of the three steps (fixed values).
+GERMAN_VOWELS = "aeiouyäöü"
+S_ENDING, ST_ENDING = "bdfghklmnrt", "bdfghklmnt"
+DERIVED = [(4, ["lich", "heit"]), (4, ["keit"]), (4, ["isch"]), (3, ["end", "ung"]), (2, ["ig", "ik"])]
+
+
+def german_regions(w: Column) -> tuple[Column, Column]:
+    """Where R1 and R2 begin: after the first consonant that follows a vowel, and after the next such; R1 leaves three
+    letters at least."""
+    v, c = f"[{GERMAN_VOWELS}]", f"[^{GERMAN_VOWELS}]"
+    once, twice = (F.length(F.regexp_extract(w, f"^({c}*{v}+{c}){{{n}}}", 0)) for n in (1, 2))
+    size = F.length(w)
+    return F.when(once > 0, F.greatest(once, F.least(size, F.lit(3)))).otherwise(size), F.when(twice > 0, twice).otherwise(size)
+
+
+def stem_german(array: Column) -> Column:
+    """Snowball's German stems of lower-cased tokens: plural and case endings, then verb and adjective endings, then
+    derivations, each only within its region of the word."""
+    inside = lambda x, n, start: F.length(x["w"]) - n >= start
+    step = lambda x, w: F.struct(w.alias("w"), x["r1"].alias("r1"), x["r2"].alias("r2"))
+
+    def marked(t: Column) -> Column:
+        """ss for ß; u and y between vowels are consonants, written in capitals until the end."""
+        w = F.regexp_replace(t, "ß", "ss")
+        for letter in "uy":
+            w = F.regexp_replace(w, f"([{GERMAN_VOWELS}]){letter}([{GERMAN_VOWELS}])", f"$1{letter.upper()}$2")
+        return w
+
+    def first(x: Column) -> Column:
+        w = x["w"]
+        cut = lambda n: F.when(inside(x, n, x["r1"]), less(w, n)).otherwise(w)
+        short = less(w, 1)
+        niss = lambda n: F.when(inside(x, n, x["r1"]), F.when(ends(less(w, n), 4, ["niss"]), less(w, n + 1)).otherwise(less(w, n))).otherwise(w)
+        return (
+            F.when(ends(w, 3, ["ern"]), cut(3)).when(ends(w, 2, ["em", "er"]), cut(2)).when(ends(w, 2, ["en", "es"]), niss(2)).when(ends(w, 1, ["e"]), niss(1))
+            .when(ends(w, 1, ["s"]) & ends(short, 1, list(S_ENDING)), cut(1)).otherwise(w)
+        )
+
+    def second(x: Column) -> Column:
+        w = x["w"]
+        cut = lambda n: F.when(inside(x, n, x["r1"]), less(w, n)).otherwise(w)
+        return F.when(ends(w, 3, ["est"]), cut(3)).when(ends(w, 2, ["en", "er"]), cut(2)).when(ends(w, 2, ["st"]) & ends(less(w, 2), 1, list(ST_ENDING)) & (F.length(w) >= 6), cut(2)).otherwise(w)
+
+    def third(x: Column) -> Column:
+        w = x["w"]
+        less_ig = lambda n: ends(less(w, n), 2, ["ig"]) & ~ends(less(w, n + 2), 1, ["e"]) & inside(x, n + 2, x["r2"])
+        more = {
+            "lich": F.when(ends(less(w, 4), 2, ["er", "en"]) & inside(x, 6, x["r1"]), less(w, 6)).otherwise(less(w, 4)),
+            "keit": F.when(ends(less(w, 4), 4, ["lich"]) & inside(x, 8, x["r2"]), less(w, 8)).when(ends(less(w, 4), 2, ["ig"]) & inside(x, 6, x["r2"]), less(w, 6)).otherwise(less(w, 4)),
+            "end": F.when(less_ig(3), less(w, 5)).otherwise(less(w, 3)),
+        }
+        out = None
+        for n, suffixes in DERIVED:
+            plain = F.when(ends(less(w, n), 1, ["e"]), w).otherwise(less(w, n))  # isch, ig and ik stay after an e
+            v = F.when(inside(x, n, x["r2"]), more.get(suffixes[0], plain)).otherwise(w)
+            out = F.when(ends(w, n, suffixes), v) if out is None else out.when(ends(w, n, suffixes), v)
+        return out.otherwise(w)
+
+    def stem(token: Column) -> Column:
+        words = F.transform(F.array(marked(token)), lambda w: F.struct(w.alias("w"), *[r.alias(n) for r, n in zip(german_regions(w), ("r1", "r2"), strict=True)]))
+        # nested transforms bind the steps, so that each is worked out once
+        words = reduce(lambda a, f: F.transform(a, lambda x: step(x, f(x))), (first, second, third), words)
+        return F.translate(F.get(words, F.lit(0))["w"], "UYäöü", "uyaou")
+
+    return F.transform(array, stem)

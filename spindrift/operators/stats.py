@@ -109,3 +109,29 @@ def melt(df: DataFrame, ids: list[str], values: list[str], name: str = "name", v
 
 def replace_levels(column: str, levels: list[str], by: str) -> Column:
     return F.when(F.col(column).isin(levels), by).otherwise(F.col(column))
+
+
+#: Accuracy of a KLL sketch of size k: a quantile's rank is off by no more than ERROR[0] / k ** ERROR[1] of the rows, with a
+#: probability of 99 % (Karnin, Lang, Liberty 2016, as in Apache DataSketches).
+ERROR = (2.296, 0.9723)
+
+
+def rank_error(k: int) -> float:
+    return ERROR[0] / k ** ERROR[1]
+
+
+def quantile_sketches(df: DataFrame, by: list[str], column: str, k: int = 200) -> DataFrame:
+    """by, n, sketch: one KLL sketch of some kilobytes a group, whatever its size, to be stored and merged later. NULLs
+    are left out; a group of NULLs has no sketch."""
+    rows = df.where(F.col(column).isNotNull())
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), F.kll_sketch_agg_double(F.col(column).cast("double"), k).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """The sketches of coarser groups (or of all), without a look at the rows; the error stays that of one sketch."""
+    return sketches.groupBy(*(by or [])).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def sketch_quantiles(sketches: DataFrame, shares: list[float]) -> DataFrame:
+    """``sketches`` with ``quantiles``: the values at these shares of the rows."""
+    return sketches.withColumn("quantiles", F.kll_sketch_get_quantile_double("sketch", F.array(*[F.lit(float(s)) for s in shares])))

@@ -14,7 +14,7 @@ from spindrift.operators import assemble, behaviour, dictionary, incremental, in
 from spindrift.operators import sessions as S
 from spindrift.plans import sql as Q
 from spindrift.sources import fixtures as X
-from spindrift.sources import io
+from spindrift.sources import io, landing
 from spindrift.sources.session import fixed, shared_folder, ship_package
 from spindrift.sources.versions import VersionedTable
 
@@ -328,6 +328,16 @@ def stem_cs_aggressive(spark, sf):
     return t.select("doc_id", F.size("t").alias("n_tokens"), F.size(F.array_distinct("t")).alias("n_stems"))
 
 
+@query(
+    f"WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), {Q.q(Q.UNICODE_GAPS)}), lambda w: length(w) >= 2) AS t FROM documents), w AS (SELECT doc_id, unnest(t) AS w, generate_subscripts(t, 1) AS i FROM t), {Q.german_stems('w')},"
+    " f AS (SELECT w.doc_id, count(DISTINCT s) AS n_stems, md5(string_agg(s, ' ' ORDER BY i)) AS digest FROM w JOIN gstems ON w.w = gstems.word GROUP BY 1)"
+    " SELECT t.doc_id, CAST(len(t) AS INT) AS n_tokens, CAST(CASE WHEN t IS NOT NULL THEN coalesce(n_stems, 0) END AS INT) AS n_stems, CASE WHEN t IS NOT NULL THEN coalesce(digest, md5('')) END AS digest FROM t LEFT JOIN f USING (doc_id)"
+)
+def stem_de(spark, sf):
+    t = X.table(spark, sf, "documents").select("doc_id", text.stem_german(text.tokens("text", unicode=True)).alias("t"))
+    return t.select("doc_id", F.size("t").alias("n_tokens"), F.size(F.array_distinct("t")).alias("n_stems"), F.md5(F.array_join("t", " ")).alias("digest"))
+
+
 @query(
     f"WITH {Q.ORDERED} SELECT url_normalized, min({Q.labels(1)}) AS url_domain_full, min({Q.labels(2)}) AS url_domain_1_level, min({Q.labels(3)}) AS url_domain_2_level, min({Q.steps('url', urls.AD)}) AS url_ad_format, min({Q.steps('url', urls.TWO_LEVEL)}) AS url_two_level, count(*) AS n FROM ordered GROUP BY 1"
 )
@@ -508,6 +518,20 @@ def column_percentiles(spark, sf):
     return found.select(F.round("mean", 6).alias("mean"), F.posexplode("percentiles").alias("place", "percentile"))
 
 
+SHARES_ASKED = [i / 10 for i in range(1, 10)]
+
+
+@query("SELECT CAST(i - 1 AS INT) AS place, (SELECT count(*) FROM events) AS n, true AS within FROM range(1, 10) AS g(i)")
+def percentile_sketches(spark, sf):
+    """Deciles of a number of each event from daily sketches that were stored and merged; whether the exact rank of each
+    lies within three times the sketch's error."""
+    e = X.table(spark, sf, "events").select(F.to_date("ts").alias("day"), (F.col("event_id") * 7919 % 10007).cast("double").alias("x"))
+    daily = fixed(stats.quantile_sketches(e, ["day"], "x", k=800))
+    found = stats.sketch_quantiles(stats.merged_sketches(daily), SHARES_ASKED).select("n", F.posexplode("quantiles").alias("place", "q"))
+    below = e.crossJoin(F.broadcast(found)).groupBy("place", "n").agg((F.count_if(F.col("x") <= F.col("q")) / F.col("n")).alias("share"))  # nine rows
+    return below.select("place", "n", (F.abs(F.col("share") - (F.col("place") + 1) / 10) <= 3 * stats.rank_error(800)).alias("within"))
+
+
 # scores
 
 
@@ -864,6 +888,28 @@ def list_shares(spark, sf):
     return X.table(spark, sf, "embeddings").select("vec_id", F.round(scalars.share_in(signs, ["p"]), 6).alias("share"), scalars.total([e[0], e[1], e[2]]).alias("total"))
 
 
+@query(
+    "SELECT CAST(event_id % 5 AS INT) AS part, NULL AS reason, event_id, user_id, CAST(json_extract(props, '$.k') AS SMALLINT) AS k, event_type AS item FROM events WHERE event_id % 5 IN (0, 1)"
+    " UNION ALL SELECT 3, 'type of user_id: STRING, not bigint', NULL, NULL, NULL, NULL UNION ALL SELECT 4, 'not JSON', NULL, NULL, NULL, NULL"
+)
+def landed_files(spark, sf):
+    """The events as JSON in five drops, of which one has users as texts, one has broken lines and one has been loaded
+    before: rows of the good new files, and the reasons of the others."""
+    part = F.col("event_id") % 5
+    e = X.table(spark, sf, "events").select(part.alias("part"), "event_id", "user_id", F.get_json_object("props", "$.k").cast("long").alias("k"), "event_type")
+    user = F.when(F.col("part") == 3, F.concat(F.lit('"u'), F.col("user_id").cast("string"), F.lit('"'))).otherwise(F.col("user_id").cast("string"))
+    entry = F.to_json(F.array(F.struct(F.lit("kind").alias("group"), F.col("event_type").alias("item"))))
+    line = F.concat(F.lit('{"events": [{"event_id": '), F.col("event_id").cast("string"), F.lit(', "user_id": '), user, F.lit(', "k": '), F.coalesce(F.col("k").cast("string"), F.lit("null")), F.lit(', "params": '), entry, F.when(F.col("part") == 4, "").otherwise("}]}"))
+    folder = shared_folder(spark)
+    e.select("part", line.alias("value")).write.partitionBy("part").text(folder)
+    fields = {"event_id": "bigint", "user_id": "bigint", "k": "smallint", "params": "entry"}
+    number = F.regexp_extract("source_file", "/part=([0-9]+)/", 1).cast("int").alias("part")
+    known = landing.lines(spark, f"{folder}/part=2").select("source_file").distinct()
+    rows, faults = landing.load(spark, folder, fields, ["event_id"], known=known)
+    why = faults.select(number, F.explode("reasons").alias("reason")).distinct()
+    return io.union_all([rows.select(number, F.lit(None).cast("string").alias("reason"), "event_id", "user_id", "k", F.col("params.item").alias("item")), why])
+
+
 @query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders")
 def day_numbers(spark, sf):
     number = F.date_format("o_orderdate", "yyyyMMdd").cast("long")

@@ -197,3 +197,31 @@ def stemmed(words: str, steps: list[list[tuple]]) -> str:
         cases = " ".join(f"WHEN length(s) > {longer} AND right(s, {n}) IN ({names(ends)}) THEN {f'({softened(less("s", drop))})' if soft else less('s', drop)}" for longer, n, ends, drop, soft in rules_)
         out.append(f"s{i + 1} AS (SELECT word, CASE {cases} ELSE s END AS s FROM s{i})")
     return ", ".join(out) + f", stems AS (SELECT word, CASE WHEN lower(word) = upper(word) THEN word ELSE s END AS s FROM s{len(steps)})"
+
+
+def german_stems(words: str) -> str:
+    """Table gstems (word, s) of the distinct lower-cased words of a table with column ``w``."""
+    v, c = f"[{text.GERMAN_VOWELS}]", f"[^{text.GERMAN_VOWELS}]"
+    marked = "replace(w, 'ß', 'ss')"
+    for letter in "uy":
+        marked = f"regexp_replace({marked}, '({v}){letter}({v})', '\\1{letter.upper()}\\2', 'g')"
+    after = lambda n: f"length(regexp_extract(w, '^({c}*{v}+{c}){{{n}}}', 0))"
+    has_end = lambda w, n, ends: f"right({w}, {n}) IN ({names(list(ends))})"
+    inside = lambda n, r: f"length(w) - {n} >= {r}"
+    cut = lambda n, r: f"CASE WHEN {inside(n, r)} THEN {less('w', n)} ELSE w END"
+    niss = lambda n: f"CASE WHEN {inside(n, 'r1')} THEN CASE WHEN {has_end(less('w', n), 4, ['niss'])} THEN {less('w', n + 1)} ELSE {less('w', n)} END ELSE w END"
+    one = f"CASE WHEN {has_end('w', 3, ['ern'])} THEN {cut(3, 'r1')} WHEN {has_end('w', 2, ['em', 'er'])} THEN {cut(2, 'r1')} WHEN {has_end('w', 2, ['en', 'es'])} THEN {niss(2)} WHEN right(w, 1) = 'e' THEN {niss(1)} WHEN right(w, 1) = 's' AND {has_end(less('w', 1), 1, text.S_ENDING)} THEN {cut(1, 'r1')} ELSE w END"
+    two = f"CASE WHEN {has_end('w', 3, ['est'])} THEN {cut(3, 'r1')} WHEN {has_end('w', 2, ['en', 'er'])} THEN {cut(2, 'r1')} WHEN right(w, 2) = 'st' AND {has_end(less('w', 2), 1, text.ST_ENDING)} AND length(w) >= 6 THEN {cut(2, 'r1')} ELSE w END"
+    rest = lambda n, yes, no: f"CASE WHEN {inside(n, 'r2')} THEN CASE WHEN {yes} ELSE {no} END ELSE w END"
+    kept = lambda n: rest(n, f"right({less('w', n)}, 1) = 'e' THEN w", less("w", n))
+    three = (
+        f"CASE WHEN {has_end('w', 4, ['lich', 'heit'])} THEN {rest(4, has_end(less('w', 4), 2, ['er', 'en']) + ' AND ' + inside(6, 'r1') + ' THEN ' + less('w', 6), less('w', 4))}"
+        f" WHEN right(w, 4) = 'keit' THEN {rest(4, has_end(less('w', 4), 4, ['lich']) + ' AND ' + inside(8, 'r2') + ' THEN ' + less('w', 8) + ' WHEN ' + has_end(less('w', 4), 2, ['ig']) + ' AND ' + inside(6, 'r2') + ' THEN ' + less('w', 6), less('w', 4))}"
+        f" WHEN right(w, 4) = 'isch' THEN {kept(4)}"
+        f" WHEN {has_end('w', 3, ['end', 'ung'])} THEN {rest(3, has_end(less('w', 3), 2, ['ig']) + ' AND right(' + less('w', 5) + ', 1) <> ' + q('e') + ' AND ' + inside(5, 'r2') + ' THEN ' + less('w', 5), less('w', 3))}"
+        f" WHEN {has_end('w', 2, ['ig', 'ik'])} THEN {kept(2)} ELSE w END"
+    )
+    return (
+        f"gm AS (SELECT DISTINCT w AS word, {marked} AS w FROM {words}), gr AS (SELECT *, CASE WHEN {after(1)} > 0 THEN greatest({after(1)}, least(length(w), 3)) ELSE length(w) END AS r1, CASE WHEN {after(2)} > 0 THEN {after(2)} ELSE length(w) END AS r2 FROM gm),"
+        f" g1 AS (SELECT word, r1, r2, {one} AS w FROM gr), g2 AS (SELECT word, r1, r2, {two} AS w FROM g1), gstems AS (SELECT word, translate({three}, 'UYäöü', 'uyaou') AS s FROM g2)"
+    )
