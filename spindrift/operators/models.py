@@ -5,8 +5,10 @@ from __future__ import annotations
 import json
 import warnings
 
-from pyspark.ml import PipelineModel, Transformer
+from pyspark.errors import AnalysisException
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,7 @@ from pyspark.sql import types as T
 from spindrift.functions import scalars
 from spindrift.operators import rank
 from spindrift.sources.session import fixed
+from spindrift.sources.versions import missing_path
 
 
 def fields_of(schema: T.StructType | str, label: str = "label") -> dict[str, list[str]]:
@@ -60,13 +63,14 @@ def probability(df: DataFrame, model: Transformer, name: str) -> DataFrame:
 
 
 def load(paths: dict[str, str], optional: bool = False) -> dict[str, PipelineModel | None]:
-    """Fitted models by name. With ``optional`` a model that can't be loaded is None, with a warning."""
+    """Fitted models by name. With ``optional`` a model whose path does not exist is None, with a warning; any other fault,
+    such as a lost cluster or a broken model, is an error."""
     found: dict[str, PipelineModel | None] = {}
     for name, path in paths.items():
         try:
             found[name] = PipelineModel.load(path)
-        except Exception as e:  # noqa: BLE001
-            if not optional:
+        except AnalysisException as e:
+            if not optional or not missing_path(e):
                 raise
             warnings.warn(f"model {name}: {e}", stacklevel=2)
             found[name] = None
@@ -88,6 +92,49 @@ def score_all(df: DataFrame, models: dict[str, Transformer | None], key: str = "
     return out.withColumns({f"{other}_{x}": 1 - F.col(f"{m}_{x}") for other, m in complement.items() for x in ("probability", "percentile")}) if complement else out
 
 
+def pipeline(fields: dict[str, list[str]], estimator, label: str = "label", drop_last: bool = False) -> Pipeline:
+    """Indexers and one encoder for the categories (unseen ones get a place of their own), an assembler with the numbers and
+    flags, and the estimator: one model to fit, save and load. Use of the fields as ``fields_of`` gives it."""
+    categories, plain = fields["categories"], fields["numbers"] + fields["flags"]
+    stages = []
+    places = [rank.free_name(categories + plain, f"{c}_place") for c in categories]
+    if categories:
+        codes = [rank.free_name([*categories, *plain, *places], f"{c}_code") for c in categories]
+        stages.append(StringIndexer(inputCols=categories, outputCols=codes, handleInvalid="keep", stringOrderType="frequencyDesc"))
+        stages.append(OneHotEncoder(inputCols=codes, outputCols=places, dropLast=drop_last, handleInvalid="error"))
+    stages.append(VectorAssembler(inputCols=[*plain, *places], outputCol="features"))
+    return Pipeline(stages=[*stages, estimator.setLabelCol(label).setFeaturesCol("features")])
+
+
+def save(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def feature_columns(model: PipelineModel, df: DataFrame) -> list[tuple[str, str]]:
+    """(name, column of ``df`` that it comes from) of each place of the assembled vector, from the vector's own metadata."""
+    out = df
+    for stage in model.stages[:-1]:
+        out = stage.transform(out)
+    attrs = out.schema[model.stages[-1].getFeaturesCol()].metadata["ml_attr"]["attrs"]
+    names = {a["idx"]: a["name"] for group in attrs.values() for a in group}
+    sources = {c: c for c in df.columns}
+    if isinstance(model.stages[0], StringIndexerModel):
+        sources |= dict(zip(model.stages[1].getOutputCols(), model.stages[0].getInputCols(), strict=True))
+
+    def source(name: str) -> str:
+        return next(sources[s] for s in sorted(sources, key=len, reverse=True) if name == s or name.startswith(f"{s}_"))
+
+    return [(names[i], source(names[i])) for i in range(len(names))]
+
+
+def column_importances(spark: SparkSession, model: PipelineModel, df: DataFrame) -> DataFrame:
+    """(feature, column, importance) of a pipeline's last stage, a tree model or a linear one: each encoded place by the
+    column it was made from."""
+    places = feature_columns(model, df)
+    found = importances(spark, model.stages[-1], [n for n, _ in places])
+    return found.join(spark.createDataFrame(places, "feature string, column string"), "feature").select("feature", "column", "importance")
+
+
 def importances(spark: SparkSession, model, columns: list[str]) -> DataFrame:
     """(feature, importance) of a fitted tree model or (absolute) coefficients."""
     values = getattr(model, "featureImportances", None)

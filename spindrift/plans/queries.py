@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spindrift.functions import scalars, text, urls
-from spindrift.operators import assemble, behaviour, dictionary, incremental, interests, lift, models, rank, scores, stats, targets
+from spindrift.operators import assemble, behaviour, dictionary, incremental, interests, lift, models, rank, scores, stats, synonyms, targets
 from spindrift.operators import sessions as S
 from spindrift.plans import sql as Q
 from spindrift.sources import fixtures as X
@@ -776,6 +777,50 @@ def feature_importance(spark, sf):
     return models.importances(spark, model, [f"x{i}" for i in range(model.numFeatures)])
 
 
+#: What a document's quality is told from, as a model's input.
+QUALITY_FIELDS = {"numbers": ["n_chars", "n_words"], "flags": ["blank_flag"], "categories": ["lang", "source"]}
+
+
+def quality_rows(spark: SparkSession, sf: str) -> DataFrame:
+    d = X.table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars", F.size(F.split(F.coalesce("text", F.lit("")), " ")).alias("n_words"), F.coalesce(F.trim("text") == "", F.lit(True)).cast("int").alias("blank_flag"))
+    rows = d.join(X.table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
+    return models.prepared(rows, QUALITY_FIELDS, {})
+
+
+def quality_model(spark: SparkSession, sf: str):
+    from pyspark.ml.classification import GBTClassifier
+
+    return models.pipeline(QUALITY_FIELDS, GBTClassifier(maxIter=5, maxDepth=3, seed=3)).fit(quality_rows(spark, sf).where("doc_id % 5 <> 0"))
+
+
+@query()
+def saved_model_score(spark, sf):
+    """Documents' quality by a boosted tree with its preparation steps, saved and loaded again; ``same``: whether the
+    loaded model says what the fitted one does."""
+    path, rows, model = shared_folder(spark), quality_rows(spark, sf), quality_model(spark, sf)
+    models.save(model, path)
+    loaded = models.load({"quality": path})
+    scored = models.score_all(rows, loaded, key="doc_id")
+    fitted_ = models.probability(rows, model, "p").select("doc_id", "p")
+    return scored.join(fitted_, "doc_id").select("doc_id", "quality_probability", "quality_percentile", (F.col("p") == F.col("quality_probability")).alias("same"))
+
+
+@query()
+def saved_model_importance(spark, sf):
+    return models.column_importances(spark, quality_model(spark, sf), quality_rows(spark, sf))
+
+
+@query()
+def word_synonyms(spark, sf):
+    """The three words nearest to each of the three most frequent ones, by vectors that were fitted, saved and loaded."""
+    path = shared_folder(spark)
+    d = X.table(spark, sf, "documents").select(text.tokens("text", unicode=True).alias("tokens"))
+    synonyms.save(synonyms.fit(d, "tokens", size=32, least=20), path)
+    model = synonyms.load(path)
+    asked = [r[0] for r in d.select(F.explode("tokens").alias("w")).groupBy("w").count().orderBy(F.desc("count"), "w").limit(3).collect()]
+    return io.union_all([synonyms.synonyms(model, [w], 3).select(F.lit(w).alias("asked"), "word", "score") for w in asked])
+
+
 # evaluation
 
 
@@ -910,6 +955,18 @@ def landed_files(spark, sf):
     return io.union_all([rows.select(number, F.lit(None).cast("string").alias("reason"), "event_id", "user_id", "k", F.col("params.item").alias("item")), why])
 
 
+@query("SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS price, o_orderstatus AS status FROM orders")
+def jdbc_ranges(spark, sf):
+    """Orders written to a database twice (the second empties the table first) and read back in eight measured ranges.
+    The database is Derby inside the driver's process, so this query is for a session on one machine."""
+    url, table = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true", "ORDERS_COPY"
+    o = X.table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").cast("double").alias("price"), F.col("o_orderstatus").alias("status"))
+    o = o.coalesce(4)  # connections that write at a time
+    io.write_jdbc(o.where("o_orderkey % 2 = 0"), url, table)
+    io.write_jdbc(o, url, table, mode="overwrite")
+    return io.read_jdbc(spark, url, table, '"o_orderkey"', parts=8)
+
+
 @query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders")
 def day_numbers(spark, sf):
     number = F.date_format("o_orderdate", "yyyyMMdd").cast("long")

@@ -26,8 +26,23 @@ def weights(found):
     assert len(found) == 64 and found.importance.notna().all() and found.importance.abs().sum() > 0 and found.feature.is_unique
 
 
+def saved_scores(found):
+    assert len(found) > 50 and found.same.all() and found.quality_probability.between(0, 1).all()
+    p = found.quality_probability
+    assert ((p.rank(method="min") - 1) / (len(p) - 1) - found.quality_percentile).abs().max() < 1e-9
+
+
+def tree_weights(found):
+    assert set(found["column"]) == {"n_chars", "n_words", "blank_flag", "lang", "source"} and found.feature.is_unique
+    assert abs(found.importance.sum() - 1) < 1e-9 and (found.importance >= 0).all()
+
+
+def nearest_words(found):
+    assert len(found) == 9 and found.groupby("asked").size().eq(3).all() and found.score.abs().le(1 + 1e-9).all() and (found.word != found.asked).all()
+
+
 #: What must hold for queries without SQL.
-CHECKS = {"lookalike_score": scores_and_ranks, "sociodemo_score": scores_and_ranks, "feature_importance": weights}
+CHECKS = {"saved_model_score": saved_scores, "saved_model_importance": tree_weights, "word_synonyms": nearest_words, "lookalike_score": scores_and_ranks, "sociodemo_score": scores_and_ranks, "feature_importance": weights}
 
 
 @pytest.mark.parametrize("name", sorted(plans.QUERIES))
