@@ -96,7 +96,7 @@ def first_per_url(spark, sf):
 def upsert(spark, sf):
     c = X.table(spark, sf, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
     updates = c.where("c_custkey % 5 = 0").withColumn("segment", F.lit("updated")).unionByName(c.where("c_custkey % 7 = 0").select((F.col("c_custkey") + 1_000_000_000).alias("c_custkey"), F.lit("new").alias("segment")))
-    return incremental.upsert(c, updates, "c_custkey", check=False)
+    return incremental.upsert(c, updates, "c_custkey")
 
 
 @query(
@@ -414,27 +414,25 @@ def interest_tokens(spark, sf):
     return interests.interest_tokens(defined).select("interest", "token")
 
 
-@query(f"WITH p AS (SELECT quality, {FOLDED} AS x FROM documents JOIN labels USING (doc_id)) SELECT interest, count(*) AS n, md5(string_agg(token, '|' ORDER BY encode(token))) AS digest FROM (SELECT DISTINCT CAST(quality AS VARCHAR) AS interest, unnest({BIGRAMS.replace('t[', 'x[').replace('len(t)', 'len(x)')}) AS token FROM p) GROUP BY 1")
+@query(f"WITH p AS (SELECT quality, {FOLDED} AS x FROM documents JOIN labels USING (doc_id)) SELECT DISTINCT CAST(quality AS VARCHAR) AS interest, unnest({BIGRAMS.replace('t[', 'x[').replace('len(t)', 'len(x)')}) AS token FROM p")
 def interest_bigrams(spark, sf):
     """The distinct bigrams of the texts of each quality, as an interest's dictionary."""
     d = X.table(spark, sf, "documents").join(X.table(spark, sf, "labels"), "doc_id")
     defined = d.select(F.col("quality").cast("string").alias("subinterest"), F.array().cast("array<string>").alias("keywords"), F.array("text").alias("keywords_bigrams"))
-    tokens = interests.interest_tokens(defined, bigrams=True)
-    return tokens.groupBy("interest").agg(F.count("*").alias("n"), F.md5(F.array_join(F.array_sort(F.collect_list("token")), "|")).alias("digest"))
+    return interests.interest_tokens(defined, bigrams=True).select("interest", "token")
 
 
 @query(
     f"WITH d AS (SELECT role AS subinterest, CAST(turn % 4 AS VARCHAR) AS general_interest, {FOLDED} AS x, turn % 4 < 2 AS paired FROM conversations),"
     f" one AS (SELECT DISTINCT subinterest, general_interest, unnest(x) AS token FROM d), two AS (SELECT DISTINCT subinterest, general_interest, unnest({BIGRAMS.replace('t[', 'x[').replace('len(t)', 'len(x)')}) AS token FROM d WHERE paired),"
-    " a AS (SELECT * FROM one UNION SELECT * FROM two) SELECT subinterest, general_interest, count(*) AS n, md5(string_agg(token, '|' ORDER BY encode(token))) AS digest FROM a SEMI JOIN two USING (subinterest, general_interest) GROUP BY 1, 2"
+    " a AS (SELECT * FROM one UNION SELECT * FROM two) SELECT subinterest, general_interest, token FROM a SEMI JOIN two USING (subinterest, general_interest)"
 )
 def interest_pairs(spark, sf):
     """Keywords and bigrams of (speaker, turn modulo four) as interests; the later two turns have no bigrams."""
     rows = X.table(spark, sf, "conversations").select(
         F.col("role").alias("subinterest"), (F.col("turn") % 4).cast("string").alias("general_interest"), F.array("text").alias("keywords"), F.when(F.col("turn") % 4 < 2, F.array("text")).alias("keywords_bigrams")
     )
-    d = interests.paired_dictionary(rows)
-    return d.groupBy("subinterest", "general_interest").agg(F.count("*").alias("n"), F.md5(F.array_join(F.array_sort(F.collect_list("token")), "|")).alias("digest"))
+    return interests.paired_dictionary(rows).select("subinterest", "general_interest", "token")
 
 
 def vocabulary(spark: SparkSession, general: bool = False) -> DataFrame:
@@ -465,6 +463,15 @@ def legacy_affinity(spark, sf):
     return interests.affinities(interests.tokens_of_interest(X.views(spark, sf), v), v, variant="tanh")
 
 
+@query(f"WITH {Q.AFFINITY} SELECT user_id, interest, round(round(1 / (1 + exp(-(0.25 + 0.5 * share * s) + 4 * exp(-s))), 5) - 0.02298, 6) AS affinity, round(greatest(tanh(ln(0.5 + s)), 0), 5) AS plain FROM sums JOIN rar USING (interest)")
+def affinity_of_one_window(spark, sf):
+    """Affinities that count all views in one window, beside the form without rarity."""
+    v = vocabulary(spark)
+    tokens = interests.tokens_of_interest(X.views(spark, sf), v)
+    one, plain = interests.affinities(tokens, v, windows=1), interests.affinities(tokens, v, variant="tanh").withColumnRenamed("affinity", "plain")
+    return one.join(plain, ["user_id", "interest"]).select("user_id", "interest", *r6("affinity"), "plain")
+
+
 # ranks and statistics
 
 
@@ -686,6 +693,18 @@ def sociodemo_target(spark, sf):
     return targets.resolved(targets.trusted(h, ["click", "view"], "owner_name"))
 
 
+@query(
+    f"WITH {Q.HITS}, d AS (SELECT device AS user_id, CASE WHEN owner_name = 'click' THEN {AGE} ELSE 'unknown' END AS age, CASE WHEN owner_name = 'click' THEN {GENDER} ELSE 'unknown' END AS gender FROM raw_hits WHERE device <> '' AND event_id % 3 = 0),"
+    f" l AS (SELECT user_id, nullif({BAND}, 'unknown') AS a, CASE gender WHEN '1' THEN '0' WHEN '2' THEN '1' END AS g FROM d), t AS (SELECT user_id, CASE WHEN min(a) = max(a) THEN min(a) ELSE 'unknown' END AS target_age, CASE WHEN min(g) = max(g) THEN min(g) ELSE 'unknown' END AS target_gender FROM l GROUP BY 1)"
+    " SELECT c_custkey AS customer, target_age, target_gender FROM customer LEFT JOIN t ON t.user_id = CAST(c_custkey AS VARCHAR)"
+)
+def sociodemo_target_of_users(spark, sf):
+    """Targets of given users; NULL for those who declared nothing."""
+    h = targets.declared(X.hits(spark, sf).where("device <> '' AND event_id % 3 = 0")).withColumnsRenamed({"device": "user_id"})
+    users = X.table(spark, sf, "customer").select(F.col("c_custkey").alias("customer"), F.col("c_custkey").cast("string").alias("user_id"))
+    return targets.resolved(targets.trusted(h, ["click"], "owner_name"), users).select("customer", "target_age", "target_gender")
+
+
 MODELS = [("buyers", "purchase:0, signup:1"), ("readers", "view:2"), ("none", "absent")]
 
 
@@ -707,8 +726,8 @@ def segment_ids(spark, sf):
 
 @query("SELECT DISTINCT CAST(user_id AS VARCHAR) AS user_id, event_type AS segment_id FROM events")
 def segment_members(spark, sf):
-    landed = X.table(spark, sf, "events").groupBy(F.col("event_type").alias("segment_id"), F.to_date("ts").alias("d")).agg(F.collect_set(F.struct(F.col("user_id").cast("string").alias("userId"))).alias("events"))
-    return targets.ingest_members(landed)
+    pages = X.table(spark, sf, "events").groupBy(F.col("event_type").alias("segment_id"), F.expr("event_id div 100").alias("page"))  # a response has a hundred events at most
+    return targets.ingest_members(pages.agg(F.collect_list(F.struct(F.col("user_id").cast("string").alias("userId"))).alias("events")))
 
 
 @query("SELECT c.c_custkey AS id, c.c_name AS name, CASE WHEN c.c_custkey % 3 = 0 THEN c.c_mktsegment END AS model FROM customer c")
