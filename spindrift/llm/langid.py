@@ -194,10 +194,10 @@ def identify(docs: DataFrame, per_lang: int = 400, pieces: int = 4, net: Network
     return rows.mapInArrow(lambda b: trimmed(predicted(b, net)), SCHEMA)
 
 
-def keep_identified(docs: DataFrame, least: float = 0.9, **fit_options: int) -> DataFrame:
+def keep_identified(docs: DataFrame, least: float = 3.0, **fit_options: int) -> DataFrame:
     """Documents in which a language can be told, with the input's columns. Rejected are texts without a letter and those
-    that the network holds for letters of no language (``und``, learnt from scrambled windows) with a probability of
-    ``least`` or more. Where no row has a label, nothing is known of languages and only texts without a letter go. A
+    that the network holds for letters of no language (``und``, learnt from scrambled windows), if the log odds of that,
+    times the text's bytes in windows, reach ``least``: a few words with a number or an address are never enough. Where no row has a label, nothing is known of languages and only texts without a letter go. A
     row's decision is taken where the row is read; nothing is joined."""
     net = fit(docs, noise=True, **fit_options)
     lettered = F.coalesce(F.col("text").cast("string").rlike(r"\p{L}"), F.lit(False))
@@ -210,7 +210,9 @@ def keep_identified(docs: DataFrame, least: float = 0.9, **fit_options: int) ->
         for batch in batches:
             lean = pa.RecordBatch.from_arrays(batch.columns[len(names) :], names=list(extra))
             found = next(predicted(iter([lean]), net))
-            none = pc.and_(pc.equal(found.column(2), "und"), pc.greater_equal(found.column(3), least))
+            p = np.clip(found.column(3).to_numpy(), 1e-9, 1 - 1e-9)
+            size = pc.fill_null(pc.binary_length(lean.column(1)), 0).to_numpy(zero_copy_only=False)
+            none = pc.and_(pc.equal(found.column(2), "und"), pa.array(np.log(p / (1 - p)) * size / WINDOW >= least))
             good = pc.and_(lean.column(3), pc.invert(none))
             yield pa.RecordBatch.from_arrays(batch.columns[: len(names)], names=names).filter(good)
 

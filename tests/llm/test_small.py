@@ -321,7 +321,7 @@ def test_language(spark):
     clashing = df.selectExpr("*", "1 AS __pred", "2 AS held_out", "3 AS lettered", "4 AS __text")
     kept = langid.keep_identified(clashing)
     assert kept.dtypes == clashing.dtypes and kept.count() == 241
-    assert langid.keep_identified(df, least=1.1).count() == 241  # no probability reaches the limit
+    assert langid.keep_identified(df, least=float("inf")).count() == 241  # no odds reach the limit
     bare = df.drop("lang").selectExpr("*", "cast(null as string) AS lang")
     assert langid.keep_identified(bare).count() == 241  # nothing is known of languages: all with letters stay
     assert {r.lang_pred for r in langid.identify(df.drop("lang").selectExpr("*", "cast(null as string) AS lang")).collect()} == {"und"}
