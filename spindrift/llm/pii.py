@@ -5,9 +5,16 @@ Candidates are the matches of the base patterns (with those that fail a base che
 patterns: numbers with a phone's grouping but no plus, spelt-out mail addresses, secrets in assignments, social security
 numbers, IBANs. Labelers: the strict pattern and its check (regex), lists of top-level domains, calling codes, issuers
 and address ranges (gazetteer), words before the span (context), and what touches it (edge). Each votes 1, 0 or
-abstains (-1). Votes are counted by kind and pattern over all documents; these counts, at most a few hundred rows
-whatever the input's size, are all that reaches the driver, where the two small fits run. The classifier is then a
-Column expression. Base spans always stay. Accepted others are added unless they overlap a base span or begin within
+abstains (-1). Votes are counted by kind and pattern over all documents, and expectation-maximisation turns them into a
+posterior for each candidate.
+
+The classifier reads what no labeler sees: the shape of the match and the words left and right of it, each hashed into
+BUCKETS. Posteriors are summed by pattern, feature and bucket over all documents; a bucket's evidence is its log odds
+against its pattern's, drawn towards none where few candidates fell into it. A logistic model without votes, fitted to
+the posteriors over rounded evidence, weighs the three features. A span's chance adds this evidence to the labelers'
+log odds, so that a word which often stands before confirmed spans speaks for the unconfirmed ones after it. All that
+reaches the driver are counts by votes (hundreds of rows), sums by bucket and counts by rounded evidence (thousands),
+whatever the input's size; the classifier is then a Column expression. Base spans always stay. Accepted others are added unless they overlap a base span or begin within
 another that begins before them (of those that begin together, the longer stands, then the earlier kind).
 
 Patterns are possessive, and start where a run of their first characters starts, so no text makes them backtrack far.
@@ -49,9 +56,18 @@ TLDS = "com org net edu gov io co info biz dev app ai me tv uk de fr es it nl eu
 CALLING = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
 CONTEXT = {
     "email": "mail|contact|write|e-?mail|reach", "ip": r"\bip\b|host|server|addr", "card": "card|visa|credit|debit|pay", "phone": "phone|tel|call|fax|mobile|cell|dial",
-    "secret": "", "ssn": "ssn|social|security", "iban": "iban|bank|account",
+    "secret": "key|auth|log ?in|config|export|credential|env|bearer|header", "ssn": "ssn|social|security", "iban": "iban|bank|account",
 }
+#: Words before values that only stand for a secret.
+INVENTED = "example|sample|placeholder|dummy|fake|your"
 LABELERS = ["regex", "gazetteer", "context", "edge"]
+#: Labelers whose abstentions are no evidence, and the largest log odds of each labeler's vote: words beside a span
+#: must not outweigh a failed check.
+SILENT, BELIEF = ["regex", "gazetteer"], {"regex": 6.0, "gazetteer": 3.0, "context": 3.0, "edge": 3.0}
+#: What the classifier reads of a candidate, and the buckets of each.
+FEATURES, BUCKETS = ["shape", "left", "right"], 256
+#: Candidates' worth of its pattern's odds that each bucket is given, and the largest evidence either way.
+PRIOR, MOST = 4.0, 4
 
 
 #: Items in a stride of an array: running totals are taken within strides and over the strides' totals.
@@ -135,8 +151,10 @@ def votes(source: str, kind: str, m: Column, left: Column, right: Column) -> dic
         "ssn": ~m.rlike("^(?:000|666|9)"),
         "iban": F.length(F.regexp_replace(m, " ", "")).between(15, 34),
     }[kind]
-    said = F.when(F.lower(left).rlike(CONTEXT[kind]), 1).otherwise(-1) if CONTEXT[kind] else F.lit(1)
-    touched = F.substring(left, -1, 1).rlike("[A-Za-z0-9]") | right.rlike("[A-Za-z0-9]")
+    said = F.when(F.lower(left).rlike(CONTEXT[kind]), 1).otherwise(-1)
+    if kind == "secret":  # the name that is assigned to is a context of its own
+        said = F.when(F.lower(left).rlike(INVENTED), 0).when(m.contains("="), 1).otherwise(said)
+    touched = F.substring(left, -1, 1).rlike("[A-Za-z0-9]") | F.substring(right, 1, 1).rlike("[A-Za-z0-9]")
     return {
         "regex": F.when(base_check(source, m), 1).otherwise(0) if source in BASE_KINDS else F.lit(-1),
         "gazetteer": F.coalesce(F.when(known, 1).otherwise(F.when(known.isNull(), -1).otherwise(0)), F.lit(-1)),
@@ -145,16 +163,24 @@ def votes(source: str, kind: str, m: Column, left: Column, right: Column) -> dic
     }
 
 
-CANDIDATES = "array<struct<kind:int,start:int,stop:int,base:boolean,regex:int,gazetteer:int,context:int,edge:int>>"
+def traits(m: Column, left: Column, right: Column) -> dict[str, Column]:
+    """The FEATURES of a match as buckets: letters and digits of the match by place, and its neighbour words."""
+    shape = F.regexp_replace(F.regexp_replace(m, r"\p{L}+", "a"), "[0-9]", "9")
+    words = {"left": F.regexp_extract(F.lower(left), r"(\p{L}+)\P{L}*$", 1), "right": F.regexp_extract(F.lower(right), r"^\P{L}*(\p{L}+)", 1)}
+    return {k: F.pmod(F.xxhash64(v), F.lit(BUCKETS)) for k, v in {"shape": shape, **words}.items()}
+
+
+CANDIDATES = f"array<struct<kind:int,source:int,start:int,stop:int,base:boolean,{','.join(f'{k}:int' for k in [*LABELERS, *FEATURES])}>>"
 
 
 def voter(source: str, kind: str):
-    """A match as a candidate of the source, with its votes."""
+    """A match as a candidate of the source, with its votes and features."""
 
     def vote(x: Column) -> Column:
-        v = votes(source, kind, x["m"], x["l"], x["r"])
+        v = votes(source, kind, x["m"], x["l"], x["r"]) | traits(x["m"], x["l"], x["r"])
         base = base_check(source, x["m"]) if source in BASE_KINDS else F.lit(False)
-        return F.struct(F.lit(KINDS.index(kind)).alias("kind"), x["start"].alias("start"), x["stop"].alias("stop"), base.alias("base"), *[v[k].cast("int").alias(k) for k in LABELERS])
+        place = [F.lit(KINDS.index(kind)).alias("kind"), F.lit(list(SOURCES).index(source)).alias("source"), x["start"].alias("start"), x["stop"].alias("stop")]
+        return F.struct(*place, base.alias("base"), *[v[k].cast("int").alias(k) for k in [*LABELERS, *FEATURES]])
 
     return vote
 
@@ -169,7 +195,7 @@ def candidates(docs: DataFrame, text: str, keep: list[str], name: str) -> DataFr
 
     def located(parts: Column) -> Column:
         sizes = F.transform(parts, lambda x: F.length(x["l"]) + F.length(x["m"]))
-        return F.zip_with(parts, running(sizes, add, 0), lambda x, end: F.struct(x["m"].alias("m"), F.substring(x["l"], -30, 30).alias("l"), F.substring(x["r"], 1, 1).alias("r"), (end - F.length(x["m"])).alias("start"), end.alias("stop")))
+        return F.zip_with(parts, running(sizes, add, 0), lambda x, end: F.struct(x["m"].alias("m"), F.substring(x["l"], -30, 30).alias("l"), F.substring(x["r"], 1, 20).alias("r"), (end - F.length(x["m"])).alias("start"), end.alias("stop")))
 
     digits = lambda x: F.length(F.regexp_replace(x["m"], "[^0-9]", ""))
     lists = []
@@ -184,52 +210,109 @@ def candidates(docs: DataFrame, text: str, keep: list[str], name: str) -> DataFr
     return df.select(*keep, F.concat(*lists).alias(name))
 
 
-def reliabilities(rows: list[tuple[int, tuple[int, ...], int]], rounds: int = 50) -> np.ndarray:
-    """Posterior of each (kind, votes, count) row being personal data: two-class expectation-maximisation with a prior
-    for each kind and, for each labeler, the chances of its votes given the class; add-one smoothing."""
+def vote_weights(rows: list[tuple[int, tuple[int, ...], int]], rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
+    """Log odds by kind, and by labeler and vote (-1, 0, 1), from (kind, votes, count) rows: two-class
+    expectation-maximisation with a prior for each kind and the chances of a labeler's votes given the class; add-one
+    smoothing. Regex and gazetteer abstain where a pattern has no check or list, which says nothing of the span, so that
+    their abstentions count for neither class. No vote moves the log odds by more than BELIEF says."""
+    if not rows:
+        return np.zeros(len(KINDS)), np.zeros((len(LABELERS), 3))
     kinds = np.asarray([r[0] for r in rows])
     vote = np.asarray([r[1] for r in rows]) + 1
     count = np.asarray([r[2] for r in rows], float)
-    p = ((vote == 2).sum(1) + 0.5) / ((vote == 2).sum(1) + (vote == 0 + 1).sum(1) + 1.0)
+    most = np.asarray([[BELIEF[k]] for k in LABELERS])
+    p = ((vote == 2).sum(1) + 0.5) / ((vote == 2).sum(1) + (vote == 1).sum(1) + 1.0)
     for _ in range(rounds):
-        score = np.zeros((len(rows), 2))
+        prior, said = np.zeros((2, len(KINDS))), np.zeros((2, vote.shape[1], 3))
         for c, w in enumerate((count * (1 - p), count * p)):
+            prior[c] = np.log(np.bincount(kinds, weights=w, minlength=len(KINDS)) + 1.0)
             for k in range(vote.shape[1]):
                 share = np.bincount(vote[:, k], weights=w, minlength=3) + 1.0
-                score[:, c] += np.log(share / share.sum())[vote[:, k]]
-            prior = np.bincount(kinds, weights=w, minlength=len(KINDS)) + 1.0
-            score[:, c] += np.log(prior)[kinds]
-        p = 1 / (1 + np.exp(np.clip(score[:, 0] - score[:, 1], -50, 50)))
-    return p
+                if LABELERS[k] in SILENT:
+                    said[c, k, 1:] = np.log(share[1:] / share[1:].sum())
+                else:
+                    said[c, k] = np.log(share / share.sum())
+        by_kind, by_vote = prior[1] - prior[0], np.clip(said[1] - said[0], -most, most)
+        p = logistic(by_kind[kinds] + by_vote[np.arange(vote.shape[1]), vote].sum(1))
+    return by_kind, by_vote
+
+
+def logistic(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
+
+
+def reliabilities(rows: list[tuple[int, tuple[int, ...], int]], rounds: int = 50) -> np.ndarray:
+    """Posterior of each (kind, votes, count) row being personal data."""
+    by_kind, by_vote = vote_weights(rows, rounds)
+    return logistic(np.asarray([by_kind[k] + sum(by_vote[i, v + 1] for i, v in enumerate(vote)) for k, vote, _ in rows]))
 
 
-def features(kind: int, vote: tuple[int, ...]) -> list[float]:
-    return [1.0, *[float(kind == i) for i in range(len(KINDS))], *[float(v == x) for v in vote for x in (0, 1)]]
+def listed(values: np.ndarray) -> Column:
+    """Numbers as one array literal."""
+    return F.split(F.lit(",".join(f"{float(v):.6f}" for v in values.ravel())), ",").cast("array<double>")
 
 
-def classifier(rows: list[tuple[int, tuple[int, ...], int]]) -> list[float]:
-    """Weights of a logistic model of features() fitted to the posteriors, by Newton steps with a small ridge."""
+def vote_odds(c: Column, by_kind: np.ndarray, by_vote: np.ndarray) -> Column:
+    """The labelers' log odds of a candidate."""
+    z = F.get(listed(by_kind), c["kind"])
+    for name, odds in zip(LABELERS, by_vote, strict=True):
+        z = z + F.get(listed(odds), c[name] + 1)
+    return z
+
+
+def chance(z: Column) -> Column:
+    return 1 / (1 + F.exp(-F.greatest(F.least(z, F.lit(50.0)), F.lit(-50.0))))
+
+
+def evidence(sums: list[tuple[int, int, int, float, int]]) -> np.ndarray:
+    """[feature, source, bucket] from (source, feature, bucket, sum of posteriors, count) rows."""
+    yes, n = np.zeros((len(FEATURES), len(SOURCES), BUCKETS)), np.zeros((len(FEATURES), len(SOURCES), BUCKETS))
+    for source, f, bucket, p, count in sums:
+        yes[f, source, bucket], n[f, source, bucket] = p, count
+    share = (yes.sum(2, keepdims=True) + 0.5) / (n.sum(2, keepdims=True) + 1.0)
+    odds = np.log((yes + PRIOR * share) / (np.maximum(n - yes, 0.0) + PRIOR * (1 - share))) - np.log(share / (1 - share))
+    return np.clip(odds, -MOST, MOST)
+
+
+def slopes(rows: list[tuple[int, tuple[int, ...], float, int]]) -> list[float]:
+    """Weights (0 to 1) of the FEATURES' evidence in a logistic model with a constant for each source, fitted to the mean
+    posteriors of (source, evidence, sum of posteriors, count) rows by Newton steps with a small ridge."""
     if not rows:
-        return [0.0] * len(features(0, (0,) * len(LABELERS)))
-    p = reliabilities(rows)
-    x = np.asarray([features(k, v) for k, v, _ in rows])
-    n = np.asarray([r[2] for r in rows], float)
+        return [0.0] * len(FEATURES)
+    x = np.asarray([[*[float(s == i) for i in range(len(SOURCES))], *map(float, e)] for s, e, _, _ in rows])
+    n = np.asarray([r[3] for r in rows], float)
+    p = np.asarray([r[2] for r in rows]) / n
     n = n / n.sum() * len(rows)
     w = np.zeros(x.shape[1])
     for _ in range(30):
-        q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        q = logistic(x @ w)
         grad = x.T @ (n * (q - p)) + 0.05 * w
         w -= np.linalg.solve((x * (n * q * (1 - q))[:, None]).T @ x + 0.05 * np.eye(len(w)), grad)
-    return [float(v) if math.isfinite(v) else 0.0 for v in w]
+    return [float(min(max(v, 0.0), 1.0)) if math.isfinite(v) else 0.0 for v in w[len(SOURCES) :]]
+
+
+def classifier(rows: DataFrame, name: str) -> Callable[[Column], Column]:
+    """The chance of a candidate being personal data, learnt from all candidates in the column ``name``."""
+    found = rows.select(F.explode(name).alias("c"))
+    counted = found.groupBy("c.kind", *[f"c.{k}" for k in LABELERS]).count().collect()
+    weights = vote_weights(sorted((r[0], tuple(r[1:-1]), r[-1]) for r in counted))
+    # in millionths, so that sums do not depend on the order of rows
+    share = F.round(chance(vote_odds(F.col("c"), *weights)) * 1_000_000).cast("long").alias("p")
+    marks = F.array(*[F.struct(F.lit(i).alias("feature"), F.col(f"c.{k}").alias("bucket")) for i, k in enumerate(FEATURES)])
+    summed = found.select("c.source", share, F.explode(marks).alias("f")).groupBy("source", "f.feature", "f.bucket").agg(F.sum("p"), F.count("*"))
+    tables = evidence([(r[0], r[1], r[2], r[3] / 1e6, r[4]) for r in summed.collect()])
+    told = lambda c: [F.get(listed(t), c["source"] * BUCKETS + c[k]) for k, t in zip(FEATURES, tables, strict=True)]
+    level = [F.round(e).cast("int").alias(k) for k, e in zip(FEATURES, told(F.col("c")), strict=True)]
+    levels = found.select("c.source", *level, share).groupBy("source", *FEATURES).agg(F.sum("p"), F.count("*"))
+    by = slopes(sorted((r[0], tuple(r[1:-2]), r[-2] / 1e6, r[-1]) for r in levels.collect()))
 
+    def decide(c: Column) -> Column:
+        z = vote_odds(c, *weights)
+        for slope, e in zip(by, told(c), strict=True):
+            z = z + F.lit(slope) * e
+        return chance(z)
 
-def chance(c: Column, weights: list[float]) -> Column:
-    """The classifier as an expression over a candidate."""
-    z = F.lit(weights[0]) + F.element_at(F.array(*[F.lit(v) for v in weights[1 : 1 + len(KINDS)]]), c["kind"] + 1)
-    for i, name in enumerate(LABELERS):
-        zero, one = weights[1 + len(KINDS) + 2 * i : 3 + len(KINDS) + 2 * i]
-        z = z + F.when(c[name] == 0, F.lit(zero)).when(c[name] == 1, F.lit(one)).otherwise(F.lit(0.0))
-    return 1 / (1 + F.exp(-z))
+    return decide
 
 
 def without_overlaps(base: Column, more: Column) -> Column:
@@ -252,12 +335,10 @@ def without_overlaps(base: Column, more: Column) -> Column:
 def decided(docs: DataFrame, text: str, keep: list[str], name: str, threshold: float = 0.5) -> DataFrame:
     """``keep`` columns and ``name``: sorted array of (kind, start, stop, base) of all accepted spans of ``text``."""
     rows = cut(candidates(docs, text, keep, name))
-    counted = rows.select(F.explode(name).alias("c")).groupBy("c.kind", *[f"c.{k}" for k in LABELERS]).count()
-    counts = sorted((r[0], tuple(r[1 : 1 + len(LABELERS)]), r["count"]) for r in counted.collect())
-    weights = classifier(counts)
+    decide = classifier(rows, name)
     slim = lambda c: F.struct(c["start"].alias("start"), (~c["base"]).alias("added"), c["stop"].alias("stop"), c["kind"].alias("kind"))
     base = F.transform(F.filter(name, lambda c: c["base"]), slim)
-    more = F.transform(F.filter(name, lambda c: ~c["base"] & (chance(c, weights) >= threshold)), slim)
+    more = F.transform(F.filter(name, lambda c: ~c["base"] & (decide(c) >= threshold)), slim)
     named = lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["stop"].alias("stop"), (~x["added"]).alias("base"))
     two = rows.select(*keep, F.struct(base.alias("base"), more.alias("more")).alias(name))
     b, m = F.col(name)["base"], F.col(name)["more"]
