@@ -521,7 +521,6 @@ def replaced_levels(spark, sf):
 
 @query("WITH o AS (SELECT n_chars, row_number() OVER (ORDER BY n_chars) AS r, count(*) OVER () AS n, avg(n_chars) OVER () AS m FROM documents WHERE n_chars IS NOT NULL) SELECT round(m, 6) AS mean, CAST(i - 1 AS INT) AS place, n_chars AS percentile FROM o, range(1, 10) AS g(i) WHERE r = (i * n + 9) // 10")
 def column_percentiles(spark, sf):
-    """Exact while the values are fewer than the sketch's accuracy."""
     found = stats.column_stats(X.table(spark, sf, "documents"), "n_chars", 10)
     return found.select(F.round("mean", 6).alias("mean"), F.posexplode("percentiles").alias("place", "percentile"))
 

@@ -87,3 +87,13 @@ def test_the_table_is_scanned_twice(spark):
     finally:
         type(df).collect, type(df).first = collect, first
     assert len(seen) <= 3  # first() may go through collect()
+
+
+@pytest.mark.parametrize("k", [2, 7, 10])
+def test_percentiles_of_more_values_than_a_sketch_holds(spark, k):
+    values = sorted(random.Random(k).choices(range(10**6), k=30_011))
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "x int").repartition(5)
+    found = stats.column_stats(df, "x", k).first()
+    assert found.percentiles == [values[-(-i * len(values) // k) - 1] for i in range(1, k)]
+    assert found.mean == pytest.approx(sum(values) / len(values))
+    assert tuple(stats.column_stats(df.where("x IS NULL"), "x", k).first()) == (None, None)
