@@ -10,11 +10,11 @@ from spindrift.functions import scalars, text
 
 def keyword_tokens(definitions: DataFrame, keys: list[str], fields: list[str], bigrams: bool, variant: str) -> DataFrame:
     """(keys, token), distinct: the folded, cleaned (or stemmed) tokens of the keywords in all ``fields``; with ``bigrams``
-    a keyword of several words gives its bigrams."""
+    a keyword of several words gives its bigrams, whatever stands between them, and one of a single word that word."""
     rows = definitions.select(*keys, F.explode(text.pooled([F.col(f) for f in fields], distinct=False)).alias("keyword"))
     words = text.clean_tokens(text.fold("keyword"))
     words = text.stem_czech(words) if variant.startswith("stemmed") else words
-    words = F.when(F.col("keyword").contains(" "), text.ngrams(words)).otherwise(words) if bigrams else words
+    words = F.when(F.size(words) > 1, text.ngrams(words)).otherwise(words) if bigrams else words
     return rows.select(*keys, F.explode(words).alias("token")).distinct()
 
 

@@ -419,7 +419,8 @@ def interest_bigrams(spark, sf):
     """The distinct bigrams of the texts of each quality, as an interest's dictionary."""
     d = X.table(spark, sf, "documents").join(X.table(spark, sf, "labels"), "doc_id")
     defined = d.select(F.col("quality").cast("string").alias("subinterest"), F.array().cast("array<string>").alias("keywords"), F.array("text").alias("keywords_bigrams"))
-    return interests.interest_tokens(defined, bigrams=True).select("interest", "token")
+    found = interests.interest_tokens(defined, bigrams=True).select("interest", "token")
+    return found.where(F.col("token").contains(" "))  # a text of one word has no bigram
 
 
 @query(
@@ -429,8 +430,9 @@ def interest_bigrams(spark, sf):
 )
 def interest_pairs(spark, sf):
     """Keywords and bigrams of (speaker, turn modulo four) as interests; the later two turns have no bigrams."""
+    paired = (F.col("turn") % 4 < 2) & (F.size(text.clean_tokens(text.fold("text"))) > 1)  # a text of one word has no bigram
     rows = X.table(spark, sf, "conversations").select(
-        F.col("role").alias("subinterest"), (F.col("turn") % 4).cast("string").alias("general_interest"), F.array("text").alias("keywords"), F.when(F.col("turn") % 4 < 2, F.array("text")).alias("keywords_bigrams")
+        F.col("role").alias("subinterest"), (F.col("turn") % 4).cast("string").alias("general_interest"), F.array("text").alias("keywords"), F.when(paired, F.array("text")).alias("keywords_bigrams")
     )
     return interests.paired_dictionary(rows).select("subinterest", "general_interest", "token")
 

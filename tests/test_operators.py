@@ -229,6 +229,23 @@ def test_paired_dictionary(spark):
     assert sorted(map(tuple, d.collect())) == [("s1", "g", "sea"), ("s1", "g", "sea side"), ("s1", "g", "side")]
 
 
+def test_bigrams_of_texts_without_spaces(spark, tmp_path):
+    """Texts of one word have no bigram, and words may be parted by other signs: queries and SQL agree."""
+    from spindrift.plans import queries as plans
+    from tests.compare import TABLES, rows, sql_rows
+
+    texts = ["eaux", "red\nfoxes", "the sea", "one-two three", "", None, "the"]
+    frames = {
+        "documents": ([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), "labels": ([(i, i % 2) for i in range(len(texts))], "doc_id long, quality int"),
+        "conversations": ([(i, i % 5, "user", t) for i, t in enumerate(texts)], "conv_id long, turn int, role string, text string"),
+    }
+    for t in TABLES:
+        data, schema = frames.get(t, ([(1,)], "x int"))
+        spark.createDataFrame(data, schema).toPandas().to_parquet(f"{tmp_path}/{t}.parquet")
+    for name in ("interest_bigrams", "interest_pairs"):
+        assert rows(plans.QUERIES[name](spark, str(tmp_path)).toPandas()) == rows(sql_rows(plans.ORACLE_SQL[name], str(tmp_path))), name
+
+
 def test_columns_and_models_that_fail(spark, tmp_path):
     df = spark.createDataFrame([(1, 2.0)], "user_id long, x_y double")
     assert assemble.columns_like(df, "x_") == ["x_y"] and assemble.columns_like(df, "y") == []
