@@ -1,11 +1,20 @@
-"""Tokens, stop words, bigrams, folding and Czech stemming as column expressions over strings and string arrays."""
+"""Tokens, stop words, bigrams, folding and stemming as columns over strings and string arrays.
+
+Stems depend on the word alone, so Arrow functions work them out once for each distinct word of a batch; all else but the
+fold of all marks is a column expression.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+import functools
+import re
+import unicodedata
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -74,12 +83,17 @@ def pooled(arrays: list[Column], distinct: bool = True) -> Column:
     return F.array_distinct(whole) if distinct else whole
 
 
-def ends(w: Column, n: int, suffixes: list[str]) -> Column:
-    return F.right(w, F.lit(n)).isin(suffixes)
+def less(w: str, n: int) -> str:
+    return w[: max(len(w) - n, 0)]
 
 
-def less(w: Column, n: int) -> Column:
-    return F.left(w, F.length(w) - n)
+def by_word(stem: Callable[[str], str], arrays: pa.Array) -> pa.Array:
+    """Lists of words as lists of their stems; each distinct word of the batch is worked out once."""
+    coded = arrays.flatten().cast(pa.string()).dictionary_encode()
+    stems = pa.array([stem(w) for w in coded.dictionary.to_pylist()], pa.string()).take(coded.indices)
+    sizes = pc.fill_null(pc.list_value_length(arrays), 0).to_numpy(zero_copy_only=False)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    return pa.ListArray.from_arrays(offsets, stems, mask=arrays.is_null())
 
 
 #: ending -> replacement, else the last letter goes (fixed values of the stemmer, as all endings below).
@@ -114,43 +128,49 @@ LIGHT_STEPS = [CASES, POSSESSIVES]
 ALL_STEPS = [*LIGHT_STEPS, COMPARATIVES, DIMINUTIVES, AUGMENTATIVES, DERIVATIONS]
 
 
-def palatalised(w: Column) -> Column:
-    out = None
-    for n, suffixes, by in PALATAL:
-        v = F.concat(less(w, n), F.lit(by))
-        out = F.when(ends(w, n, suffixes), v) if out is None else out.when(ends(w, n, suffixes), v)
-    return out.otherwise(less(w, 1))
+#: What Unicode has for word characters: general categories, and lettered symbols and joiners beside them (fixed values).
+CATEGORIES = set("Lu Ll Lt Lm Lo Nl Mn Mc Me Nd Pc".split())
+SYMBOLS = {chr(c) for r in (range(0x24B6, 0x24EA), range(0x1F130, 0x1F14A), range(0x1F150, 0x1F16A), range(0x1F170, 0x1F18A), range(0x200C, 0x200E)) for c in r}
+
 
+def palatalised(w: str) -> str:
+    return next((less(w, n) + by for n, suffixes, by in PALATAL if w[-n:] in suffixes), less(w, 1))
 
-def by_endings(w: Column, rules: list[tuple]) -> Column:
-    out = None
+
+def by_endings(w: str, rules: list[tuple]) -> str:
     for longer, n, suffixes, drop, soften in rules:
-        v = palatalised(less(w, drop)) if soften else less(w, drop)
-        hit = (F.length(w) > longer) & ends(w, n, suffixes)
-        out = F.when(hit, v) if out is None else out.when(hit, v)
-    return out.otherwise(w)
+        if len(w) > longer and w[-n:] in suffixes:
+            return palatalised(less(w, drop)) if soften else less(w, drop)
+    return w
+
+
+@functools.lru_cache(100_000)
+def czech_stem(token: str, aggressive: bool) -> str:
+    lower, upper = token.lower(), token.upper()
+    if lower == upper or not all(unicodedata.category(c) in CATEGORIES or c in SYMBOLS for c in token):
+        return token
+    s = functools.reduce(by_endings, ALL_STEPS if aggressive else LIGHT_STEPS, lower)
+    if token == lower:
+        return s
+    if token == upper:
+        return s.upper()
+    return s[:1].upper() + s[1:].lower() if token == token[0].upper() + token[1:].lower() else token
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def czech_light(arrays: pa.Array) -> pa.Array:
+    return by_word(lambda w: czech_stem(w, False), arrays)
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def czech_aggressive(arrays: pa.Array) -> pa.Array:
+    return by_word(lambda w: czech_stem(w, True), arrays)
 
 
 def stem_czech(array: Column, aggressive: bool = False) -> Column:
     """Light Czech stems of tokens: case endings, then possessives (``aggressive``: and four more steps). Tokens of mixed case or with other than word
     characters stay as they are; an upper-cased or capitalised token keeps its form."""
-
-    def stem(token: Column) -> Column:
-        # nested transforms bind the steps, so that each is worked out once
-        stems = reduce(lambda a, rules: F.transform(a, lambda w: by_endings(w, rules)), ALL_STEPS if aggressive else LIGHT_STEPS, F.array(F.lower(token)))
-        s = F.get(stems, F.lit(0))
-        first = F.upper(F.left(token, F.lit(1)))
-        lettered = F.lower(token) != F.upper(token)
-        capital = token == F.concat(first, F.lower(F.substring(token, 2, 1_000_000)))
-        return (
-            F.when(~token.rlike(r"^(?U)\w+$") | ~lettered, token)
-            .when(token == F.lower(token), s)
-            .when(token == F.upper(token), F.upper(s))
-            .when(capital, F.concat(F.upper(F.left(s, F.lit(1))), F.lower(F.substring(s, 2, 1_000_000))))
-            .otherwise(token)
-        )
-
-    return F.transform(array, stem)
+    return czech_aggressive(array) if aggressive else czech_light(array)
 
 
 def flatten_spaces(column: Column | str) -> Column:
@@ -164,62 +184,61 @@ S_ENDING, ST_ENDING = "bdfghklmnrt", "bdfghklmnt"
 DERIVED = [(4, ["lich", "heit"]), (4, ["keit"]), (4, ["isch"]), (3, ["end", "ung"]), (2, ["ig", "ik"])]
 
 
-def german_regions(w: Column) -> tuple[Column, Column]:
+REGION = re.compile(f"([^{GERMAN_VOWELS}]*[{GERMAN_VOWELS}]+[^{GERMAN_VOWELS}])([^{GERMAN_VOWELS}]*[{GERMAN_VOWELS}]+[^{GERMAN_VOWELS}])?")
+BETWEEN = {letter: re.compile(f"([{GERMAN_VOWELS}]){letter}([{GERMAN_VOWELS}])") for letter in "uy"}
+
+
+def german_regions(w: str) -> tuple[int, int]:
     """Where R1 and R2 begin: after the first consonant that follows a vowel, and after the next such; R1 leaves three
     letters at least."""
-    v, c = f"[{GERMAN_VOWELS}]", f"[^{GERMAN_VOWELS}]"
-    once, twice = (F.length(F.regexp_extract(w, f"^({c}*{v}+{c}){{{n}}}", 0)) for n in (1, 2))
-    size = F.length(w)
-    return F.when(once > 0, F.greatest(once, F.least(size, F.lit(3)))).otherwise(size), F.when(twice > 0, twice).otherwise(size)
+    m, size = REGION.match(w), len(w)
+    return (max(m.end(1), min(size, 3)) if m else size), (m.end(2) if m and m[2] else size)
+
+
+@functools.lru_cache(100_000)
+def german_stem(token: str) -> str:
+    """Plural and case endings, then verb and adjective endings, then derivations, each only within its region. ss stands for
+    ß; u and y between vowels are consonants, written in capitals until the end."""
+    w = token.replace("ß", "ss")
+    for letter in "uy":
+        w = BETWEEN[letter].sub(rf"\1{letter.upper()}\2", w)
+    r1, r2 = german_regions(w)
+    cut = lambda n: less(w, n) if len(w) - n >= r1 else w
+    niss = lambda n: less(w, n + less(w, n).endswith("niss")) if len(w) - n >= r1 else w
+    if w.endswith("ern"):
+        w = cut(3)
+    elif w.endswith(("em", "er")):
+        w = cut(2)
+    elif w.endswith(("en", "es")):
+        w = niss(2)
+    elif w.endswith("e"):
+        w = niss(1)
+    elif w.endswith("s") and less(w, 1).endswith(tuple(S_ENDING)):
+        w = cut(1)
+    if w.endswith("est"):
+        w = cut(3)
+    elif w.endswith(("en", "er")) or w.endswith("st") and len(w) >= 6 and less(w, 2).endswith(tuple(ST_ENDING)):
+        w = cut(2)
+    n, suffixes = next(((n, suffixes) for n, suffixes in DERIVED if w.endswith(tuple(suffixes))), (0, [""]))
+    if n and len(w) - n >= r2:
+        whole, w, kind = w, less(w, n), suffixes[0]
+        inside = lambda m, r: len(w) - m >= r  # of what is left
+        if kind == "lich":
+            w = less(w, 2) if w.endswith(("er", "en")) and inside(2, r1) else w
+        elif kind == "keit":
+            w = less(w, 4) if w.endswith("lich") and inside(4, r2) else less(w, 2) if w.endswith("ig") and inside(2, r2) else w
+        elif kind == "end":
+            w = less(w, 2) if w.endswith("ig") and not less(w, 2).endswith("e") and inside(2, r2) else w
+        elif w.endswith("e"):  # isch, ig and ik stay after an e
+            w = whole
+    return w.translate(str.maketrans("UYäöü", "uyaou"))
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def stems_of_german(arrays: pa.Array) -> pa.Array:
+    return by_word(german_stem, arrays)
 
 
 def stem_german(array: Column) -> Column:
-    """Snowball's German stems of lower-cased tokens: plural and case endings, then verb and adjective endings, then
-    derivations, each only within its region of the word."""
-    inside = lambda x, n, start: F.length(x["w"]) - n >= start
-    step = lambda x, w: F.struct(w.alias("w"), x["r1"].alias("r1"), x["r2"].alias("r2"))
-
-    def marked(t: Column) -> Column:
-        """ss for ß; u and y between vowels are consonants, written in capitals until the end."""
-        w = F.regexp_replace(t, "ß", "ss")
-        for letter in "uy":
-            w = F.regexp_replace(w, f"([{GERMAN_VOWELS}]){letter}([{GERMAN_VOWELS}])", f"$1{letter.upper()}$2")
-        return w
-
-    def first(x: Column) -> Column:
-        w = x["w"]
-        cut = lambda n: F.when(inside(x, n, x["r1"]), less(w, n)).otherwise(w)
-        short = less(w, 1)
-        niss = lambda n: F.when(inside(x, n, x["r1"]), F.when(ends(less(w, n), 4, ["niss"]), less(w, n + 1)).otherwise(less(w, n))).otherwise(w)
-        return (
-            F.when(ends(w, 3, ["ern"]), cut(3)).when(ends(w, 2, ["em", "er"]), cut(2)).when(ends(w, 2, ["en", "es"]), niss(2)).when(ends(w, 1, ["e"]), niss(1))
-            .when(ends(w, 1, ["s"]) & ends(short, 1, list(S_ENDING)), cut(1)).otherwise(w)
-        )
-
-    def second(x: Column) -> Column:
-        w = x["w"]
-        cut = lambda n: F.when(inside(x, n, x["r1"]), less(w, n)).otherwise(w)
-        return F.when(ends(w, 3, ["est"]), cut(3)).when(ends(w, 2, ["en", "er"]), cut(2)).when(ends(w, 2, ["st"]) & ends(less(w, 2), 1, list(ST_ENDING)) & (F.length(w) >= 6), cut(2)).otherwise(w)
-
-    def third(x: Column) -> Column:
-        w = x["w"]
-        less_ig = lambda n: ends(less(w, n), 2, ["ig"]) & ~ends(less(w, n + 2), 1, ["e"]) & inside(x, n + 2, x["r2"])
-        more = {
-            "lich": F.when(ends(less(w, 4), 2, ["er", "en"]) & inside(x, 6, x["r1"]), less(w, 6)).otherwise(less(w, 4)),
-            "keit": F.when(ends(less(w, 4), 4, ["lich"]) & inside(x, 8, x["r2"]), less(w, 8)).when(ends(less(w, 4), 2, ["ig"]) & inside(x, 6, x["r2"]), less(w, 6)).otherwise(less(w, 4)),
-            "end": F.when(less_ig(3), less(w, 5)).otherwise(less(w, 3)),
-        }
-        out = None
-        for n, suffixes in DERIVED:
-            plain = F.when(ends(less(w, n), 1, ["e"]), w).otherwise(less(w, n))  # isch, ig and ik stay after an e
-            v = F.when(inside(x, n, x["r2"]), more.get(suffixes[0], plain)).otherwise(w)
-            out = F.when(ends(w, n, suffixes), v) if out is None else out.when(ends(w, n, suffixes), v)
-        return out.otherwise(w)
-
-    def stem(token: Column) -> Column:
-        words = F.transform(F.array(marked(token)), lambda w: F.struct(w.alias("w"), *[r.alias(n) for r, n in zip(german_regions(w), ("r1", "r2"), strict=True)]))
-        # nested transforms bind the steps, so that each is worked out once
-        words = reduce(lambda a, f: F.transform(a, lambda x: step(x, f(x))), (first, second, third), words)
-        return F.translate(F.get(words, F.lit(0))["w"], "UYäöü", "uyaou")
-
-    return F.transform(array, stem)
+    """Snowball's German stems of lower-cased tokens."""
+    return stems_of_german(array)

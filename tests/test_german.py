@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +81,12 @@ def test_rules_by_a_plain_version(spark, seed):
 def test_null_and_empty(spark):
     rows = spark.createDataFrame([(None,), ([],)], "t array<string>").select(text.stem_german(F.col("t")).alias("s")).collect()
     assert [r.s for r in rows] == [None, []]
+
+
+def test_each_distinct_word_of_a_batch_once():
+    arrays = pa.array([["haus", "katzen", None], None, [], ["katzen"] * 5000], pa.list_(pa.string()))
+    asked = []
+    got = text.by_word(lambda w: asked.append(w) or text.german_stem(w), arrays)
+    assert got.to_pylist() == [["haus", "katz", None], None, [], ["katz"] * 5000] and asked == ["haus", "katzen"]
+    sliced = text.by_word(text.german_stem, arrays.slice(1, 3))
+    assert sliced.to_pylist() == [None, [], ["katz"] * 5000]
