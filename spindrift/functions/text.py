@@ -12,7 +12,6 @@ import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
@@ -53,18 +52,21 @@ def fold(column: Column | str) -> Column:
     return F.translate(column, ACCENTED, PLAIN)
 
 
-@F.pandas_udf(T.StringType())
-def decomposed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Unicode's canonical decomposition, which Spark's functions lack."""
+@F.arrow_udf(T.StringType())
+def decomposed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Unicode's canonical decomposition, which Spark's functions lack; few texts at a time are held as Python's."""
+    normal = lambda x: x if x is None else unicodedata.normalize("NFD", x)
     for texts in batches:
-        yield texts.str.normalize("NFD")
+        parts = [pa.array(map(normal, texts.slice(i, 64).to_pylist()), pa.string()) for i in range(0, len(texts), 64)]
+        yield pa.concat_arrays(parts) if parts else texts.cast(pa.string())
 
 
 def fold_marks(column: Column | str) -> Column:
     """Letters without any combining mark, of all scripts; NULL becomes an empty text. ``fold`` is the way for the
-    letters of its table and stays in the JVM."""
+    letters of its table and stays in the JVM, as do texts of ASCII here."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.coalesce(F.regexp_replace(decomposed(c), r"\p{Mn}", ""), F.lit(""))
+    beyond = c.rlike(r"[^\x00-\x7F]")
+    return F.when(beyond, F.regexp_replace(decomposed(F.when(beyond, c)), r"\p{Mn}", "")).otherwise(F.coalesce(c, F.lit("")))
 
 
 def ngrams(array: Column, n: int = 2) -> Column:

@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,6 +95,17 @@ def test_marks_are_folded(spark, given, plain):
     assert df.select(text.fold_marks("x")).first()[0] == plain
 
 
+def test_marks_of_large_texts_are_folded_few_at_a_time(spark, monkeypatch):
+    """Of a batch only some texts are Python's at a time, and none of ASCII go to Python."""
+    texts = pa.array(["é" * 10, None, "e"] * 300, pa.string())
+    held = []
+    monkeypatch.setattr(text.unicodedata, "normalize", lambda form, x: held.append(x) or x)
+    batch = next(text.decomposed.func(iter([texts])))
+    assert len(batch) == 900 and len(held) == 600 and batch.equals(texts)
+    plan = spark.createDataFrame([("a",)], "x string").select(text.fold_marks("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN RLIKE" in plan
+
+
 def by_rules(word: str, steps=text.LIGHT_STEPS) -> str:
     """The endings' tables applied in plain Python."""
     import re
