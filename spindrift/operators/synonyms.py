@@ -1,8 +1,10 @@
 """Word vectors fitted to a corpus, kept on disk, and the words nearest to given ones.
 
 Spark's Word2Vec counts the vocabulary and trains over partitions; every training task holds the vectors of all words, so
-``least`` (or ``most``, which keeps the most frequent words) bounds a task's memory at 8 * vector size bytes a word. The
-training follows the order of its sentences, so these are put into one order first: two runs give the same vectors.
+``least`` (or ``most``, which keeps the most frequent words) bounds a task's memory at 8 * vector size bytes a word. A
+task trains on a bounded share of the words, and a word's vectors are averaged over the tasks that met it, so that time
+grows with the words over the cores. The training follows the order of its sentences, so these are put into one order
+first: two runs give the same vectors, up to the last digits where tasks are several on a cluster.
 """
 
 from __future__ import annotations
@@ -15,9 +17,21 @@ from pyspark.sql import functions as F
 from spindrift.operators import lift
 
 
-def fit(df: DataFrame, tokens: str, size: int = 50, window: int = 5, least: int = 5, parts: int = 1, steps: int = 1, seed: int = 1) -> Word2VecModel:
-    """Vectors of the words of an array column that occur ``least`` times, trained in ``parts`` partitions, ``steps`` times."""
+#: Words that one task trains on.
+SHARE = 1_000_000
+
+
+def shares(rows: DataFrame, tokens: str, share: int = SHARE) -> int:
+    """Tasks among which the words of an array column are of about ``share`` each."""
+    words = rows.agg(F.sum(F.size(tokens).cast("long"))).first()[0] or 0
+    return max(1, -(-words // share))
+
+
+def fit(df: DataFrame, tokens: str, size: int = 50, window: int = 5, least: int = 5, parts: int | None = None, steps: int = 1, seed: int = 1) -> Word2VecModel:
+    """Vectors of the words of an array column that occur ``least`` times, trained in ``parts`` partitions (None: one for each
+    ``SHARE`` words), ``steps`` times."""
     rows = df.select(tokens).where(F.size(tokens) > 1)
+    parts = shares(rows, tokens) if parts is None else parts
     ordered = rows.orderBy(F.xxhash64(tokens), tokens)
     return Word2Vec(vectorSize=size, windowSize=window, minCount=least, numPartitions=parts, maxIter=steps, seed=seed, inputCol=tokens, outputCol="_vector").fit(ordered)
 

@@ -834,7 +834,7 @@ def saved_model_importance(spark, sf):
 def word_synonyms(spark, sf):
     """The three words nearest to each of the three most frequent ones, by vectors that were fitted, saved and loaded."""
     path = shared_folder(spark)
-    d = X.table(spark, sf, "documents").select(text.tokens("text", unicode=True).alias("tokens"))
+    d = fixed(X.table(spark, sf, "documents").select(text.tokens("text", unicode=True).alias("tokens")))  # read four times
     synonyms.save(synonyms.fit(d, "tokens", size=32, least=20), path)
     model = synonyms.load(path)
     asked = [r[0] for r in d.select(F.explode("tokens").alias("w")).groupBy("w").count().orderBy(F.desc("count"), "w").limit(3).collect()]

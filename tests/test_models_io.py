@@ -69,6 +69,23 @@ def test_planted_synonyms(spark, tmp_path):
     assert table(model) == table(again) == table(synonyms.load(f"{tmp_path}/w"))
 
 
+def test_words_are_shared_among_tasks(spark, monkeypatch):
+    """A long table trains in several tasks, and words that are used alike are still near each other."""
+    rng = random.Random(8)
+    topics = {"sea": ["ship", "boat"], "sky": ["plane", "jet"], "road": ["car", "truck"]}
+    rows = [([*(f"{t}{rng.randrange(6)}" for _ in range(3)), rng.choice(topics[t]), *(f"{t}{rng.randrange(6)}" for _ in range(3))],) for t in rng.choices(list(topics), k=6000)]
+    df = spark.createDataFrame(rows, "tokens array<string>").repartition(5)
+    assert synonyms.shares(df, "tokens") == 1 and synonyms.shares(df, "tokens", 10_000) == 5 and synonyms.shares(df.where("false"), "tokens") == 1
+    asked = []
+    Word2Vec = synonyms.Word2Vec
+    monkeypatch.setattr(synonyms, "Word2Vec", lambda **kw: asked.append(kw["numPartitions"]) or Word2Vec(**kw))
+    monkeypatch.setattr(synonyms.shares, "__defaults__", (10_000,))
+    model = synonyms.fit(df, "tokens", size=16, least=5, steps=6)
+    assert asked == [5]
+    for a, b in topics.values():
+        assert b in [r.word for r in synonyms.synonyms(model, [a], 3).collect()]
+
+
 def test_database_in_ranges(spark):
     url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
     rng = random.Random(3)
