@@ -149,3 +149,17 @@ def test_a_stream_feeds_the_batches(spark, tmp_path):
     store.run_available(stream, f"{tmp_path}/c")
     store.advance(spark.createDataFrame([], HITS), last=True)
     assert found(store.read()) == plain(rows)
+
+
+def test_pages_and_agents_are_read_once_each(spark):
+    """The columns are those of a reading of each hit, but no hit's URL or agent is read by patterns."""
+    from spindrift.functions import device, urls
+    from spindrift.sources import fixtures as X
+
+    folder = "/root/testdata/sf0.001"
+    h = X.hits(spark, folder).where("device <> ''")
+    each = h.select("*", urls.normalise("url").alias("url_normalized"), device.search_engine("referrer_host", "url").alias("search_engine"), *device.parse("user_agent"))
+    found = X.enriched(spark, folder)
+    assert found.columns == each.columns and found.count() == each.count() and found.exceptAll(each).count() == 0
+    above = found._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    assert "regexp" not in above
