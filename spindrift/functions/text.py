@@ -1,7 +1,7 @@
 """Tokens, stop words, bigrams, folding and stemming as columns over strings and string arrays.
 
-Stems depend on the word alone, so Arrow functions work them out once for each distinct word of a batch; all else but the
-fold of all marks is a column expression.
+Aggressive Czech and German stems are worked out by Arrow functions, once for each distinct word of a batch; all else but
+the fold of all marks is a column expression.
 """
 
 from __future__ import annotations
@@ -147,11 +147,11 @@ def by_endings(w: str, rules: list[tuple]) -> str:
 
 
 @functools.lru_cache(100_000)
-def czech_stem(token: str, aggressive: bool) -> str:
+def czech_stem(token: str) -> str:
     lower, upper = token.lower(), token.upper()
     if lower == upper or not all(unicodedata.category(c) in CATEGORIES or c in SYMBOLS for c in token):
         return token
-    s = functools.reduce(by_endings, ALL_STEPS if aggressive else LIGHT_STEPS, lower)
+    s = functools.reduce(by_endings, ALL_STEPS, lower)
     if token == lower:
         return s
     if token == upper:
@@ -160,13 +160,54 @@ def czech_stem(token: str, aggressive: bool) -> str:
 
 
 @F.arrow_udf(T.ArrayType(T.StringType()))
-def czech_light(arrays: pa.Array) -> pa.Array:
-    return by_word(lambda w: czech_stem(w, False), arrays)
+def czech_aggressive(arrays: pa.Array) -> pa.Array:
+    return by_word(czech_stem, arrays)
 
 
-@F.arrow_udf(T.ArrayType(T.StringType()))
-def czech_aggressive(arrays: pa.Array) -> pa.Array:
-    return by_word(lambda w: czech_stem(w, True), arrays)
+def cropped(w: Column, n: int) -> Column:
+    return F.left(w, F.length(w) - n)
+
+
+def ends(w: Column, n: int, suffixes: list[str]) -> Column:
+    return F.right(w, F.lit(n)).isin(suffixes)
+
+
+def palatal_column(w: Column) -> Column:
+    out = None
+    for n, suffixes, by in PALATAL:
+        v = F.concat(cropped(w, n), F.lit(by))
+        out = F.when(ends(w, n, suffixes), v) if out is None else out.when(ends(w, n, suffixes), v)
+    return out.otherwise(cropped(w, 1))
+
+
+def ending_column(w: Column, rules: list[tuple]) -> Column:
+    out = None
+    for longer, n, suffixes, drop, soften in rules:
+        v = palatal_column(cropped(w, drop)) if soften else cropped(w, drop)
+        hit = (F.length(w) > longer) & ends(w, n, suffixes)
+        out = F.when(hit, v) if out is None else out.when(hit, v)
+    return out.otherwise(w)
+
+
+def czech_light(array: Column) -> Column:
+    """The light stems, of two steps, as a column expression: they stay in the JVM."""
+
+    def stem(token: Column) -> Column:
+        # nested transforms bind the steps, so that each is worked out once
+        stems = functools.reduce(lambda a, rules: F.transform(a, lambda w: ending_column(w, rules)), LIGHT_STEPS, F.array(F.lower(token)))
+        s = F.get(stems, F.lit(0))
+        first = F.upper(F.left(token, F.lit(1)))
+        lettered = F.lower(token) != F.upper(token)
+        capital = token == F.concat(first, F.lower(F.substring(token, 2, 1_000_000)))
+        return (
+            F.when(~token.rlike(r"^(?U)\w+$") | ~lettered, token)
+            .when(token == F.lower(token), s)
+            .when(token == F.upper(token), F.upper(s))
+            .when(capital, F.concat(F.upper(F.left(s, F.lit(1))), F.lower(F.substring(s, 2, 1_000_000))))
+            .otherwise(token)
+        )
+
+    return F.transform(array, stem)
 
 
 def stem_czech(array: Column, aggressive: bool = False) -> Column:
