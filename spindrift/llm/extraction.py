@@ -1,14 +1,15 @@
 """Main text of web pages by wrappers: union-free regular expressions inferred from pages of the same host.
 
-From each host a bounded sample of pages (``SAMPLE``, chosen by a hash of their ids) is read as whole streams of tags
-and block texts. Adjacent equal stretches of a stream fold into repeated groups; streams are then aligned one after
-another: tokens that only one side has become optional groups, texts that differ become slots, and a text in which at
-least ``SUPPORT`` different pages agree is the template's (within the main region only before the page's first own
-text and after its last). The wrapper is the resulting expression; its main region is
-the container that holds most text of slots and groups outside of navigation, notices, forms and the like. Every page of
-the host is then matched with the expression: its text is what meets slots, groups or nothing within the region, in
-blocks, without such parts and the template's texts. Where a page lacks its wrapper's region, the region is found in the
-page alone.
+Every page is read once, as a whole stream of tags and block texts. A block's start with the text that follows it is
+one token, whatever links and the like the text holds; adjacent equal stretches of a stream fold into repeated groups. The distinct structures of all pages of a host are aligned one after another, in groups of ``FAN`` over
+tasks and the groups' expressions in turn: tokens that only one side has become optional (those that fewer pages have
+than a template needs are left out, so an expression does not grow with the pages). Each page is then matched with its host's expression, and the texts at each
+place are counted over all pages: a text in which at least ``SUPPORT`` different pages, ``SHARE`` of the host's and
+``AGREE`` of those with the place agree is the template's (within the main region only before the page's first own text
+and after its last), other texts are slots. The main region is the container that holds most text of slots and groups
+of all pages, outside of navigation, notices, forms and the like. A page's text is what meets slots, groups or nothing
+within the region, in blocks, without such parts and the template's texts. Where a page lacks its wrapper's region, the
+region is found in the page alone.
 
 Defined cases: a null or empty html gives the empty text; a null or odd url counts as host ''; pages of an unseen
 structure are read alone; repeated rows repeat; an empty table gives an empty result; other columns are left out.
@@ -20,9 +21,11 @@ import functools
 import hashlib
 import html as entities
 import json
+import math
+import pickle
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,12 +35,14 @@ from pyspark.sql import functions as F
 
 from spindrift.llm.shared import cut
 
-#: Pages a host's wrapper is inferred from, the longest stretch that is looked for as a group, the pages that must agree
-#: in a text to make it the template's, and bits of an alignment's table held at a time.
-SAMPLE, GROUP, SUPPORT, TABLE = 6, 10, 3, 100_000_000
+#: The longest stretch that is looked for as a group, the pages (and the share of a host's pages) that must agree in a
+#: text to make it the template's, the share of a place's pages that must, expressions merged at a time, and bits of an
+#: alignment's table held at a time.
+GROUP, SUPPORT, SHARE, AGREE, FAN, TABLE = 10, 3, 0.5, 0.9, 64, 100_000_000
 #: Bytes of wrappers (one a host) up to which all tasks get them all, and tasks a host's pages go to beyond that.
 SENT, SALT = 48_000_000, 32
 SCHEMA = "page_id long, url string, text string, n_chars long, wrapped boolean"
+STREAMS = "page_id long, url string, host string, digest binary, keys array<long>, texts array<long>, body binary"
 
 # The names of HTML elements by their role (fixed values).
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -63,6 +68,8 @@ STATES = set("has with without no not is".split())
 OF_ARTICLE = set("article post entry content story text".split())
 #: Characters of a paragraph that make a part running text, and the most of its text that may be links.
 RUNNING, LINKED = 60, 0.5
+#: Of the text, what a container must hold to be the region.
+HELD = 0.6
 
 TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<[!?][^>]*>?|<({RAW})\b[^>]*>.*?(?:</\1\s*>|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"<]*\"|'[^'<]*')*+(?=>)|[^>]*)>?|[^<]+|<", re.S | re.I)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
@@ -267,6 +274,36 @@ def folded(stream: list[tuple]) -> list[tuple]:
     return fold(stream)[0]
 
 
+def leaves(found: list[tuple]) -> tuple[list[tuple], list[int]]:
+    """A block's start with its text, and its end if that follows ("=", else ":"), become one token; and where each result
+    begins."""
+    out: list[tuple] = []
+    starts: list[int] = []
+    n = 0
+    while n < len(found):
+        kind, key = found[n][:2]
+        starts.append(n)
+        end = n + 1
+        if kind == "<" and (name := key.split(".")[0]) in BLOCKS:
+            while end < len(found) and found[end][0] != "#" and found[end][1].split(".")[0] not in BLOCKS:
+                end += 1
+            if end < len(found) and found[end][0] == "#":
+                closed = found[end + 1 : end + 2] and found[end + 1][:2] == (">", name)
+                out.append(("=" if closed else ":", key, found[end][2], found[end][3], False))
+                n = end + 2 if closed else end + 1
+                continue
+        out.append(found[n])
+        n += 1
+    return out, starts
+
+
+def stream(found: list[tuple]) -> tuple[list[tuple], list[int]]:
+    """The folded stream of a page's tokens, and where each of its items begins in the page's."""
+    items, places = leaves(found)
+    out, starts = fold(items)
+    return out, [places[n] for n in starts]
+
+
 def common(a: list, b: list) -> list[tuple[int, int]]:
     """Places (i, j) of a longest common subsequence. Rows of the table are bits of one integer (Hyyro 2004); a table of
     more than TABLE bits is halved first (Hirschberg 1975), so memory is bounded and nothing is left out."""
@@ -326,19 +363,27 @@ def gains(row: int, n: int) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
 
 
-def aligned(wrapper: list[tuple], page: list[tuple]) -> list[tuple]:
-    """One expression for both: (kind, key, constant text or None, path, optional, pages that have it)."""
-    out: list[tuple] = []
+def union(a: list, b: list) -> list:
+    """One expression for both: common tokens once, others in the order of both."""
+    out: list = []
     i = j = 0
-    for a, b in [*common([x[:2] for x in wrapper], [y[:2] for y in page]), (len(wrapper), len(page))]:
-        out += [(*x[:4], True, x[5]) for x in wrapper[i:a]] + [(*y[:4], True, 1) for y in page[j:b]]
-        if a < len(wrapper):
-            x, y = wrapper[a], page[b]
-            out.append((*x[:2], x[2] if x[2] == y[2] else None, x[3], x[4], x[5] + 1))
-        i, j = a + 1, b + 1
+    for m, n in [*common(a, b), (len(a), len(b))]:
+        out += [*a[i:m], *b[j:n], *a[m : m + 1]]
+        i, j = m + 1, n + 1
     return out
 
 
+def unions(structures: Iterable[tuple]) -> list:
+    """One expression for all of them, whatever their order."""
+    first, *others = sorted(structures, key=lambda x: (len(x), x))
+    return functools.reduce(union, others, list(first))
+
+
+def least(n: int) -> int:
+    """Of n pages, those that must agree to make a template."""
+    return max(SUPPORT, math.ceil(SHARE * n))
+
+
 def parsed(page: str, paths: Paths) -> tuple[list[tuple], list[int]]:
     """The page's whole stream of (kind, key, text or None, path, False, parts), and the paths of blank texts. The text
     of a block is one item; its parts are the raw texts outside aside parts, with their paths."""
@@ -375,27 +420,36 @@ def parsed(page: str, paths: Paths) -> tuple[list[tuple], list[int]]:
     return found, blank
 
 
-def stream(page: str) -> list[tuple]:
-    return [(*x[:5], 1) for x in folded(parsed(page, Paths())[0])]
+@functools.lru_cache(100_000)
+def key_of(kind: str, key: object) -> int:
+    return int.from_bytes(hashlib.blake2b(repr((kind, key)).encode(), digest_size=6).digest(), "little")
 
 
-def constants(wrapper: list[list], page: list[tuple]) -> set[int]:
-    """Places in a page's stream of the texts (and groups, all of whose texts agree) that its match with the wrapper shows
-    to be the template's."""
-    items, starts = fold(page)
-    pairs = common([k for k, _ in wrapper], [key_of(*x[:2]) for x in items])
-    ends = [*starts[1:], len(page)]
-    return {n for i, j in pairs if wrapper[i][1] is not None and wrapper[i][1] == items[j][2] for n in range(starts[j], ends[j])}
+def digest_of(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=7).digest(), "little")
 
 
 @functools.lru_cache(100_000)
-def key_of(kind: str, key: object) -> int:
-    return int.from_bytes(hashlib.blake2b(repr((kind, key)).encode(), digest_size=6).digest(), "little")
+def path_id(parent: int, key: str) -> int:
+    return digest_of(f"{parent}\x1f{key}")
 
 
-def region_of(parts: list[tuple[str, int]], paths: Paths) -> list[str]:
-    """The path of the container with most of these texts: an article or main part where there is one, else the deepest
-    one that holds at least 60 %."""
+def ids_of(paths: Paths) -> list[int]:
+    """A number of each path that is the same in all pages (0: the root)."""
+    ids = [0]
+    for p in range(1, len(paths.parent)):
+        ids.append(path_id(ids[paths.parent[p]], paths.key[p]))
+    return ids
+
+
+def role(key: str) -> int:
+    """Whether an element is an article or main part (0), another container (1) or neither (2)."""
+    name = key.split(".")[0]
+    return 0 if name in ("article", "main") else 1 if name in ("body", "div", "section", "td", "html", "center", "blockquote") else 2
+
+
+def masses(parts: list[tuple[str, int]], paths: Paths) -> tuple[list[int], list[bool]]:
+    """Of each path, the characters of these texts under it, and whether any of them is there."""
     mass = [0] * len(paths.parent)
     there = [False] * len(paths.parent)
     for text, path in parts:
@@ -404,43 +458,64 @@ def region_of(parts: list[tuple[str, int]], paths: Paths) -> list[str]:
     for p in range(len(mass) - 1, 0, -1):  # a path's number is above its parent's
         mass[paths.parent[p]] += mass[p]
         there[paths.parent[p]] |= there[p]
+    return mass, there
+
+
+def region_of(parts: list[tuple[str, int]], paths: Paths) -> list[str]:
+    """The path of the container with most of these texts: an article or main part where there is one, else the deepest
+    one that holds at least 60 %."""
+    mass, there = masses(parts, paths)
     every = [p for p in range(1, len(mass)) if there[p]]
     if not every:
         return []
-    name = lambda p: paths.key[p].split(".")[0]
-    if named := [p for p in every if name(p) in ("article", "main")]:
+    if named := [p for p in every if role(paths.key[p]) == 0]:
         most = max((mass[p], -paths.depth[p]) for p in named)
         return max(paths.keys(p) for p in named if (mass[p], -paths.depth[p]) == most)
     whole = max(mass[p] for p in every)
-    good = [p for p in every if mass[p] >= 0.6 * whole and name(p) in ("body", "div", "section", "td", "html", "center", "blockquote")]
+    good = [p for p in every if mass[p] >= HELD * whole and role(paths.key[p]) == 1]
     most = max(((paths.depth[p], mass[p]) for p in good), default=None)
     return max(paths.keys(p) for p in good if (paths.depth[p], mass[p]) == most) if good else []
 
 
 def infer(pages: list[str]) -> dict:
-    """The wrapper of a host: the expression, as text and as (key, constant text or None) to match pages with, and its
-    main region."""
-    wrapper = stream(pages[0])
-    for page in pages[1:]:
-        wrapper = aligned(wrapper, stream(page))
-    wrapper = [(*x[:4], x[5] < len(pages)) if x[5] >= SUPPORT or x[2] is None else (*x[:2], None, x[3], x[5] < len(pages)) for x in wrapper]
-    show = []
-    for kind, key, text, _, optional in wrapper:
-        one = "({})+".format("".join(shown(*k) for k in key)) if kind == "+" else "#slot" if kind == "#" and text is None else "#" + json.dumps(text) if kind == "#" else shown(kind, key)
-        show.append(f"({one})?" if optional else one)
-    slots = sum(x[0] == "#" and x[2] is None for x in wrapper)
-    items = [[key_of(*x[:2]), x[2]] for x in wrapper]
-    free, every, paths = [], [], Paths()
-    for page in pages:
-        found = parsed(page, paths)[0]
-        template = constants(items, found)
-        every += [p for x in found for p in x[5]]
-        free += [p for n, x in enumerate(found) if n not in template for p in x[5]]
-    return {"expression": "".join(show), "slots": slots, "items": items, "region": region_of(free, paths) or region_of(every, paths)}
+    """The wrapper of some pages in one process, as `wrappers` and `regions` find it over tasks: the expression, as text,
+    its number of slots and its main region."""
+    paths = Paths()
+    found = [parsed(page, paths)[0] for page in pages]
+    streams = [stream(x) for x in found]
+    structures = [tuple(x[:2] for x in items) for items, _ in streams]
+    pages_of = Counter(k for one in structures for k in set(one))
+    wrapper = unions({tuple(key_of(*k) for k in one if pages_of[k] >= least(len(pages))) for one in structures})
+    names = {key_of(*k): k for k in pages_of}
+    seen: dict[int, Counter] = {}
+    places = [dict(common(wrapper, [key_of(*k) for k in one])) for one in structures]
+    for at, (items, _) in zip(places, streams, strict=True):
+        for i, j in at.items():
+            seen.setdefault(i, Counter())[items[j][2]] += 1
+    top = {i: c.most_common(1)[0] for i, c in seen.items()}
+    fixed = {i: text for i, (text, n) in top.items() if text is not None and n >= least(len(pages)) and n >= AGREE * seen[i].total()}
+    show, slots = [], 0
+    for i, (kind, key) in enumerate(names[k] for k in wrapper):
+        slots += kind in "#=:" and i not in fixed
+        one = shown(kind, key)
+        if kind in "#=:":
+            one = one.replace("#", "#" + json.dumps(fixed[i]) if i in fixed else "#slot")
+        show.append(f"({one})?" if seen.get(i, Counter()).total() < len(pages) else one)
+    free, every = [], []
+    for at, (items, starts), all_ in zip(places, streams, found, strict=True):
+        template = {j for i, j in at.items() if i in fixed and fixed[i] == items[j][2]}
+        for j, (start, end) in enumerate(zip(starts, [*starts[1:], len(all_)], strict=True)):
+            parts = [p for x in all_[start:end] for p in x[5]]
+            every += parts
+            free += [] if j in template else parts
+    return {"expression": "".join(show), "slots": slots, "region": region_of(free, paths) or region_of(every, paths)}
 
 
 def shown(kind: str, key: object) -> str:
-    return "({})+".format("".join(shown(*k) for k in key)) if kind == "+" else "#" if kind == "#" else f"<{'/' * (kind == '>')}{key}>"
+    if kind == "+":
+        return "({})+".format("".join(shown(*k) for k in key))
+    name = key.split(".")[0]
+    return {"#": "#", "<": f"<{key}>", ">": f"</{key}>", ":": f"<{key}>#", "=": f"<{key}>#</{name}>"}[kind]
 
 
 def main_text(page: tuple[list[tuple], list[int]], paths: Paths, region: list[str], template: set[int] = frozenset()) -> tuple[str, bool]:
@@ -460,37 +535,175 @@ def main_text(page: tuple[list[tuple], list[int]], paths: Paths, region: list[st
     return "\n".join(text for _, text in kept), bool(blocks) or any(inside[path] for path in blank)
 
 
-def wrappers(rows: DataFrame) -> DataFrame:
-    """(host, wrapper): inferred from at most SAMPLE pages a host, one for each value of a hash."""
-    pick = rows.where("html is not null").select("host", "html", F.xxhash64("page_id", "url").alias("h"))
-    sample = pick.groupBy("host", F.pmod("h", F.lit(SAMPLE)).alias("slot")).agg(F.min_by("html", F.struct("h", F.length("html"))).alias("html"))
+def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each page its folded stream, as keys and digests of texts (-1: none), and its body: the parts of each block text
+    with the place in the folded stream, the paths of blank texts, and the paths."""
+    for batch in batches:
+        digests, keys, texts, bodies = [], [], [], []
+        for page in batch.column(3).to_pylist():
+            if not page:
+                for column in (digests, keys, texts, bodies):
+                    column.append(None)
+                continue
+            paths = Paths()
+            found, blank = parsed(page, paths)
+            items, starts = stream(found)
+            at = np.repeat(np.arange(len(items)), np.diff([*starts, len(found)])).tolist()
+            digests.append(hashlib.blake2b(page.encode("utf-8", "surrogatepass"), digest_size=16).digest())
+            keys.append([key_of(*x[:2]) for x in items])
+            texts.append([-1 if x[2] is None else digest_of(x[2]) for x in items])
+            bodies.append(pickle.dumps(([(j, x[5]) for j, x in zip(at, found, strict=True) if x[5]], blank, paths.parent, paths.key), 5))
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(i) for i in range(3)), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(texts, pa.list_(pa.int64())), pa.array(bodies, pa.binary())],
+            names=["page_id", "url", "host", "digest", "keys", "texts", "body"],
+        )
+
+
+def met(rows: DataFrame, known: DataFrame, *on: str) -> DataFrame:
+    """Each page with what its host is known by (`wrapper`; null: nothing). Salted by the columns ``on``."""
+    size = known.agg(F.coalesce(F.sum(F.octet_length("wrapper") + F.octet_length("host")), F.lit(0))).first()[0]
+    if size <= SENT:
+        return rows.join(F.broadcast(known), "host", "left")
+    # the pages go to the wrappers, those of one host to several tasks
+    salt = F.pmod(F.xxhash64(*on), F.lit(SALT)).cast("int")
+    spread = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return rows.withColumn("salt", salt).join(spread, ["host", "salt"], "left").drop("salt")
+
+
+def least_of(n: str) -> F.Column:
+    return F.greatest(F.lit(SUPPORT), F.ceil(F.lit(SHARE) * F.col(n)))
+
+
+def expressions(pages: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(host, keys): one expression for all pages (host, keys) of each host, merged in groups of FAN structures."""
+    rows = cut(pages.groupBy("host", "keys").agg(F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id()))
+    often = rows.select("host", "n", F.explode(F.array_distinct("keys")).alias("key")).groupBy("host", "key").agg(F.sum("n").alias("n"))
+    often = often.join(sizes, "host").where(F.col("n") >= least_of("pages")).select("host", "key")
+    kept = rows.select("host", "id", F.posexplode("keys").alias("pos", "key")).join(often, ["host", "key"]).groupBy("host", "id")
+    kept = kept.agg(F.sort_array(F.collect_list(F.struct("pos", "key")))["key"].alias("keys")).select("host", "keys").distinct()
+    kept = cut(kept)
+    many = kept.groupBy("host").agg(F.count("*").alias("n"))
+    now = kept.join(many, "host").select("host", F.pmod(F.xxhash64("keys"), F.ceil(F.col("n") / FAN)).alias("part"), "keys")
+    most = many.agg(F.max("n")).first()[0] or 0
+
+    def merged(pdf: pd.DataFrame) -> pd.DataFrame:
+        one = unions({tuple(x.tolist()) for x in pdf["keys"]})
+        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "part": [pdf["part"].iloc[0]], "keys": [one]})
+
+    while True:
+        now = cut(now.groupBy("host", "part").applyInPandas(merged, "host string, part long, keys array<long>"))
+        if most <= FAN:
+            return now.select("host", "keys")
+        now, most = now.withColumn("part", F.floor(F.col("part") / FAN)), -(-most // FAN)
+
+
+def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, place, text) of the texts of each page (host, keys, texts, wrapper) that meet its expression."""
+    kept: dict[str, list] = {}
+    for batch in batches:
+        hosts, places, texts = [], [], []
+        for host, keys, of_page, wrapper in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for i, j in common(known(wrapper, kept)[0], keys):
+                if of_page[j] != -1:
+                    hosts.append(host)
+                    places.append(i)
+                    texts.append(of_page[j])
+        yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(places, pa.int64()), pa.array(texts, pa.int64())], names=["host", "place", "text"])
+
+
+def known(wrapper: str | None, kept: dict[str, list]) -> list:
+    """Keys of an expression, the template's text at its places, and the number of the main region's path."""
+    if wrapper is None:
+        return [[], {}, None]
+    if wrapper not in kept:
+        if len(kept) > 1000:
+            kept.clear()
+        found = json.loads(wrapper)
+        kept[wrapper] = [found.get("keys", []), {x["place"]: x["text"] for x in found.get("fixed", [])}, found.get("region")]
+    return kept[wrapper]
+
+
+def wrappers(streams: DataFrame) -> DataFrame:
+    """(host, keys, fixed): the expression of all pages of a host that are not alike, and the template's texts at its
+    places. Hosts where too few pages have anything in common have none."""
+    pages = cut(streams.where("keys is not null").select("host", "digest", "keys", "texts").dropDuplicates(["host", "digest"]))
+    sizes = cut(pages.groupBy("host").agg(F.count("*").alias("pages")))
+    found = expressions(pages.select("host", "keys"), sizes)
+    texts = met(pages, found.select("host", F.to_json(F.struct("keys")).alias("wrapper")), "digest").where("wrapper is not null")
+    texts = texts.select("host", "keys", "texts", "wrapper").mapInArrow(matched, "host string, place long, text long")
+    places = texts.groupBy("host", "place", "text").agg(F.count("*").alias("n")).groupBy("host", "place")
+    places = places.agg(F.sum("n").alias("all"), F.max(F.struct("n", "text")).alias("top")).join(sizes, "host")
+    fixed = places.where((F.col("top.n") >= least_of("pages")) & (F.col("top.n") >= AGREE * F.col("all")))
+    fixed = fixed.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("place", "top.text"))).alias("fixed"))
+    return cut(found.join(fixed, "host", "left"))
+
+
+def bodies(batch: pa.RecordBatch, kept: dict[str, list]) -> Iterator[tuple | None]:
+    """Of each page (keys, texts, body, wrapper), its blocks, blank texts, paths, and places of the template's texts."""
+    for keys, texts, body, wrapper in zip(*(batch.column(c).to_pylist() for c in ("keys", "texts", "body", "wrapper")), strict=True):
+        if body is None:
+            yield None
+            continue
+        paths = Paths()
+        blocks, blank, paths.parent, paths.key = pickle.loads(body)
+        paths.depth = [0]
+        for parent in paths.parent[1:]:
+            paths.depth.append(paths.depth[parent] + 1)
+        wanted, fixed, region = known(wrapper, kept)
+        template = {j for i, j in common(wanted, keys) if fixed.get(i) == texts[j]} if fixed else set()
+        yield blocks, blank, paths, template, region
+
+
+def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, digest, path, role, depth, free, every): characters of texts under each path of a page, and of these not the
+    template's (null: no such text)."""
+    kept: dict[str, list] = {}
+    for batch in batches:
+        rows: list[tuple] = []
+        for host, digest, page in zip(batch.column("host").to_pylist(), batch.column("digest").to_pylist(), bodies(batch, kept), strict=True):
+            if page:
+                blocks, _, paths, template, _ = page
+                every, there = masses([p for _, parts in blocks for p in parts], paths)
+                free, own = masses([p for j, parts in blocks if j not in template for p in parts], paths)
+                ids = ids_of(paths)
+                rows += [(host, digest, ids[p], role(paths.key[p]), paths.depth[p], free[p] if own[p] else None, every[p]) for p in range(1, len(ids)) if there[p]]
+        columns = list(zip(*rows, strict=True)) or [()] * 7
+        types = [pa.string(), pa.binary(), *[pa.int64()] * 5]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["host", "digest", "path", "role", "depth", "free", "every"])
+
+
+def regions(pages: DataFrame) -> DataFrame:
+    """(host, region): the path of `region_of` over all texts of a host's pages that are not the template's, or over all
+    texts where that is none."""
+    rows = pages.select("host", "digest", "keys", "texts", "body", "wrapper").where("body is not null").mapInArrow(weighed, "host string, digest binary, path long, role long, depth long, free long, every long")
+    rows = rows.dropDuplicates(["host", "digest", "path"]).groupBy("host", "path", "role", "depth").agg(F.sum("free").alias("free"), F.sum("every").alias("every"))
+    rows = cut(rows)
+    whole = rows.groupBy("host").agg(F.max("free").alias("most_free"), F.max("every").alias("most_every"))
 
-    def of_host(pdf: pd.DataFrame) -> pd.DataFrame:
-        pages = sorted(set(pdf["html"]), key=lambda x: (len(x), x))
-        found = infer(pages)
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [json.dumps([found["items"], found["region"]])]})
+    def best(mass: str) -> list:
+        m = F.col(mass)
+        article = F.max_by("path", F.when((F.col("role") == 0) & m.isNotNull(), F.struct(m, -F.col("depth"), "path")))
+        box = F.max_by("path", F.when((F.col("role") == 1) & (m >= HELD * F.col(f"most_{mass}")), F.struct("depth", m, "path")))
+        return [article, box]
 
-    return sample.groupBy("host").applyInPandas(of_host, "host string, wrapper string")
+    return rows.join(whole, "host").groupBy("host").agg(F.coalesce(*best("free"), *best("every"), F.lit(0)).alias("region"))
 
 
 def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     kept: dict[str, list] = {}
     for batch in batches:
         texts, through = [], []
-        for page, wrapper in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+        for page in bodies(batch, kept):
             text, wrapped = "", False
             if page:
-                paths = Paths()
-                found = parsed(page, paths)
-                if wrapper:
-                    if wrapper not in kept:
-                        if len(kept) > 1000:
-                            kept.clear()
-                        kept[wrapper] = json.loads(wrapper)
-                    items, region = kept[wrapper]
-                    text, wrapped = main_text(found, paths, region, constants(items, found[0]))
+                blocks, blank, paths, template, region = page
+                found = [(None, None, None, None, None, parts) for _, parts in blocks], blank
+                ids = ids_of(paths)
+                if region in ids:
+                    own = {n for n, (j, _) in enumerate(blocks) if j in template}
+                    text, wrapped = main_text(found, paths, paths.keys(ids.index(region)), own)
                 if not wrapped:
-                    text, _ = main_text(found, paths, region_of([p for x in found[0] for p in x[5]], paths))
+                    text, _ = main_text(found, paths, region_of([p for _, parts in blocks for p in parts], paths))
             texts.append(text)
             through.append(wrapped)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()), pa.array(through)], names=["page_id", "url", "text", "n_chars", "wrapped"])
@@ -499,15 +712,14 @@ def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars, wrapped (whether the host's wrapper fitted) of every page."""
     rows = pages.select(
-        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"),
+        F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]*)", 1)), F.lit("")).alias("host"),
+        F.col("html").cast("string").alias("html"),
     )
-    known = cut(wrappers(rows))
-    size = known.agg(F.coalesce(F.sum(F.octet_length("wrapper") + F.octet_length("host")), F.lit(0))).first()[0]
-    if size <= SENT:
-        met = rows.join(F.broadcast(known), "host", "left")
-    else:  # the pages go to the wrappers, those of one host to several tasks
-        salt = F.pmod(F.xxhash64("page_id", "url", F.length("html")), F.lit(SALT)).cast("int")
-        spread = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-        met = rows.withColumn("salt", salt).join(spread, ["host", "salt"], "left")
-    return met.select("page_id", "url", "html", "wrapper").mapInArrow(extracted, SCHEMA)
+    streams = cut(rows.mapInArrow(read, STREAMS), compression="zstd")
+    found = wrappers(streams)
+    wrapper = F.to_json(F.struct("keys", "fixed")).alias("wrapper")
+    spread = ("page_id", "url", "digest")
+    region = regions(met(streams, found.select("host", wrapper), *spread))
+    whole = cut(region.join(found, "host", "left").select("host", F.to_json(F.struct("keys", "fixed", "region")).alias("wrapper")))
+    return met(streams, whole, *spread).select("page_id", "url", "keys", "texts", "body", "wrapper").mapInArrow(extracted, SCHEMA)

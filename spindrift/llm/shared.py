@@ -18,10 +18,11 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: no lineage, and every reader sees the same rows."""
+def cut(df: DataFrame, **options: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: no lineage, and every reader sees the same rows. Options
+    are those of writing Parquet."""
     path = f"{shared_dir(df.sparkSession)}/spindrift/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from spindrift.llm import decontamination, extraction, langid, neardup
 from tests.llm import brute
@@ -58,6 +59,34 @@ def test_slots_find_the_region_that_a_page_alone_does_not_show(spark):
     assert "Terms of use" in alone and alone != got[0]
 
 
+def test_all_pages_of_a_host_make_its_template(spark):
+    """A text that most pages show is the template's, also where some pages (one for each of six values of a hash) have
+    their own text at the place; what near copies of one page share is not."""
+    page = "<html><body><article><h1>Title {0}</h1><p>{1}</p>{2}<div class='box'>{3}</div></article></body></html>"
+    ids = spark.range(240).withColumn("h", F.xxhash64("id", F.concat(F.lit("http://h.example/"), F.col("id").cast("string"))))
+    odd = {r.least for r in ids.groupBy(F.pmod("h", F.lit(6))).agg(F.min_by("id", "h").alias("least")).collect()}
+    pages = [page.format(i, own(i, 0), f"<h2>{own(i, 1)}</h2>" * (i % 3), f"Own end of page {i}" if i in odd else "Posted by the staff") for i in range(240)]
+    copied = [f"<html><body><article><h1>Title of copy {i}</h1><p>{own('one', 0)}</p><h5>The end of it</h5></article></body></html>" for i in range(5)]
+    got = texts(spark, pages + copied)
+    for i in range(240):
+        assert got[i].split("\n") == [f"Title {i}", own(i, 0), *[own(i, 1)] * (i % 3), *[f"Own end of page {i}"] * (i in odd)]
+    assert [got[240 + i] for i in range(5)] == [f"Title of copy {i}\n{own('one', 0)}\nThe end of it" for i in range(5)]
+
+
+def test_expressions_hold_every_structure(spark, monkeypatch):
+    monkeypatch.setattr(extraction, "SHARE", 0)
+    rng = random.Random(4)
+    some = [[rng.randrange(6) for _ in range(rng.randrange(1, 9))] for _ in range(40)]
+    rows = spark.createDataFrame([(h, k) for h in "ab" for k in some for _ in range(3)], "host string, keys array<long>")
+    sizes = rows.groupBy("host").count().withColumnRenamed("count", "pages")
+    for fan in (2, 7, 64):
+        monkeypatch.setattr(extraction, "FAN", fan)
+        found = {r.host: r["keys"] for r in extraction.expressions(rows, sizes).collect()}
+        assert sorted(found) == ["a", "b"] and found["a"] == found["b"]
+        for k in some:
+            assert len(extraction.common(found["a"], k)) == len(k)
+
+
 def test_an_empty_table(spark):
     assert texts(spark, []) == {}
 
