@@ -34,7 +34,7 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 SENTENCE_PENALTY, FORCED_PENALTY, FORCED_STEP = 4, 24, 32
 #: Windows in a stretch, bytes of text whose words are looked up together, and words whose ids a Python worker keeps in
 #: each of two generations (bounded memory; words that neither holds are encoded again).
-STRETCH, CHUNK, WORDS_KEPT = 256, 4_000_000, 400_000
+STRETCH, CHUNK, WORDS_KEPT = 256, 1_000_000, 250_000
 #: ASCII punctuation that may be cut off a word's end (what special tokens are written with stays).
 TAIL = "!\"#$%&'()*+,-./:;=?@[\\]^_`{}~"
 
@@ -222,6 +222,7 @@ def packed(batches: Iterator[pa.RecordBatch], name: str, end_id: int, width: int
         keys, texts = batch.column(0).to_pylist(), batch.column(1).fill_null("")
         for i, j in chunks(utf8(texts)[1], CHUNK):
             found, stops = encode(texts.slice(i, j - i), name)
+            pa.default_memory_pool().release_unused()  # else what chunks leave free adds up over a task
             own = np.insert(found, stops, end_id)
             stops = stops + np.arange(1, j - i + 1)
             begin = 0

@@ -5,6 +5,8 @@ import hashlib
 import json
 import math
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -13,6 +15,7 @@ import pytest
 
 from spindrift.llm import decontamination, extraction, langid, language_model, licences, neardup, neighbours, packing, pii, sharding, words
 from spindrift.llm.shared import components
+from spindrift.sources.session import ROOT
 from tests.llm import brute
 
 RNG = random.Random(5)
@@ -194,6 +197,36 @@ def test_packing(spark, docs):
     assert [(r.length, r.doc_tokens) for r in packing.pack(docs([(1, None)])).collect()] == [(1, 1)]
 
 
+def test_packing_takes_little_memory():
+    """Over 24 MB of mostly new words a worker takes at most 160 MB besides its tokenizer's: what it knows of words and
+    what chunks leave free are bounded."""
+    code = """if True:
+        import random, re, threading, time, pyarrow as pa
+        from spindrift.llm import packing
+        used = lambda: sum(map(int, re.findall(r"Pss_(?:Anon|Shmem):\\s+([0-9]+)", open("/proc/self/smaps_rollup").read()))) / 1024
+        packing.encoder("word_bpe_49k.json")
+        rng, first, most, ends = random.Random(2), used(), [0], []
+        word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(4, 10)))
+        often = [word() for _ in range(2000)]
+        def watch():
+            while not ends:
+                most[0] = max(most[0], used())
+                time.sleep(0.02)
+        def batches():
+            for i in range(12):
+                texts = [" ".join(word() if rng.random() < 0.3 else rng.choice(often) for _ in range(500)) for _ in range(500)]
+                yield pa.RecordBatch.from_arrays([pa.array(range(500 * i, 500 * i + 500)), pa.array(texts)], names=["doc_id", "text"])
+        watcher = threading.Thread(target=watch)
+        watcher.start()
+        n = sum(b.num_rows for b in packing.packed(batches(), "word_bpe_49k.json", 2, 4096))
+        ends.append(1)
+        watcher.join()
+        print(n >= 6000, round(most[0] - first))
+    """
+    out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True).stdout.split()
+    assert out[0] == "True" and int(out[1]) <= 160, out
+
+
 def test_packing_finds_the_least_cost():
     rng = random.Random(6)
     for _ in range(60):
