@@ -3,6 +3,7 @@
 import random
 import uuid
 
+import numpy as np
 import pytest
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.sql import functions as F
@@ -86,6 +87,61 @@ def test_words_are_shared_among_tasks(spark, monkeypatch):
         assert b in [r.word for r in synonyms.synonyms(model, [a], 3).collect()]
 
 
+def test_vectors_stay_in_tables(spark, tmp_path):
+    """What is fitted and loaded is read by tasks: the driver holds neither words nor vectors."""
+    df = spark.createDataFrame([([f"w{i % 50}", f"w{i % 7}", f"w{i % 3}"],) for i in range(500)], "tokens array<string>")
+    model = synonyms.fit(df, "tokens", size=4, least=2, parts=2)
+    synonyms.save(model, f"{tmp_path}/w")
+    for m in (model, synonyms.load(f"{tmp_path}/w")):
+        near = synonyms.synonyms(m, ["w1"], 3)
+        plan = near._jdf.queryExecution().optimizedPlan().toString()
+        assert "LocalRelation" not in plan and "parquet" in plan and near.count() == 3
+        assert {r.word for r in synonyms.vectors(m).collect()} == {f"w{i}" for i in range(50)}
+    assert synonyms.fit(df, "tokens", size=4, least=10_000).count() == 0
+
+
+def test_copies_are_dealt_among_shares(spark):
+    """Copies of a text spread over shares, whatever the partitions; texts of one word are left out; words are counted over all shares."""
+    data = [(["a", "b", "c"],)] * 1000 + [(["x"],)] * 9 + [(["d", f"e{i}"],) for i in range(40)] + [(None,), ([],)]
+    df = spark.createDataFrame(data, "tokens array<string>")
+    rows = [sorted(map(tuple, synonyms.dealt(df.repartition(n), "tokens", 4).collect())) for n in (2, 5)]
+    texts = [t.split(synonyms.GAP) for _, t in rows[0]]
+    assert rows[0] == rows[1] and sorted(texts) == sorted(t for t, in data if t and len(t) > 1)
+    assert all(200 < sum(s == share and t[0] == "a" for s, t in rows[0]) < 300 for share in range(4))
+    known = synonyms.vocabulary(synonyms.dealt(df, "tokens", 4), 40).collect()
+    assert {r.word for r in known} == {"a", "b", "c", "d"} and len(set(known)) == len(known) >= 4 * 3
+
+
+def test_training_against_single_pairs(monkeypatch):
+    """Blocks, stretches and their overlaps give what adding up pair by pair gives."""
+    monkeypatch.setattr(synonyms, "BLOCK", 128)
+    rng = np.random.default_rng(4)
+    n, window, size = 64 * 64 * 2 + 37, 3, 4
+    ids, doc = rng.integers(0, 30, n).astype(np.int32), np.sort(rng.integers(0, n // 5, n)).astype(np.int32)
+    u, v = (rng.normal(0, 0.3, (30, size)).astype(np.float32) for _ in range(2))
+    a, b = u.astype(float), v.astype(float)
+    synonyms.train(ids, doc, u, v, window, np.random.default_rng(9))
+    draw = np.random.default_rng(9)
+    reach, odds = draw.integers(1, window + 1, n + -n % 64, dtype=np.int16).tolist(), np.cumsum(np.bincount(ids) ** 0.75)
+    squares = np.zeros(30), np.zeros(30)
+    miss = lambda x: 1 / (1 + np.exp(x))
+    for k in range(0, n, 128):
+        da, db = np.zeros_like(a), np.zeros_like(b)
+        others = np.searchsorted(odds, draw.random(synonyms.DRAWN) * odds[-1], side="right")
+        for i in range(k, min(n, k + 128)):
+            near = [j for j in range(max(0, i - reach[i]), min(n, i + reach[i] + 1)) if j != i and doc[j] == doc[i]]
+            for j in near:
+                da[ids[i]] += (g := miss(a[ids[i]] @ b[ids[j]])) * b[ids[j]]
+                db[ids[j]] += g * a[ids[i]]
+            g = miss(-(b[others] @ a[ids[i]])) * len(near) * synonyms.NEGATIVES / synonyms.DRAWN
+            da[ids[i]] -= g @ b[others]
+            np.add.at(db, others, -g[:, None] * a[ids[i]])
+        for table, square, d in ((a, squares[0], da), (b, squares[1], db)):
+            square += (d * d).mean(1)
+            table += synonyms.RATE * d / np.sqrt(square + 1e-10)[:, None]
+    assert np.abs(u - a).max() < 1e-3 and np.abs(v - b).max() < 1e-3 and len(set(reach[:50])) == 3
+
+
 def test_database_in_ranges(spark):
     url = f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
     rng = random.Random(3)
